@@ -89,7 +89,6 @@ def duration_stats(
     end: str,
     keys: Sequence[str],
     unit: str = "day",
-    entity: str | None = None,
     names: Sequence[str] = ("row_count", "avg_duration", "min_duration", "max_duration"),
 ) -> DataFrame:
     """Count, average, shortest and longest time between two columns, both present.
@@ -97,20 +96,18 @@ def duration_stats(
     Sums are decimals, so the result does not depend on the order of the rows.
     """
     unit_seconds = UNIT_SECONDS[unit]
-    size = F.count(F.lit(1)) if entity is None else F.count_distinct(entity)
     stats = (
         df.filter(F.col(start).isNotNull() & F.col(end).isNotNull())
-        .select(*keys, *([entity] if entity else []), elapsed_seconds(start, end).alias("_s"))
+        .select(*keys, elapsed_seconds(start, end).alias("_s"))
         .groupBy(*keys)
         .agg(
-            size.alias(names[0]),
-            F.count(F.lit(1)).alias("_n"),
+            F.count(F.lit(1)).alias(names[0]),
             F.sum("_s").alias("_sum"),
             F.min("_s").alias("_min"),
             F.max("_s").alias("_max"),
         )
     )
-    average = F.col("_sum") / (F.col("_n") * unit_seconds).cast("decimal(20,0)")
+    average = F.col("_sum") / (F.col(names[0]) * unit_seconds).cast("decimal(20,0)")
     return stats.select(
         *keys,
         names[0],

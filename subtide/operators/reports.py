@@ -60,24 +60,19 @@ def reason_share(
 
 
 def conversion_by_dimension(
-    facts: DataFrame, members: DataFrame, member: str, entity: str, dim: str, converted: Column
+    facts: DataFrame, members: DataFrame, member: str, dim: str, converted: Column
 ) -> DataFrame:
-    """Distinct entities and converted entities per dimension value of their member.
+    """Entities and converted entities per dimension value of their member.
 
-    Counting per member first keeps the join at one row per member. Each entity
-    belongs to one member, so the per-member counts add up.
+    ``facts`` holds one row per entity (the ``uniqueness`` check covers its key), so counting
+    rows per member is exact and needs no distinct. The join then sees one row per member.
     """
-    per_entity = (
-        facts.filter(F.col(entity).isNotNull())
-        .groupBy(member, entity)
-        .agg(F.max(F.when(converted, 1).otherwise(0)).alias("_hit"))
-    )
     counts = roll_up(
-        per_entity,
+        facts,
         members,
         [member],
         [dim],
-        {"selected_count": rows_of(), "converted_count": ("sum", F.col("_hit"))},
+        {"selected_count": rows_of(), "converted_count": rows_of(converted)},
     )
     return counts.withColumn("conversion_pct", pct("converted_count", "selected_count"))
 

@@ -51,75 +51,64 @@ def derive_timestamps(
     return df
 
 
-# Months of 31 days are the only ones a day-31 schedule survives; the shorter ones cut it.
 # Zero-based numbers of the 30-day months (April, June, September, November).
 THIRTY_DAY_MONTHS = (3, 5, 8, 10)
 
 
-def _month_number(ts: Column) -> Column:
-    return F.year(ts) * 12 + F.month(ts) - 1
-
-
-def _februaries(month: Column) -> Column:
-    """Februaries up to and including this month, counted from year 0."""
-    return F.floor((month - 1) / 12)
-
-
-def _leap_februaries(month: Column) -> Column:
-    year = _februaries(month)
-    return F.floor(year / 4) - F.floor(year / 100) + F.floor(year / 400)
-
-
-def _thirty_day_months(month: Column) -> Column:
-    in_year = month % 12
-    passed = [F.when(in_year >= m, 1).otherwise(0) for m in THIRTY_DAY_MONTHS]
-    return F.floor(month / 12) * 4 + sum(passed[1:], passed[0])
-
-
 def expand_recurring(
     df: DataFrame, start: Column, stop: Column, name: str = "due_at"
 ) -> DataFrame:
     """One row per monthly due time from ``start`` to ``stop``, both included.
 
     Each due time is one month after the previous one, so a day cut by a short month stays
-    cut: Jan 31, Feb 29, Mar 29. The day of the k-th due time is therefore the smallest of
-    the start day and the lengths of all months passed on the way, which follows from how
-    many Februaries, leap Februaries and 30-day months lie in between. That is plain integer
-    arithmetic per row: no shuffle, no array folding. A start after the stop gives no row.
+    cut: Jan 31, Feb 29, Mar 29. The k-th day is thus the smallest of the start day and the
+    lengths of the months passed. Those lengths drop at three known steps: the first 30-day
+    month, the first February, and the first February of 28 days. All of that is worked out
+    once per input row; each output row costs one comparison chain. No shuffle, no array
+    folding. A start after the stop gives no row.
     """
+    first = F.trunc(F.col("_start").cast("date"), "month")
+    month = F.month("_start") - 1
+    to_february = F.pmod(-month, F.lit(12)) + 1
+    next_february = F.last_day(F.add_months(first, to_february))
+    is_leap = F.dayofmonth(next_february) == 29
+    months_to_stop = (F.year("_stop") - F.year("_start")) * 12 + F.month("_stop") - F.month("_start")
     spans = (
-        df.withColumn("_start", start)
-        .withColumn("_stop", stop)
+        df.withColumns({"_start": start, "_stop": stop})
         .filter(F.col("_start") <= F.col("_stop"))
-        .withColumn("_from", _month_number(F.col("_start")))
-        .withColumn("_months", _month_number(F.col("_stop")) - F.col("_from"))
-    )
-    steps = spans.withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_months")))).withColumn(
-        "_to", F.col("_from") + F.col("_k")
-    )
-    a, b = F.col("_from"), F.col("_to")
-    februaries = _februaries(b) - _februaries(a)
-    leap = _leap_februaries(b) - _leap_februaries(a)
-    longest = first_match(
-        [
-            (februaries > leap, F.lit(28)),
-            (leap > 0, F.lit(29)),
-            (_thirty_day_months(b) > _thirty_day_months(a), F.lit(30)),
-        ],
-        F.lit(31),
-    )
-    first_of_month = F.make_date(
-        F.floor(b / 12).cast("int"), (b % 12 + 1).cast("int"), F.lit(1)
-    ).cast("timestamp_ntz")
-    clock = F.col("_start") - F.col("_start").cast("date").cast("timestamp_ntz")
-    day = F.least(F.dayofmonth("_start"), longest)
-    due = first_of_month + F.make_dt_interval((day - 1).cast("int")) + clock
-    return (
-        steps.withColumn(name, due)
-        .filter(F.col(name) <= F.col("_stop"))
-        .select(*df.columns, name)
+        .withColumns(
+            {
+                # The start's clock time on the first of its month: adding months never cuts it.
+                "_base": F.col("_start") - days(F.dayofmonth("_start") - 1),
+                "_day": F.dayofmonth("_start"),
+                "_to_30": F.least(
+                    *[F.pmod(m - 1 - month, F.lit(12)) + 1 for m in THIRTY_DAY_MONTHS]
+                ),
+                "_to_29": to_february,
+                # Two Februaries in a row are never both leap.
+                "_to_28": to_february + F.when(is_leap, 12).otherwise(0),
+                "_months": months_to_stop,
+            }
+        )
     )
 
+    def due(k: Column) -> Column:
+        longest = first_match(
+            [
+                (k >= F.col("_to_28"), F.lit(28)),
+                (k >= F.col("_to_29"), F.lit(29)),
+                (k >= F.col("_to_30"), F.lit(30)),
+            ],
+            F.lit(31),
+        )
+        day = F.least(F.col("_day"), longest)
+        return F.col("_base") + F.make_ym_interval(F.lit(0), k) + days(day - 1)
+
+    # Only the due time in the stop's own month can lie beyond the stop.
+    last = F.col("_months") - F.when(due(F.col("_months")) > F.col("_stop"), 1).otherwise(0)
+    steps = spans.withColumn("_k", F.explode(F.sequence(F.lit(0), last)))
+    return steps.select(*df.columns, due(F.col("_k")).alias(name))
+
 
 def censor_at(
     df: DataFrame, cutoff: str, ts_col: str, status_col: str, fallback: str

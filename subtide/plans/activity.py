@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from subtide.operators import quality, reports
 from subtide.operators.core import share_of_total
-from subtide.sources import read_table
+from subtide.plans.bindings import open_table
 
 STAGES = {
     "viewed": "view",
@@ -18,7 +18,7 @@ STAGES = {
 
 
 def _users(spark: SparkSession, folder: str) -> DataFrame:
-    customer = read_table(spark, folder, "customer")
+    customer = open_table(spark, folder, "customer")
     return customer.select(
         F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segment")
     )
@@ -27,7 +27,7 @@ def _users(spark: SparkSession, folder: str) -> DataFrame:
 def daily_funnel(spark: SparkSession, folder: str) -> DataFrame:
     """Funnel over (user, day) visits per customer segment."""
     users = _users(spark, folder)
-    events = read_table(spark, folder, "events").withColumn("day", F.col("ts").cast("date"))
+    events = open_table(spark, folder, "events").withColumn("day", F.col("ts").cast("date"))
     return reports.stage_funnel(
         events,
         users,
@@ -46,12 +46,12 @@ def daily_funnel(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def event_type_share(spark: SparkSession, folder: str) -> DataFrame:
-    return share_of_total(read_table(spark, folder, "events"), by=["event_type"])
+    return share_of_total(open_table(spark, folder, "events"), by=["event_type"])
 
 
 def event_reason_share(spark: SparkSession, folder: str) -> DataFrame:
     return reports.reason_share(
-        read_table(spark, folder, "events"),
+        open_table(spark, folder, "events"),
         ["error", "purchase"],
         "event_type",
         "props",
@@ -61,7 +61,7 @@ def event_reason_share(spark: SparkSession, folder: str) -> DataFrame:
 
 def view_to_purchase(spark: SparkSession, folder: str) -> DataFrame:
     return reports.event_pair_duration(
-        read_table(spark, folder, "events"),
+        open_table(spark, folder, "events"),
         _users(spark, folder),
         "user_id",
         "event_type",
@@ -74,7 +74,7 @@ def view_to_purchase(spark: SparkSession, folder: str) -> DataFrame:
 
 def error_reasons_by_segment(spark: SparkSession, folder: str) -> DataFrame:
     return reports.exit_reason_share_by_dimension(
-        read_table(spark, folder, "events"),
+        open_table(spark, folder, "events"),
         _users(spark, folder),
         "user_id",
         "event_type",
@@ -86,7 +86,7 @@ def error_reasons_by_segment(spark: SparkSession, folder: str) -> DataFrame:
 
 def segment_coverage(spark: SparkSession, folder: str) -> DataFrame:
     return quality.lifecycle_coverage(
-        read_table(spark, folder, "events"),
+        open_table(spark, folder, "events"),
         _users(spark, folder),
         "user_id",
         "segment",
@@ -97,7 +97,7 @@ def segment_coverage(spark: SparkSession, folder: str) -> DataFrame:
 
 def user_chronology(spark: SparkSession, folder: str) -> DataFrame:
     return quality.chronology_violations(
-        read_table(spark, folder, "events"),
+        open_table(spark, folder, "events"),
         _users(spark, folder),
         "user_id",
         "event_type",
@@ -109,5 +109,5 @@ def user_chronology(spark: SparkSession, folder: str) -> DataFrame:
 
 def repeated_event_types(spark: SparkSession, folder: str) -> DataFrame:
     return quality.duplicate_keys(
-        read_table(spark, folder, "events"), ["user_id", "event_type"]
+        open_table(spark, folder, "events"), ["user_id", "event_type"]
     )

@@ -60,7 +60,6 @@ def conversion_by_channel(lc: Lifecycle) -> DataFrame:
         lc.subscriptions,
         lc.customers,
         "customer_id",
-        "subscription_id",
         "acquisition_channel",
         F.col("activated_at").isNotNull(),
     ).orderBy(*sort_keys("-conversion_pct", "acquisition_channel"))
@@ -72,7 +71,6 @@ def days_to_activation(lc: Lifecycle) -> DataFrame:
         "selected_at",
         "activated_at",
         PLAN,
-        entity="subscription_id",
         names=("activated_count", "avg_days", "min_days", "max_days"),
     )
     return _with_plan_name(stats, lc).orderBy(*sort_keys("avg_days"))

@@ -7,6 +7,8 @@ order needs from its line items is aggregated per order first.
 
 from __future__ import annotations
 
+from functools import cache, partial
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from subtide.functions import days, first_match, hours, money
@@ -17,6 +19,29 @@ from subtide.sources import read_table
 
 CUTOFF = "2001-09-01 23:59:59"
 
+TABLES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": """c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE,
+        c_mktsegment STRING""",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": """p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT,
+        p_retailprice DOUBLE""",
+    "orders": """o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,
+        o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING""",
+    "lineitem": """l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT,
+        l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE,
+        l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ""",
+    "events": """event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING,
+        value DOUBLE, props STRING""",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "embeddings": "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT",
+    "pages": "page_id BIGINT, url STRING, html STRING",
+    "benchmark": "item_id BIGINT, text STRING",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+}
+
 EVENT_BY_LINE = [
     "selected",
     "activated",
@@ -28,6 +53,10 @@ EVENT_BY_LINE = [
 ]
 
 
+def open_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return read_table(spark, folder, name, TABLES[name])
+
+
 def _plan_id() -> Column:
     return F.substring("o_orderpriority", 1, 1).cast("long")
 
@@ -225,17 +254,20 @@ def subscription_events(lines: DataFrame) -> DataFrame:
 
 def lifecycle(spark: SparkSession, folder: str, numbered: bool = False) -> Lifecycle:
     """All eight tables. Unless ``numbered``, payment and event ids are file positions."""
-    orders = read_table(spark, folder, "orders")
-    lineitem = read_table(spark, folder, "lineitem")
-    lines = numbered_lines(lineitem) if numbered else positioned_lines(lineitem)
+    table = cache(partial(open_table, spark, folder))
+
+    @cache
+    def lines() -> DataFrame:
+        return (numbered_lines if numbered else positioned_lines)(table("lineitem"))
+
     return Lifecycle(
-        customers=customers(read_table(spark, folder, "customer")),
-        plans=plans(orders),
-        subscriptions=subscriptions(orders, lineitem),
-        intakes=intakes(lineitem),
-        appointments=appointments(lineitem),
-        payments=payments(lines),
-        refunds=refunds(lines),
-        subscription_events=subscription_events(lines),
-        cutoff=CUTOFF,
+        CUTOFF,
+        customers=lambda: customers(table("customer")),
+        plans=lambda: plans(table("orders")),
+        subscriptions=lambda: subscriptions(table("orders"), table("lineitem")),
+        intakes=lambda: intakes(table("lineitem")),
+        appointments=lambda: appointments(table("lineitem")),
+        payments=lambda: payments(lines()),
+        refunds=lambda: refunds(lines()),
+        subscription_events=lambda: subscription_events(lines()),
     )

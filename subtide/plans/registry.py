@@ -9,17 +9,12 @@ from pyspark.sql.types import ByteType, DecimalType, IntegerType, ShortType
 
 from subtide.operators import quality
 from subtide.plans import activity, analysis, bindings, checks, steps
+from subtide.plans.bindings import TABLES, open_table
 from subtide.plans.lifecycle import Lifecycle
 from subtide.session import configure
-from subtide.sources import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-DRIVER_TABLES = (
-    "region nation customer supplier part orders lineitem events "
-    "documents embeddings pages benchmark labels conversations"
-).split()
-
 # Two months inside the range of the line items' dates.
 PERIOD = ("1998-03-01 00:00:00", "1998-05-01 00:00:00")
 
@@ -55,12 +50,12 @@ def _on_tables(build: Query) -> Query:
 
 
 def _driver_row_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.table_row_counts({t: read_table(spark, folder, t) for t in DRIVER_TABLES})
+    return quality.table_row_counts({t: open_table(spark, folder, t) for t in TABLES})
 
 
 def _order_profile(spark: SparkSession, folder: str) -> DataFrame:
     return quality.column_profile(
-        read_table(spark, folder, "orders"),
+        open_table(spark, folder, "orders"),
         "o_orderdate",
         ["o_orderstatus", "o_orderpriority", "o_custkey"],
     )
@@ -68,7 +63,7 @@ def _order_profile(spark: SparkSession, folder: str) -> DataFrame:
 
 def _duplicate_line_keys(spark: SparkSession, folder: str) -> DataFrame:
     return quality.duplicate_keys(
-        read_table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"]
+        open_table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"]
     )
 
 
@@ -92,9 +87,9 @@ def _driver_references(spark: SparkSession, folder: str) -> DataFrame:
     return quality.referential_integrity(
         {
             f"{child}.{key}->{parent}": (
-                read_table(spark, folder, child),
+                open_table(spark, folder, child),
                 key,
-                read_table(spark, folder, parent),
+                open_table(spark, folder, parent),
                 parent_key,
             )
             for child, key, parent, parent_key in DRIVER_RELATIONS

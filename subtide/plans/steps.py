@@ -8,8 +8,8 @@ from subtide.functions import days, ntz
 from subtide.operators import transforms
 from subtide.operators.numbering import dense_number, every_nth
 from subtide.plans import bindings
+from subtide.plans.bindings import open_table
 from subtide.plans.lifecycle import Lifecycle
-from subtide.sources import read_table
 
 CENSOR_AT = "2000-01-01 00:00:00"
 
@@ -23,17 +23,17 @@ REASON_SLOTS = [
 
 
 def numbered_lines(spark: SparkSession, folder: str) -> DataFrame:
-    lines = bindings.numbered_lines(read_table(spark, folder, "lineitem"))
+    lines = bindings.numbered_lines(open_table(spark, folder, "lineitem"))
     return lines.select("line_no", "l_orderkey", "l_partkey", "l_linenumber", "l_shipdate")
 
 
 def numbered_by_status(spark: SparkSession, folder: str) -> DataFrame:
-    orders = read_table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    orders = open_table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
     return dense_number(orders, ["o_orderdate", "o_orderkey"], ["o_orderstatus"])
 
 
 def cyclic_bucket(spark: SparkSession, folder: str) -> DataFrame:
-    orders = read_table(spark, folder, "orders")
+    orders = open_table(spark, folder, "orders")
     reason = cancellation_reason(F.col("o_orderkey") + 1)
     return orders.select("o_orderkey", reason.alias("reason"))
 
@@ -43,12 +43,12 @@ def cancellation_reason(number: Column) -> Column:
 
 
 def every_fifth(spark: SparkSession, folder: str) -> DataFrame:
-    orders = read_table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    orders = open_table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
     return every_nth(orders, ["o_orderkey"], 5, partition_by=["o_orderstatus"])
 
 
 def three_of_five(spark: SparkSession, folder: str) -> DataFrame:
-    orders = read_table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    orders = open_table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
     return every_nth(
         orders, ["o_orderkey"], 5, keep=(0, 1, 2), partition_by=["o_orderstatus"], first=0
     )
@@ -189,8 +189,8 @@ def bounded_events(lc: Lifecycle) -> DataFrame:
 
 def appended_suppliers(spark: SparkSession, folder: str) -> DataFrame:
     """Customers appended to the suppliers, with new keys and a default balance."""
-    supplier = read_table(spark, folder, "supplier")
-    rows = read_table(spark, folder, "customer").select(
+    supplier = open_table(spark, folder, "supplier")
+    rows = open_table(spark, folder, "customer").select(
         "c_custkey",
         F.col("c_name").alias("s_name"),
         F.col("c_nationkey").alias("s_nationkey"),

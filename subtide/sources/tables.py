@@ -7,8 +7,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 POSITION = ("_file", "_block", "_line")
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def read_table(
+    spark: SparkSession, folder: str, name: str, schema: str | None = None
+) -> DataFrame:
+    """Open ``<folder>/<name>.parquet``; a declared schema saves the job that infers one."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def read_positioned_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
