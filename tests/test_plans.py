@@ -1,0 +1,61 @@
+"""What the physical plans must and must not contain."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+
+import __spark_entry__ as entry
+
+FOLDER = "/root/testdata/sf0.001"
+# Numbering runs its own jobs first; its plan then reads the written table.
+NAMES = sorted(entry.queries())
+# Steps that may stand between a single-partition exchange and the aggregate below it.
+PASS = ("Project", "Filter", "Sort", "WindowGroupLimit", "Window", "AQEShuffleRead")
+
+
+def plan(spark, name: str) -> str:
+    return entry.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+
+
+def operators(text: str) -> list[str]:
+    return [re.sub(r"^[\s:+\-*()0-9]*", "", line) for line in text.splitlines()]
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_no_python_and_no_single_task_over_detail_rows(spark, name):
+    text = plan(spark, name)
+    for word in ("EvalPython", "InPandas", "MapInArrow", "CartesianProduct", "NestedLoopJoin"):
+        assert word not in text
+    steps = operators(text)
+    for i, step in enumerate(steps):
+        if step.startswith("Exchange SinglePartition"):
+            below = next(s for s in steps[i + 1 :] if not s.startswith(PASS))
+            assert "Aggregate" in below or below.startswith("Exchange"), below
+
+
+def test_period_bounds_and_columns_reach_the_scan(spark):
+    df = entry.queries()["period_comparison"](spark, FOLDER)
+    text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    assert "GreaterThanOrEqual(l_shipdate,1998-03-01" in text
+    assert "LessThan(l_shipdate,1998-05-01" in text
+    read = re.findall(r"ReadSchema: struct<(.*)>", text)
+    assert len(read) == 1
+    assert "l_partkey" not in read[0] and "l_tax" not in read[0]
+
+
+def test_transition_limits_rows_before_the_shuffle(spark):
+    text = plan(spark, "nth_transition")
+    assert re.search(r"Exchange hashpartitioning.*\n.*WindowGroupLimit.*Partial", text)
+
+
+def test_funnel_does_not_expand_rows_per_stage(spark):
+    assert "Expand" not in plan(spark, "stage_funnel")
+    assert "Expand" not in plan(spark, "lifecycle_coverage")
+
+
+def test_facts_are_aggregated_before_their_join(spark):
+    steps = operators(plan(spark, "conditional_sums"))
+    join = next(i for i, s in enumerate(steps) if "Join" in s and "subscription_id" in s)
+    assert any("partial_sum" in s for s in steps[join:])

@@ -1,0 +1,148 @@
+"""One key holding a third of all rows: results stay whole, joins are split."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from subtide.operators import core, quality, reports, transforms
+
+ROWS = 240_000
+HOT = 7
+
+
+@pytest.fixture(scope="module")
+def payments(spark):
+    """Subscription 7 has a third of all payments."""
+    sub = F.when(F.col("id") % 3 == 0, HOT).otherwise(F.xxhash64("id") % 20_000)
+    start = F.lit("2024-01-01").cast("timestamp_ntz")
+    return spark.range(ROWS).select(
+        F.col("id").alias("payment_id"),
+        F.abs(sub).alias("subscription_id"),
+        (start + F.make_dt_interval(F.lit(0), F.lit(0), (F.col("id") % 100_000).cast("int"))).alias(
+            "payment_date"
+        ),
+        F.when(F.col("id") % 2 == 0, "successful").otherwise("failed").alias("payment_status"),
+        F.when(F.col("id") % 5 == 0, "initial").otherwise("renewal").alias("payment_type"),
+        F.lit("9.00").cast("decimal(10,2)").alias("amount"),
+        F.sha2(F.col("id").cast("string"), 512).alias("payload"),
+    )
+
+
+@pytest.fixture(scope="module")
+def subscriptions(spark):
+    start = F.lit("2024-01-01").cast("timestamp_ntz")
+    return spark.range(20_000).select(
+        F.col("id").alias("subscription_id"),
+        (F.col("id") % 3 + 1).alias("plan_id"),
+        F.lit("cancelled").alias("subscription_status"),
+        (start + F.make_dt_interval(F.lit(10))).alias("selected_at"),
+        (start + F.make_dt_interval(F.lit(60))).alias("ended_at"),
+        F.sha2(F.col("id").cast("string"), 512).alias("payload"),
+    )
+
+
+@pytest.fixture
+def small_partitions(spark):
+    """Thresholds at which the fixture's size counts as skewed, and no broadcast joins."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
+    }
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def final_plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_detail_join_splits_the_hot_key(spark, payments, subscriptions, small_partitions):
+    plans = spark.createDataFrame([(1,), (2,), (3,)], "plan_id BIGINT").select(
+        "plan_id", F.lit("8.00").cast("decimal(10,2)").alias("monthly_price")
+    )
+    found = quality.amount_vs_reference(payments, subscriptions, plans, "2030-01-01 00:00:00")
+    assert len(found.collect()) == ROWS
+    assert "skew=true" in final_plan(found)
+
+
+def test_latest_in_window_splits_the_hot_key(payments, subscriptions, small_partitions):
+    found = transforms.latest_in_window(subscriptions, payments, lookback_days=60)
+    got = {r.subscription_id: r.payment_id for r in found.collect()}
+    assert "skew=true" in final_plan(found)
+    best: dict = {}
+    paid = payments.filter("payment_status = 'successful' and payment_date <= '2024-03-01'")
+    for r in paid.collect():
+        key = (r.payment_date, r.payment_id)
+        best[r.subscription_id] = max(best.get(r.subscription_id, key), key)
+    assert got == {sub: payment for sub, (_, payment) in best.items()}
+
+
+def test_rolled_up_join_sees_one_row_per_key(payments, subscriptions, small_partitions):
+    sums = reports.conditional_sums(
+        payments,
+        subscriptions,
+        ["subscription_id"],
+        ["plan_id"],
+        "amount",
+        "payment_type",
+        {"initial": "initial"},
+    )
+    got = {r.plan_id: r.row_count for r in sums.collect()}
+    assert "skew=true" not in final_plan(sums)
+    plain = payments.join(subscriptions, "subscription_id").groupBy("plan_id").count()
+    assert got == {r.plan_id: r["count"] for r in plain.collect()}
+
+
+def test_first_event_check_with_a_hot_key(payments, small_partitions):
+    found = quality.after_first_event(
+        payments, "subscription_id", "payment_type", "payment_date", "initial", "renewal"
+    )
+    firsts: dict = {}
+    rows = payments.collect()
+    for r in rows:
+        if r.payment_type == "initial":
+            firsts[r.subscription_id] = min(
+                firsts.get(r.subscription_id, r.payment_date), r.payment_date
+            )
+    wrong = {
+        r.payment_id
+        for r in rows
+        if r.payment_type == "renewal"
+        and (r.subscription_id not in firsts or r.payment_date <= firsts[r.subscription_id])
+    }
+    assert {r.payment_id for r in found.collect()} == wrong
+
+
+def test_transitions_with_a_hot_entity(payments):
+    got = reports.nth_transition(
+        payments, "subscription_id", ["payment_date", "payment_id"], "payment_status"
+    )
+    history: dict = {}
+    for r in payments.collect():
+        history.setdefault(r.subscription_id, []).append((r.payment_date, r.payment_id, r[3]))
+    expected: dict = {}
+    for events in history.values():
+        if len(events) > 1:
+            first, second = sorted(events)[:2]
+            pair = (first[2], second[2])
+            expected[pair] = expected.get(pair, 0) + 1
+    assert {(r[0], r[1]): r[2] for r in got.collect()} == expected
+
+
+def test_frequency_counts_the_hot_entity_once(payments):
+    got = {r.rows_per_entity: r for r in reports.entity_frequency(payments, "subscription_id").collect()}
+    assert sum(r.rows_represented for r in got.values()) == ROWS
+    assert max(got) >= ROWS / 3 and got[max(got)].entity_count == 1
+
+
+def test_shares_with_a_hot_group(payments):
+    got = core.share_of_total(payments, ["payment_status"], ["payment_type"]).collect()
+    assert sum(r.row_count for r in got) == ROWS
