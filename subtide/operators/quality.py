@@ -48,20 +48,21 @@ def table_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 def column_profile(df: DataFrame, date_col: str, distinct: Sequence[str]) -> DataFrame:
     """Row count, date range and exact distinct counts of several columns.
 
-    Rows are first grouped by the profiled columns together, so the expansion that several
-    distinct counts need runs over combinations of values and not over rows.
+    Each column is counted by its own branch, which scans and shuffles only that column's
+    values, already distinct per task. The branches' single rows are then merged into one.
     """
-    combos = df.groupBy(*distinct).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.min(date_col).alias("_first"),
-        F.max(date_col).alias("_last"),
-    )
-    return combos.agg(
-        F.coalesce(F.sum("_rows"), F.lit(0)).alias("row_count"),
-        F.min("_first").alias(f"min_{date_col}"),
-        F.max("_last").alias(f"max_{date_col}"),
-        *[F.count_distinct(c).alias(f"distinct_{c}") for c in distinct],
-    )
+    parts = [
+        df.agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.min(date_col).alias(f"min_{date_col}"),
+            F.max(date_col).alias(f"max_{date_col}"),
+        )
+    ]
+    for c in distinct:
+        parts.append(df.select(c).distinct().agg(F.count(c).alias(f"distinct_{c}")))
+    names = [name for part in parts for name in part.columns]
+    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return merged.agg(*[F.max(name).alias(name) for name in names])
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
