@@ -72,7 +72,7 @@ def expand_recurring(
     to_february = F.pmod(-month, F.lit(12)) + 1
     next_february = F.last_day(F.add_months(first, to_february))
     is_leap = F.dayofmonth(next_february) == 29
-    months_to_stop = (F.year("_stop") - F.year("_start")) * 12 + F.month("_stop") - F.month("_start")
+    years_to_stop = F.year("_stop") - F.year("_start")
     spans = (
         df.withColumns({"_start": start, "_stop": stop})
         .filter(F.col("_start") <= F.col("_stop"))
@@ -87,7 +87,7 @@ def expand_recurring(
                 "_to_29": to_february,
                 # Two Februaries in a row are never both leap.
                 "_to_28": to_february + F.when(is_leap, 12).otherwise(0),
-                "_months": months_to_stop,
+                "_months": years_to_stop * 12 + F.month("_stop") - F.month("_start"),
             }
         )
     )

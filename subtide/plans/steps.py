@@ -28,8 +28,9 @@ def numbered_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def numbered_by_status(spark: SparkSession, folder: str) -> DataFrame:
-    orders = open_table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
-    return dense_number(orders, ["o_orderdate", "o_orderkey"], ["o_orderstatus"])
+    orders = open_table(spark, folder, "orders")
+    dated = orders.select("o_orderkey", "o_orderstatus", "o_orderdate")
+    return dense_number(dated, ["o_orderdate", "o_orderkey"], ["o_orderstatus"])
 
 
 def cyclic_bucket(spark: SparkSession, folder: str) -> DataFrame:

@@ -154,7 +154,8 @@ def test_published_payments_and_refunds(lifecycle):
 
 @needs_file
 def test_published_appointments_and_durations(lifecycle):
-    appt = by(analysis.appointment_outcome_share(lifecycle), "appointment_type", "appointment_status")
+    outcomes = analysis.appointment_outcome_share(lifecycle)
+    appt = by(outcomes, "appointment_type", "appointment_status")
     assert appt["initial_appt", "completed"].status_pct == 92.33
     assert appt["initial_appt", "no_show"].status_pct == 1.83
     assert appt["initial_appt", "scheduled"].status_pct == 5.84

@@ -88,7 +88,9 @@ def test_every_nth(spark):
     assert sorted(r.n for r in kept) == [n for n in range(1, 24) if (n - 1) % 5 < 3]
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
 @given(
     data=st.lists(st.tuples(st.sampled_from("abc"), st.integers(-5, 5)), min_size=1, max_size=60)
 )

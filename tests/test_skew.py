@@ -138,7 +138,8 @@ def test_transitions_with_a_hot_entity(payments):
 
 
 def test_frequency_counts_the_hot_entity_once(payments):
-    got = {r.rows_per_entity: r for r in reports.entity_frequency(payments, "subscription_id").collect()}
+    found = reports.entity_frequency(payments, "subscription_id").collect()
+    got = {r.rows_per_entity: r for r in found}
     assert sum(r.rows_represented for r in got.values()) == ROWS
     assert max(got) >= ROWS / 3 and got[max(got)].entity_count == 1
 

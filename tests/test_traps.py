@@ -155,8 +155,8 @@ def test_extreme_changes_keep_ties_and_skip_the_first_month(spark):
     df = monthly(
         spark, {"2024-01": 100, "2024-02": 200, "2024-03": 100, "2024-04": 200, "2024-05": 210}
     )
-    got = [(r.period, r.change_pct) for r in reports.extreme_period_changes(df, "at", "amount").collect()]
-    assert sorted(got) == [
+    found = reports.extreme_period_changes(df, "at", "amount").collect()
+    assert sorted((r.period, r.change_pct) for r in found) == [
         (ts("2024-02-01"), 100.0),
         (ts("2024-03-01"), -50.0),
         (ts("2024-04-01"), 100.0),
@@ -513,7 +513,9 @@ def test_update_reads_the_row_as_it_was(spark):
         [(1, "open", None), (2, "open", 5), (3, "open", 5), (4, "open", 5)],
         "id BIGINT, status STRING, n INT",
     )
-    source = spark.createDataFrame([(1, 7, True), (2, 8, True), (3, 9, False)], "id BIGINT, m INT, go BOOLEAN")
+    source = spark.createDataFrame(
+        [(1, 7, True), (2, 8, True), (3, 9, False)], "id BIGINT, m INT, go BOOLEAN"
+    )
     got = transforms.update_from(
         target,
         source,
@@ -594,3 +596,215 @@ def test_broadcast_only_below_the_checked_size(spark):
     assert "ResolvedHint" not in plan(sized_broadcast(df, max_rows=9))
     joined = spark.range(100).join(sized_broadcast(df, max_rows=10), "id")
     assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+# One passing, one failing and one NULL row per rule of the larger checks.
+
+
+def test_customer_domains(spark):
+    from subtide.plans import checks
+    from subtide.plans.lifecycle import Lifecycle
+
+    df = spark.createDataFrame(
+        [
+            (1, "M", date(2024, 1, 1), "TX", "meta"),
+            (2, "X", date(2024, 1, 1), "TX", "meta"),
+            (3, None, date(2024, 1, 1), "TX", "meta"),
+            (4, "F", date(2024, 1, 3), "TX", "meta"),
+            (5, "F", None, "TX", "meta"),
+            (6, "F", date(2024, 1, 2), "T ", "meta"),
+            (7, "F", date(2024, 1, 2), None, "meta"),
+            (8, "F", date(2024, 1, 2), "TX", "radio"),
+            (9, "F", date(2024, 1, 2), "TX", None),
+            (10, "F", date(2024, 1, 2), "TX", "organic"),
+        ],
+        "customer_id INT, gender STRING, signup_date DATE, state_code STRING, "
+        "acquisition_channel STRING",
+    )
+    unused = dict.fromkeys(schemas.TABLES, df)
+    lc = Lifecycle("2024-01-02 23:59:59", **unused)
+    got = checks.customer_domains(lc).select("customer_id")
+    assert rows(got) == {(i,) for i in range(2, 10)}
+
+
+def test_intake_consistency(spark):
+    t0, t1, t2 = ts("2024-01-01"), ts("2024-01-02"), ts("2024-01-03")
+    subs = spark.createDataFrame(
+        [(i, t1) for i in range(1, 9)], f"subscription_id BIGINT, selected_at {TS}"
+    )
+    intakes = spark.createDataFrame(
+        [
+            (1, "completed", t1, t2),
+            (2, "completed", None, t2),
+            (3, "completed", t1, None),
+            (4, "pending", None, None),
+            (5, "pending", t1, t2),
+            (6, "expired", t1, t2),
+            (7, "expired", t0, None),
+            (8, None, t1, None),
+        ],
+        f"subscription_id BIGINT, intake_status STRING, started_at {TS}, completed_at {TS}",
+    )
+    got = quality.child_status_consistency(intakes, subs).select("subscription_id")
+    assert rows(got) == {(2,), (3,), (5,), (6,), (7,)}
+
+
+def test_rejection_timing(spark):
+    t0, t1, t2 = ts("2024-01-01"), ts("2024-01-02"), ts("2024-01-03")
+    subs = spark.createDataFrame(
+        [(i, "rejected", t1) for i in range(1, 7)] + [(7, "cancelled", t1)],
+        f"subscription_id BIGINT, subscription_status STRING, ended_at {TS}",
+    )
+    intakes = spark.createDataFrame(
+        [
+            (1, "completed", t0, t0),
+            (2, "completed", t0, t1),
+            (3, "completed", t0, t2),
+            (4, "completed", t0, None),
+            (5, "expired", t1, None),
+            (6, "expired", None, None),
+            (7, "completed", t0, t2),
+        ],
+        f"subscription_id BIGINT, intake_status STRING, started_at {TS}, completed_at {TS}",
+    )
+    assert rows(quality.rejection_timing_counts(subs, intakes)) == {(2, 1)}
+
+
+def test_appointment_rules(spark):
+    t = ts("2024-01-01")
+    df = spark.createDataFrame(
+        [
+            (1, "initial_appt", "completed", "eligible", t),
+            (2, "initial_appt", "completed", "eligible", None),
+            (3, "initial_appt", "completed", None, t),
+            (4, "initial_appt", "no_show", None, None),
+            (5, "initial_appt", "no_show", None, t),
+            (6, "initial_appt", "no_show", "eligible", None),
+            (7, "follow_up", "completed", None, t),
+            (8, "follow_up", "completed", "eligible", t),
+            (9, "follow_up", "rescheduled", None, None),
+            (10, None, None, None, None),
+        ],
+        f"""id INT, appointment_type STRING, appointment_status STRING,
+        eligibility_result STRING, completed_at {TS}""",
+    )
+    got = quality.appointment_rules(df).select("id")
+    assert rows(got) == {(2,), (3,), (5,), (6,), (8,)}
+
+
+def test_eligible_population_includes_the_exact_day(spark):
+    t = ts("2024-01-01")
+    df = spark.createDataFrame(
+        [
+            ("active", t, None),
+            ("active", ts("2024-02-01"), None),
+            ("cancelled", t, ts("2024-01-31")),
+            ("cancelled", t, ts("2024-01-30 23:59:59")),
+            ("pending", None, None),
+        ],
+        f"subscription_status STRING, activated_at {TS}, ended_at {TS}",
+    )
+    got = quality.eligible_population(df, "2024-02-29 00:00:00")
+    assert rows(got) == {("active", 1), ("cancelled", 1)}
+
+
+def test_appointment_timeline(spark):
+    t = {day: ts(f"2024-01-{day:02d}") for day in range(1, 32)}
+    subs = spark.createDataFrame(
+        [(1, t[5], None), (2, None, None), (3, t[5], t[20])],
+        f"subscription_id BIGINT, activated_at {TS}, ended_at {TS}",
+    )
+    intakes = spark.createDataFrame(
+        [(1, 1, "completed", t[4]), (3, 3, "pending", None)],
+        f"subscription_id BIGINT, intake_id BIGINT, intake_status STRING, completed_at {TS}",
+    )
+    appts = spark.createDataFrame(
+        [
+            (1, 1, "initial_appt", "completed", t[4], t[5]),
+            (2, 1, "initial_appt", "completed", t[4], t[4]),
+            (3, 1, "initial_appt", "completed", t[4], None),
+            (4, 2, "initial_appt", "scheduled", t[4], None),
+            (5, 3, "initial_appt", "scheduled", t[4], None),
+            (6, 1, "follow_up", "completed", ts("2024-02-04"), None),
+            (7, 1, "follow_up", "completed", ts("2024-02-03 23:59:59"), None),
+            (8, 2, "follow_up", "scheduled", t[10], None),
+            (9, 3, "follow_up", "scheduled", ts("2024-02-05"), None),
+            (10, 1, "follow_up", "scheduled", ts("2024-03-01 00:00:01"), None),
+            (11, 9, "initial_appt", "scheduled", t[4], None),
+        ],
+        f"""appointment_id BIGINT, subscription_id BIGINT, appointment_type STRING,
+        appointment_status STRING, scheduled_at {TS}, completed_at {TS}""",
+    )
+    got = quality.timeline_violations(subs, appts, intakes, "2024-03-01 00:00:00")
+    assert rows(got.select("appointment_id")) == {(i,) for i in (2, 4, 5, 7, 8, 9, 10)}
+
+
+def test_first_charge_and_reversal(spark):
+    t = ts("2024-01-01")
+    subs = spark.createDataFrame(
+        [(1, 1), (2, 2), (3, 1)], "subscription_id BIGINT, plan_id BIGINT"
+    )
+    plans = spark.createDataFrame(
+        [(1, Decimal("9.00")), (2, Decimal("19.00"))],
+        "plan_id BIGINT, monthly_price DECIMAL(10,2)",
+    )
+    intakes = spark.createDataFrame(
+        [(1, "completed", t), (2, "completed", t), (3, "pending", None)],
+        f"subscription_id BIGINT, intake_status STRING, completed_at {TS}",
+    )
+    appts = spark.createDataFrame(
+        [
+            (1, "initial_appt", "scheduled", None, None),
+            (2, "initial_appt", "completed", "not_eligible", t + timedelta(days=1)),
+            (2, "follow_up", "completed", "not_eligible", t),
+            (3, "initial_appt", "completed", "not_eligible", t),
+        ],
+        f"""subscription_id BIGINT, appointment_type STRING, appointment_status STRING,
+        eligibility_result STRING, completed_at {TS}""",
+    )
+    charges = transforms.first_charge(subs, plans, intakes, appts)
+    paid = t + timedelta(hours=1)
+    assert rows(charges) == {
+        (1, paid, "successful", "initial", Decimal("9.00")),
+        (2, paid, "successful", "initial", Decimal("19.00")),
+    }
+    payments = charges.withColumn("payment_id", F.col("subscription_id") * 10)
+    back = transforms.full_reversal(payments, appts)
+    assert rows(back.select("payment_id", "processed_at", "refund_amount")) == {
+        (20, t + timedelta(days=1, minutes=30), Decimal("19.00"))
+    }
+
+
+def test_state_to_events_skips_missing_times(spark):
+    a, b = ts("2024-01-01"), ts("2024-01-05")
+    df = spark.createDataFrame(
+        [(1, "cancelled", a, b), (2, "active", a, None), (3, "completed", b, b)],
+        f"id BIGINT, status STRING, started {TS}, ended {TS}",
+    )
+    got = transforms.state_to_events(
+        df,
+        "id",
+        {
+            "began": ("started", None, None),
+            "left": ("ended", F.lit("why"), F.col("status") == "cancelled"),
+            "done": ("ended", None, F.col("ended") > F.col("started")),
+        },
+    )
+    assert rows(got) == {
+        (1, "began", None, a),
+        (1, "left", "why", b),
+        (1, "done", None, b),
+        (2, "began", None, a),
+        (3, "began", None, b),
+    }
+
+
+def test_lifecycle_coverage_counts_entities_without_events(spark):
+    subs = spark.createDataFrame([(1, "x"), (2, "x"), (3, "y")], "sub BIGINT, status STRING")
+    events = spark.createDataFrame(
+        [(1, "a"), (1, "a"), (2, "b"), (9, "a")], "sub BIGINT, kind STRING"
+    )
+    got = quality.lifecycle_coverage(
+        events, subs, "sub", "status", "kind", {"a": "a", "b": "b"}
+    )
+    assert rows(got) == {("x", 2, 1, 1), ("y", 1, 0, 0)}
