@@ -8,8 +8,10 @@ joins only ever see one row per key.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from subtide.functions import column, elapsed_seconds, pct
 
@@ -64,23 +66,33 @@ def share_of_total(
     count: str = "row_count",
     total: str = "total_count",
     share: str = "share_pct",
-    measures: Sequence[Column] = (),
 ) -> DataFrame:
     """Count rows (or distinct entities) per group, with the group's total and percentage.
 
-    The total sums the counts of one ``within`` group; it runs over aggregated rows only.
+    The total sums the counts of one ``within`` group.
     """
     keys = [*within, *by]
     size = F.count(F.lit(1)) if entity is None else F.count_distinct(entity)
-    counted = df.groupBy(*keys).agg(size.alias(count), *measures)
+    counted = df.groupBy(*keys).agg(size.alias(count))
     return with_share(counted, count, within, total, share)
 
 
 def with_share(
     counted: DataFrame, count: str, within: Sequence[str], total: str, share: str
 ) -> DataFrame:
-    whole = F.sum(count).over(Window.partitionBy(*within))
-    return counted.withColumn(total, whole).withColumn(share, pct(count, total))
+    """Add the group's total and the percentage to already counted rows.
+
+    The totals are joined back, so no task ever holds all rows of one group, however many values
+    are counted. Both branches read the same exchange.
+    """
+    if within:
+        totals = counted.groupBy(*within).agg(F.sum(count).alias(total))
+        same = [F.col(f"c.{k}").eqNullSafe(F.col(f"t.{k}")) for k in within]
+        matched = counted.alias("c").join(totals.alias("t"), reduce(and_, same))
+        counted = matched.select("c.*", f"t.{total}")
+    else:
+        counted = counted.withColumn(total, counted.agg(F.sum(count)).scalar())
+    return counted.withColumn(share, pct(count, total))
 
 
 def duration_stats(

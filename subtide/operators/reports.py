@@ -176,11 +176,13 @@ def period_comparison(
 def period_status_share(
     df: DataFrame, ts: str, start: str, end: str, by: str, value: str
 ) -> DataFrame:
-    """Row count, share within the month and amount per status inside a half-open range."""
+    """Row count, share within the month and amount per status inside a half-open range.
+
+    The window sees one row per month and status, and lets the range be read only once.
+    """
     counted = period_comparison(df, ts, start, end, by, value)
-    return with_share(counted, "row_count", ["period"], "period_total", "status_pct").drop(
-        "period_total"
-    )
+    whole = F.sum("row_count").over(Window.partitionBy("period"))
+    return counted.withColumn("status_pct", pct("row_count", whole))
 
 
 def outcome_split_by_dimension(

@@ -253,9 +253,11 @@ def cancellation_rate_by_plan(lc: Lifecycle) -> DataFrame:
 
 
 def cancellation_reasons_by_plan(lc: Lifecycle) -> DataFrame:
+    # Naming the plans drops a missing plan anyway; dropping it here lets the counts and their
+    # totals share one exchange.
     shares = reports.exit_reason_share_by_dimension(
         lc.subscription_events,
-        lc.subscriptions,
+        lc.subscriptions.filter(F.col("plan_id").isNotNull()),
         "subscription_id",
         "event_type",
         "cancelled",

@@ -185,6 +185,11 @@ def appointments(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def unnumbered_lines(lineitem: DataFrame) -> DataFrame:
+    """Line items with an empty key, for what never reads it: the scan stays a plain one."""
+    return lineitem.withColumn("line_no", F.lit(None).cast("long"))
+
+
 def positioned_lines(lineitem: DataFrame) -> DataFrame:
     """Line items with their place in the files as a key: unique, stable, free of any shuffle."""
     place = F.struct("_metadata.file_path", "_metadata.row_index")
@@ -252,13 +257,20 @@ def subscription_events(lines: DataFrame) -> DataFrame:
     )
 
 
-def lifecycle(spark: SparkSession, folder: str, numbered: bool = False) -> Lifecycle:
-    """All eight tables. Unless ``numbered``, payment and event ids are file positions."""
+KEYED_LINES = {
+    None: unnumbered_lines,
+    "position": positioned_lines,
+    "number": numbered_lines,
+}
+
+
+def lifecycle(spark: SparkSession, folder: str, ids: str | None = None) -> Lifecycle:
+    """All eight tables; ``ids`` says what payments, refunds and events are keyed by."""
     table = cache(partial(open_table, spark, folder))
 
     @cache
     def lines() -> DataFrame:
-        return (numbered_lines if numbered else positioned_lines)(table("lineitem"))
+        return KEYED_LINES[ids](table("lineitem"))
 
     return Lifecycle(
         CUTOFF,

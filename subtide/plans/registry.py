@@ -33,10 +33,10 @@ def portable(df: DataFrame) -> DataFrame:
 
 
 def _on_lifecycle(
-    report: Callable[[Lifecycle], DataFrame], numbered: bool = False, drop: tuple[str, ...] = ()
+    report: Callable[[Lifecycle], DataFrame], ids: str | None = None, drop: tuple[str, ...] = ()
 ) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        lc = bindings.lifecycle(configure(spark), folder, numbered)
+        lc = bindings.lifecycle(configure(spark), folder, ids)
         return portable(report(lc).drop(*drop))
 
     return query
@@ -108,7 +108,7 @@ QUERIES: dict[str, Query] = {
     "payment_outcome_share": _on_lifecycle(analysis.payment_outcome_share),
     "conditional_sums": _on_lifecycle(analysis.payments_by_plan),
     "status_summary": _on_lifecycle(analysis.refund_status_summary),
-    "net_of_adjustments": _on_lifecycle(analysis.net_payments_by_plan),
+    "net_of_adjustments": _on_lifecycle(analysis.net_payments_by_plan, ids="position"),
     "extreme_period_changes": _on_lifecycle(analysis.extreme_month_changes),
     "period_comparison": _on_lifecycle(lambda lc: analysis.period_comparison(lc, *PERIOD)),
     "period_status_share": _on_lifecycle(lambda lc: analysis.renewal_status_share(lc, *PERIOD)),
@@ -144,20 +144,22 @@ QUERIES: dict[str, Query] = {
     "eligible_population": _on_lifecycle(checks.follow_up_population),
     "timeline_violations": _on_lifecycle(checks.appointment_timeline),
     "amount_vs_reference": _on_lifecycle(checks.payment_rules, drop=("payment_id",)),
-    "child_cardinality": _on_lifecycle(checks.initial_payment_cardinality),
+    "child_cardinality": _on_lifecycle(checks.initial_payment_cardinality, ids="position"),
     "after_first_event": _on_lifecycle(checks.renewals_after_initial, drop=("payment_id",)),
     "payment_status_summary": _on_lifecycle(checks.payment_status_summary),
-    "refund_rules": _on_lifecycle(checks.refund_rules, drop=("refund_id", "payment_id")),
+    "refund_rules": _on_lifecycle(
+        checks.refund_rules, ids="position", drop=("refund_id", "payment_id")
+    ),
     "refund_summary": _on_lifecycle(checks.refund_summary),
     "conditional_domain": _on_lifecycle(checks.event_reasons, drop=("event_id",)),
     "lifecycle_coverage": _on_lifecycle(checks.lifecycle_coverage),
     "duplicate_events": _on_lifecycle(checks.duplicate_events),
     "chronology_violations": _on_lifecycle(checks.event_chronology),
     "source_consistency": _on_lifecycle(checks.event_source_times),
-    "check_constraints": _on_lifecycle(checks.check_constraints),
+    "check_constraints": _on_lifecycle(checks.check_constraints, ids="position"),
     "referential_integrity": _on_tables(_driver_references),
-    "lifecycle_references": _on_lifecycle(checks.referential_integrity, numbered=True),
-    "uniqueness": _on_lifecycle(checks.uniqueness, numbered=True),
+    "lifecycle_references": _on_lifecycle(checks.referential_integrity, ids="number"),
+    "uniqueness": _on_lifecycle(checks.uniqueness, ids="number"),
     # Transforms.
     "dense_number": _on_tables(steps.numbered_lines),
     "dense_number_by_group": _on_tables(steps.numbered_by_status),
@@ -170,7 +172,7 @@ QUERIES: dict[str, Query] = {
     "due_status": _on_lifecycle(steps.due_status),
     "first_charge": _on_lifecycle(steps.first_charge),
     "full_reversal": _on_lifecycle(steps.full_reversal, drop=("payment_id",)),
-    "latest_in_window": _on_lifecycle(steps.cancellation_refunds, numbered=True),
+    "latest_in_window": _on_lifecycle(steps.cancellation_refunds, ids="number"),
     "state_to_events": _on_lifecycle(steps.state_to_events),
     "reason_from_context": _on_lifecycle(steps.reason_from_context),
     "update_from": _on_lifecycle(steps.intake_updates),

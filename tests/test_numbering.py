@@ -41,20 +41,38 @@ def test_numbers_are_dense_and_in_order(skewed, by_group):
 
 
 def test_a_hot_group_is_spread_over_tasks(spark, skewed, monkeypatch):
+    parts = spread(spark, monkeypatch, skewed, ["v", "id"], ["g"])
+    assert len([key for key in parts if key[1] == HOT]) > 1
+    assert max(parts.values()) < 60_000 / 3
+
+
+def spread(spark, monkeypatch, df, *args) -> dict:
+    """Rows per task of the written table, without merging small partitions."""
     kept = []
     plain = numbering.written
-    monkeypatch.setattr(numbering, "written", lambda df: kept.append(plain(df)) or kept[-1])
+    monkeypatch.setattr(numbering, "written", lambda d: kept.append(plain(d)) or kept[-1])
     conf = "spark.sql.adaptive.coalescePartitions.enabled"
     spark.conf.set(conf, "false")
     try:
-        dense_number(skewed, ["v", "id"], ["g"])
+        dense_number(df, *args)
     finally:
         spark.conf.set(conf, "true")
-    tasks = kept[0].withColumn("task", F.shiftright("_pos", 33))
-    per_task = [r["count"] for r in tasks.groupBy("task").count().collect()]
-    hot_tasks = tasks.filter(F.col("g") == HOT).select("task").distinct().count()
-    assert hot_tasks > 1
-    assert max(per_task) < 60_000 / 3
+    tasks = kept[0].groupBy(F.shiftright("_pos", 33).alias("task"), *df.columns[:1]).count()
+    return {tuple(r)[:2]: r["count"] for r in tasks.collect()}
+
+
+def test_a_frequent_order_value_is_spread_and_repeatable(spark, skewed, monkeypatch):
+    parts = spread(spark, monkeypatch, skewed, ["g"])
+    assert len([key for key in parts if key[1] == HOT]) > 1
+    assert max(parts.values()) < 60_000 / 3
+    first = {r.id: r.row_no for r in dense_number(skewed, ["g"]).collect()}
+    again = {r.id: r.row_no for r in dense_number(skewed.repartition(3), ["g"]).collect()}
+    assert first == again
+
+
+def test_columns_that_cannot_be_hashed(spark):
+    df = spark.range(5).select(F.create_map(F.lit("k"), "id").alias("m"), "id")
+    assert sorted(r.row_no - r.id for r in dense_number(df, ["id"]).collect()) == [1] * 5
 
 
 def test_many_groups_need_no_broadcast(skewed, monkeypatch):
