@@ -19,20 +19,24 @@ def dense_number(
     partition_by: Sequence[str] = (),
     name: str = "row_no",
     start: int = 1,
+    no_ties: bool = False,
 ) -> DataFrame:
     """Number rows ``start, start + 1, ...`` over the whole table or inside each group.
 
-    ``order_by`` should be a total order; rows equal in it are ordered by a hash of their
-    content, so the numbers are repeatable and one frequent value does not end up in one task.
     Rows are range-partitioned by group and order, so one group holding most rows is spread
-    over as many tasks as its size needs. Only exact copies of one row always stay together;
-    give them a position to order by, as ``read_positioned_csv`` does. The sorted rows are written once; one narrow pass then counts rows per (task, group) and
-    a prefix sum over those counts gives each slice its offset. Writing is what
-    makes the two passes agree: range bounds are sampled and may differ on a second run.
+    over as many tasks as its size needs. The sorted rows are written once; one narrow pass
+    then counts rows per (task, group), and a prefix sum over those counts gives each slice its
+    offset. Writing is what makes the two passes agree: range bounds are sampled and may differ
+    on a second run.
+
+    Rows equal in ``order_by`` are ordered by a hash of their content, so the numbers are
+    repeatable and one frequent value is spread as well; ``no_ties`` skips the hash where the
+    order is known to be unique. Exact copies of a row stay together unless a position, such as
+    ``read_positioned_csv`` gives, is part of the order.
     """
     group = list(partition_by)
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    keys = [*[F.col(c) for c in group], *order, _content_hash(df)]
+    keys = [*[F.col(c) for c in group], *order, *([] if no_ties else _content_hash(df))]
     ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     table = written(ranged.withColumn("_pos", F.monotonically_increasing_id()))
     table = table.withColumn("_task", F.shiftright("_pos", _TASK_BITS))
@@ -66,13 +70,13 @@ def dense_number(
     )
 
 
-def _content_hash(df: DataFrame) -> Column:
+def _content_hash(df: DataFrame) -> list[Column]:
     hashable = [
         f.name
         for f in df.schema
         if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))
     ]
-    return F.xxhash64(*[F.col(f"`{c}`") for c in hashable]) if hashable else F.lit(0)
+    return [F.xxhash64(*[F.col(f"`{c}`") for c in hashable])] if hashable else []
 
 
 def every_nth(
