@@ -20,6 +20,7 @@ def dense_number(
     name: str = "row_no",
     start: int = 1,
     no_ties: bool = False,
+    drop: Sequence[str] = (),
 ) -> DataFrame:
     """Number rows ``start, start + 1, ...`` over the whole table or inside each group.
 
@@ -32,13 +33,15 @@ def dense_number(
     Rows equal in ``order_by`` are ordered by a hash of their content, so the numbers are
     repeatable and one frequent value is spread as well; ``no_ties`` skips the hash where the
     order is known to be unique. Exact copies of a row stay together unless a position, such as
-    ``read_positioned_csv`` gives, is part of the order.
+    ``read_positioned_csv`` gives, is part of the order. Columns that only serve the order can
+    be named in ``drop``: they take part in the shuffle but are not written.
     """
     group = list(partition_by)
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     keys = [*[F.col(c) for c in group], *order, *([] if no_ties else _content_hash(df))]
     ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    table = written(ranged.withColumn("_pos", F.monotonically_increasing_id()))
+    kept = [c for c in df.columns if c not in drop]
+    table = written(ranged.select(*kept, F.monotonically_increasing_id().alias("_pos")))
     table = table.withColumn("_task", F.shiftright("_pos", _TASK_BITS))
 
     slices = table.groupBy("_task", *group).agg(
@@ -64,7 +67,7 @@ def dense_number(
         table.alias("t")
         .join(offsets.alias("o"), same_slice)
         .select(
-            *[F.col(f"t.{c}") for c in df.columns],
+            *[F.col(f"t.{c}") for c in kept],
             (F.col("t._pos") + F.col("o._shift")).alias(name),
         )
     )

@@ -197,10 +197,10 @@ def positioned_lines(lineitem: DataFrame) -> DataFrame:
 
 
 def numbered_lines(lineitem: DataFrame) -> DataFrame:
-    """Line items numbered 1..n by all their columns; the place in the files settles ties."""
-    positioned = positioned_lines(lineitem).withColumnRenamed("line_no", "_place")
+    """Line items numbered 1..n by all their columns; the place in the scan settles ties."""
+    placed = lineitem.withColumn("_place", F.monotonically_increasing_id())
     order = [*lineitem.columns, "_place"]
-    return dense_number(positioned, order, name="line_no", no_ties=True).drop("_place")
+    return dense_number(placed, order, name="line_no", no_ties=True, drop=["_place"])
 
 
 def payments(lines: DataFrame) -> DataFrame:

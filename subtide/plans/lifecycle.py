@@ -36,8 +36,14 @@ class Lifecycle:
 
     @classmethod
     def read(cls, spark: SparkSession, folder: str, cutoff: str) -> Lifecycle:
-        """Open the eight tables stored as ``<folder>/<table>.parquet``."""
-        return cls(cutoff, **{name: partial(read_table, spark, folder, name) for name in TABLES})
+        """Open the eight tables stored as ``<folder>/<table>.parquet``, by their declared types."""
+        return cls(
+            cutoff,
+            **{
+                name: partial(read_table, spark, folder, name, table.ddl)
+                for name, table in TABLES.items()
+            },
+        )
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in TABLES}

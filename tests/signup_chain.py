@@ -34,7 +34,7 @@ def appended(target: DataFrame, rows: DataFrame, key: str, order: list[str], tab
 
 def customers(spark: SparkSession, path: str) -> DataFrame:
     rows = read_positioned_csv(spark, path, SIGNUP_FILE)
-    return dense_number(rows, list(POSITION), name="customer_id").drop(*POSITION)
+    return dense_number(rows, POSITION, name="customer_id", no_ties=True, drop=POSITION)
 
 
 def plans(spark: SparkSession) -> DataFrame:

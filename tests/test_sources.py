@@ -35,7 +35,9 @@ def test_csv_rows_keep_their_file_order_across_splits(spark, tmp_path):
     try:
         df = read_positioned_csv(spark, path, SIGNUP_FILE)
         assert df.rdd.getNumPartitions() > 3
-        got = dense_number(df, list(POSITION), name="customer_id").collect()
+        numbered = dense_number(df, POSITION, name="customer_id", no_ties=True, drop=POSITION)
+        assert not set(POSITION) & set(numbered.columns)
+        got = numbered.collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
     assert all(r.acquisition_channel == f"c{r.customer_id - 1}" for r in got)
