@@ -21,6 +21,7 @@ def dense_number(
     start: int = 1,
     no_ties: bool = False,
     drop: Sequence[str] = (),
+    spread_copies: bool = False,
 ) -> DataFrame:
     """Number rows ``start, start + 1, ...`` over the whole table or inside each group.
 
@@ -32,10 +33,15 @@ def dense_number(
 
     Rows equal in ``order_by`` are ordered by a hash of their content, so the numbers are
     repeatable and one frequent value is spread as well; ``no_ties`` skips the hash where the
-    order is known to be unique. Exact copies of a row stay together unless a position, such as
-    ``read_positioned_csv`` gives, is part of the order. Columns that only serve the order can
-    be named in ``drop``: they take part in the shuffle but are not written.
+    order is known to be unique. Exact copies of a row have one hash. ``spread_copies`` writes
+    the rows first and tells copies apart by their place in the written table, which a retried
+    task reads back unchanged; use it where one row may be copied very often and no position,
+    such as ``read_positioned_csv`` gives, is part of the order. Columns that only serve the
+    order can be named in ``drop``: they take part in the shuffle but are not written.
     """
+    if spread_copies:
+        df = written(df).withColumn("_place", F.monotonically_increasing_id())
+        order_by, drop = [*order_by, "_place"], [*drop, "_place"]
     group = list(partition_by)
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     keys = [*[F.col(c) for c in group], *order, *([] if no_ties else _content_hash(df))]

@@ -70,6 +70,25 @@ def test_a_frequent_order_value_is_spread_and_repeatable(spark, skewed, monkeypa
     assert first == again
 
 
+def test_copies_of_one_row_are_spread_and_counted_once_each(spark, monkeypatch):
+    copied = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id"))
+    df = spark.range(60_000).select(copied.alias("v")).repartition(7)
+    kept = []
+    plain = numbering.written
+    monkeypatch.setattr(numbering, "written", lambda d: kept.append(plain(d)) or kept[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        numbered = dense_number(df, ["v"], spread_copies=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert numbered.columns == ["v", "row_no"]
+    got = numbered.collect()
+    assert sorted(r.row_no for r in got) == list(range(1, 60_001))
+    assert {r.row_no for r in got if r.v == -1} == set(range(1, 20_001))
+    tasks = kept[-1].filter("v = -1").select(F.shiftright("_pos", 33)).distinct().count()
+    assert tasks > 1
+
+
 def test_columns_that_cannot_be_hashed(spark):
     df = spark.range(5).select(F.create_map(F.lit("k"), "id").alias("m"), "id")
     assert sorted(r.row_no - r.id for r in dense_number(df, ["id"]).collect()) == [1] * 5
