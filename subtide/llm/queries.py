@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from subtide.llm import mixing
+from subtide.llm import chat, mixing, urls
 from subtide.llm.common import table
 from subtide.session import configure
 
@@ -55,8 +55,97 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
+# Host, path and verdict of the rules that the URL query applies.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(configure(spark), folder, "pages")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.judge(pages, urls.build(rules), default="allow")
+
+
+OP6_SQL = f"""
+WITH rules(host, path, verdict) AS (VALUES {", ".join(map(str, URL_RULES))}),
+parsed AS (
+  SELECT page_id, CASE WHEN position('://' IN url) > 0
+                  THEN substr(url, position('://' IN url) + 3) END AS rest
+  FROM pages),
+split AS (
+  SELECT page_id,
+         translate(COALESCE(regexp_extract(rest, '^[^/?#]*', 0), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         COALESCE(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+  FROM parsed),
+fits AS (
+  SELECT s.page_id, r.host || r.path AS rule, r.verdict,
+         ROW_NUMBER() OVER (PARTITION BY s.page_id
+           ORDER BY length(r.host) + length(r.path) DESC, length(r.host) DESC) AS place
+  FROM split s JOIN rules r
+    ON (s.host = r.host OR ends_with(s.host, '.' || r.host)) AND starts_with(s.path, r.path))
+SELECT s.page_id, s.host, s.path, f.rule, COALESCE(f.verdict, 'allow') AS verdict
+FROM split s LEFT JOIN fits f ON s.page_id = f.page_id AND f.place = 1
+"""
+
+
+def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(configure(spark), folder, "conversations")
+    turns = turns.select("conv_id", "turn", "role", "text")
+    tricky = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").cast(turns.schema["turn"].dataType).alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROL_TEXT).alias("text"),
+    )
+    formatted = chat.format_conversations(turns.unionByName(tricky), trained="assistant")
+    read = formatted.withColumn("_turns", chat.read_turns("formatted"))
+    said = F.transform("_turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.withColumn("_loss", chat.loss_text("segments")).select(
+        "conv_id",
+        F.size("_turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+        F.length("_loss").cast("long").alias("loss_chars"),
+        F.sha2("_loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+CONTROL_TEXT = "\\### Assistant: </turn> ok"
+
+OP7_SQL = f"""
+WITH turns AS (
+  SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{CONTROL_TEXT}' UNION ALL SELECT -7, 1, 'assistant', '{CONTROL_TEXT}'),
+marked AS (
+  SELECT *, COALESCE(LAG(role) OVER w = role, FALSE) AS merged,
+         length(replace(replace(role, '\\', '\\\\'), '<|', '<\\|')) AS role_chars,
+         length(replace(replace(text, '\\', '\\\\'), '<|', '<\\|')) AS text_chars
+  FROM turns
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+SELECT conv_id, COUNT(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(SUM(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(COALESCE(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+              FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(SUM(text_chars + CASE WHEN merged THEN 8
+                             ELSE role_chars + length('<|turn|><|say|><|end|>') + 1 END) AS BIGINT) AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op6_url_filter": op6_url_filter,
+    "op7_chat_format": op7_chat_format,
 }
 
-LLM_ORACLES: dict[str, str] = {"op1_mix_sources": OP1_SQL}
+LLM_ORACLES: dict[str, str] = {
+    "op1_mix_sources": OP1_SQL,
+    "op6_url_filter": OP6_SQL,
+    "op7_chat_format": OP7_SQL,
+}
