@@ -7,19 +7,23 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from subtide.session import configure
+
 # The white space of the word rule: space, tab, line feed, vertical tab, form feed, return.
 SPACES = " \t\n\x0b\x0c\r"
 
-# Rows per batch handed to Python: bounds a worker's memory where texts are long.
-BATCH_ROWS = 1000
+# Bytes per batch handed to Python: bounds a worker's memory where texts are long.
+BATCH_BYTES = "8m"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def ready(spark: SparkSession) -> SparkSession:
+    """The library's settings, and batches of a bounded size for Python."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return configure(spark)
 
 
 def words(text: str | Column) -> Column:
@@ -33,19 +37,6 @@ def lower_ascii(text: str | Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that ``column`` holds about ``most`` bytes in each piece, one row at least."""
-    start, held = 0, 0
-    lengths = pa.compute.binary_length(batch.column(column)).to_pylist()
-    for row, length in enumerate(lengths):
-        if row > start and held + (length or 0) > most:
-            yield batch.slice(start, row - start)
-            start, held = row, 0
-        held += length or 0
-    if start < batch.num_rows:
-        yield batch.slice(start)
-
-
 def record_batches(rows: Iterable[dict], schema: pa.Schema, most: int) -> Iterator[pa.RecordBatch]:
     """Rows as record batches of up to ``most`` rows."""
     held: list[dict] = []

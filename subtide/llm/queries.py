@@ -6,16 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from subtide.llm import chat, mixing, urls
-from subtide.llm.common import table
-from subtide.session import configure
+from subtide.llm import chat, mixing, topk, urls
+from subtide.llm.common import ready, table
 
 MIX_WEIGHTS = [5, 2, 1]
 MIX_SEED = 17
 
 
 def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(configure(spark), folder, "documents")
+    docs = table(ready(spark), folder, "documents")
     mixed = mixing.mix(docs, MIX_WEIGHTS, share=1.0, max_epochs=3, seed=MIX_SEED)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
@@ -55,6 +54,26 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
+def op3_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(ready(spark), folder, "embeddings")
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+OP3_SQL = """
+WITH doubles AS (
+  SELECT CAST(vec_id AS BIGINT) AS vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL),
+whole AS (
+  SELECT vec_id, list_transform(x, lambda c: floor(256 * c)) AS v FROM doubles
+  WHERE len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+ranked AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 # Host, path and verdict of the rules that the URL query applies.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -66,7 +85,7 @@ URL_RULES = [
 
 
 def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
-    pages = table(configure(spark), folder, "pages")
+    pages = table(ready(spark), folder, "pages")
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return urls.judge(pages, urls.build(rules), default="allow")
 
@@ -95,7 +114,7 @@ FROM split s LEFT JOIN fits f ON s.page_id = f.page_id AND f.place = 1
 
 
 def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
-    turns = table(configure(spark), folder, "conversations")
+    turns = table(ready(spark), folder, "conversations")
     turns = turns.select("conv_id", "turn", "role", "text")
     tricky = spark.range(2).select(
         F.lit(-7).cast("long").alias("conv_id"),
@@ -140,12 +159,14 @@ FROM marked GROUP BY conv_id
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op3_exact_top_k": op3_exact_top_k,
     "op6_url_filter": op6_url_filter,
     "op7_chat_format": op7_chat_format,
 }
 
 LLM_ORACLES: dict[str, str] = {
     "op1_mix_sources": OP1_SQL,
+    "op3_exact_top_k": OP3_SQL,
     "op6_url_filter": OP6_SQL,
     "op7_chat_format": OP7_SQL,
 }
