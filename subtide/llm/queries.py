@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from subtide.llm import chat, mixing, topk, urls
+from subtide.llm import chat, mixing, topk, urls, warc
 from subtide.llm.common import ready, table
 
 MIX_WEIGHTS = [5, 2, 1]
@@ -74,6 +74,29 @@ ranked AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(ready(spark), folder, "pages")
+    index = warc.write_bundles(warc.with_revisits(pages))
+    return warc.read_records(index, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+OP5_SQL = """
+WITH whole AS (
+  SELECT CAST(page_id AS BIGINT) AS page_id, CAST(octet_length(encode(COALESCE(html, ''))) AS BIGINT) AS payload_bytes,
+         sha1(COALESCE(html, '')) AS payload_digest
+  FROM pages),
+last AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000
+            THEN MAX(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS last
+  FROM whole)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN last IS NULL OR last IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN last IS NOT DISTINCT FROM page_id THEN NULL ELSE last END AS refers_to
+FROM last
+"""
+
 # Host, path and verdict of the rules that the URL query applies.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -160,6 +183,7 @@ FROM marked GROUP BY conv_id
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op3_exact_top_k": op3_exact_top_k,
+    "op5_warc": op5_warc,
     "op6_url_filter": op6_url_filter,
     "op7_chat_format": op7_chat_format,
 }
@@ -167,6 +191,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 LLM_ORACLES: dict[str, str] = {
     "op1_mix_sources": OP1_SQL,
     "op3_exact_top_k": OP3_SQL,
+    "op5_warc": OP5_SQL,
     "op6_url_filter": OP6_SQL,
     "op7_chat_format": OP7_SQL,
 }

@@ -30,7 +30,7 @@ import xxhash
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, functions as F
 
-from subtide.llm.common import lower_ascii
+from subtide.llm.common import lower_ascii, opened
 from subtide.sources import written
 from subtide.sources.scratch import scratch_root
 
@@ -46,11 +46,6 @@ SHARD = pa.schema(
 JUDGED = "page_id long, host string, path string, rule string, verdict string"
 
 
-def opened(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a folder or file and the path in it; a bare path is local."""
-    return fs.FileSystem.from_uri(uri if ":/" in uri else f"file://{uri}")
-
-
 def digest(host: str, path: str) -> int:
     return xxhash.xxh64_intdigest(f"{host}\0{path}".encode()) - 2**63
 
