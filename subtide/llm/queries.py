@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from subtide.llm import chat, mixing, topk, urls, warc
+from subtide.llm import chat, html, mixing, topk, urls, warc
 from subtide.llm.common import ready, table
 
 MIX_WEIGHTS = [5, 2, 1]
@@ -74,6 +74,10 @@ ranked AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(table(ready(spark), folder, "pages"))
+
+
 def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(ready(spark), folder, "pages")
     index = warc.write_bundles(warc.with_revisits(pages))
@@ -183,6 +187,7 @@ FROM marked GROUP BY conv_id
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op3_exact_top_k": op3_exact_top_k,
+    "op4_html_text": op4_html_text,
     "op5_warc": op5_warc,
     "op6_url_filter": op6_url_filter,
     "op7_chat_format": op7_chat_format,
