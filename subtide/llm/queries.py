@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from subtide.llm import chat, decontaminate, html, mixing, topk, urls, warc
+from subtide.llm import chat, decontaminate, html, langid, mixing, topk, urls, warc
 from subtide.llm.common import ready, table
 
 MIX_WEIGHTS = [5, 2, 1]
@@ -162,6 +162,11 @@ def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(ready(spark), folder, "documents")
+    return langid.identify(docs, langid.train(docs, ~langid.held_out()))
+
+
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs, items = table(ready(spark), folder, "documents"), table(spark, folder, "benchmark")
     return decontaminate.matches(docs, items)
@@ -196,6 +201,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc": op5_warc,
     "op6_url_filter": op6_url_filter,
     "op7_chat_format": op7_chat_format,
+    "op8_language_id": op8_language_id,
     "op10_decontaminate": op10_decontaminate,
 }
 
