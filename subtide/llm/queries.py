@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from subtide.llm import chat, decontaminate, html, langid, mixing, topk, urls, warc
+from subtide.llm import chat, decontaminate, html, langid, mixing, packing, topk, urls, warc
 from subtide.llm.common import ready, table
 
 MIX_WEIGHTS = [5, 2, 1]
@@ -167,6 +167,14 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(docs, langid.train(docs, ~langid.held_out()))
 
 
+# Where the public rank files lie; a parameter of the operator.
+RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
+
+
+def op9_pack_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(ready(spark), folder, "documents"), RANKS)
+
+
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs, items = table(ready(spark), folder, "documents"), table(spark, folder, "benchmark")
     return decontaminate.matches(docs, items)
@@ -202,6 +210,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_url_filter": op6_url_filter,
     "op7_chat_format": op7_chat_format,
     "op8_language_id": op8_language_id,
+    "op9_pack_tokens": op9_pack_tokens,
     "op10_decontaminate": op10_decontaminate,
 }
 
