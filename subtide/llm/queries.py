@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from subtide.llm import chat, decontaminate, html, langid, mixing, packing, topk, urls, warc
+from subtide.llm import chat, decontaminate, html, jaccard, langid, mixing, packing, topk, urls, warc
 from subtide.llm.common import ready, table
 
 MIX_WEIGHTS = [5, 2, 1]
@@ -54,6 +54,11 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(ready(spark), folder, "documents")
+    return jaccard.jaccard_components(docs, size=4, similar=(85, 100))
+
+
 def op3_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(ready(spark), folder, "embeddings")
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256)
@@ -204,6 +209,7 @@ FROM marked GROUP BY conv_id
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_exact_top_k": op3_exact_top_k,
     "op4_html_text": op4_html_text,
     "op5_warc": op5_warc,
