@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyarrow import fs
@@ -21,8 +24,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
 def ready(spark: SparkSession) -> SparkSession:
-    """The library's settings, and batches of a bounded size for Python."""
+    """The library's settings, batches of a bounded size for Python, and this package on the workers."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        folder = tempfile.mkdtemp(prefix="subtide-")  # the driver's own; Spark sends the file on
+        package = Path(__file__).parent.parent
+        archive = shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name)
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return configure(spark)
 

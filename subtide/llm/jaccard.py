@@ -581,3 +581,24 @@ def jaccard_components(
     return profile.join(mapped, "key", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
+
+
+def one_of_each(
+    docs: DataFrame, size: int = SIZE, similar: tuple[int, int] = SIMILAR
+) -> DataFrame:
+    """The documents with all their columns, one per component: that with the component's id.
+
+    Of rows that share this doc_id and the text, one stays.
+    """
+    found = jaccard_components(docs, size, similar)
+    known = lambda c: [F.coalesce(c, F.lit(0)).alias("_id"), F.isnull(c).alias("_none")]
+    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    stay = written(stay.select(*known("doc_id")).distinct())
+    rows = docs.select(
+        F.struct(*docs.columns).alias("_row"),
+        F.xxhash64("text").alias("_text"),
+        *known(F.col("doc_id").cast("long")),
+    )
+    kept = rows.join(stay, ["_id", "_none"], "left_semi")
+    copies = W.partitionBy("_id", "_none", "_text").orderBy("_text")
+    return kept.withColumn("_n", F.row_number().over(copies)).filter("_n = 1").select("_row.*")

@@ -27,6 +27,10 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from subtide.llm.common import words
 from subtide.sources import written
 
+# Of the queries: weights of the sources in turn, and the seed of the sample.
+WEIGHTS = [5, 2, 1]
+SEED = 17
+
 # Hex digits of the sampling hash that make a slot: 16 ** 4 slots per source.
 SLOT_DIGITS = 4
 
@@ -72,10 +76,11 @@ def targets(weighted: DataFrame, share: float = 1.0, max_epochs: int = 3) -> Dat
     )
 
 
-def repetitions(sized: DataFrame, targeted: DataFrame) -> DataFrame:
-    """Add target, source_size and ``copies``, the times a document is taken, to ``sizes`` rows.
+def repetitions(rows: DataFrame, sized: DataFrame, targeted: DataFrame) -> DataFrame:
+    """Add target, source_size and ``copies``, the times a document is taken, to ``rows``.
 
-    Both inputs must be written tables: they are read more than once.
+    ``rows`` have the columns of ``sizes``, and may have more. The other inputs must be written
+    tables: they are read more than once.
     """
     slot = F.substring("_hash", 1, SLOT_DIGITS)
     plan = (
@@ -93,7 +98,7 @@ def repetitions(sized: DataFrame, targeted: DataFrame) -> DataFrame:
     plan = plan.alias("p").join(cuts.alias("s"), same, "left")
     plan = written(plan.select("p.*", "_slot", F.coalesce("_before", F.lit(0)).alias("_before")))
 
-    rows = sized.alias("s").join(plan.alias("p"), same)
+    rows = rows.alias("s").join(plan.alias("p"), same)
     rows = rows.select("s.*", *[f"p.{c}" for c in plan.columns if c != "source"])
     beside = rows.filter(~slot.eqNullSafe(F.col("_slot")))
     more = F.coalesce(slot < F.col("_slot"), F.lit(False))
@@ -114,15 +119,26 @@ def mix(
     share: float = 1.0,
     max_epochs: int = 3,
     seed: int = 0,
-    keep: list[str] | None = None,
 ) -> DataFrame:
     """Rows of (doc_id, source, size, source_size, target, copies, taken), one per document.
 
-    ``cycle`` holds the weights of the sources by code point, repeating. ``keep`` names further
-    columns to carry along.
+    ``cycle`` holds the weights of the sources by code point, repeating.
     """
-    sized = written(sizes(docs, seed, keep))
+    sized = written(sizes(docs, seed))
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targeted = written(targets(cyclic_weights(totals, cycle), share, max_epochs))
-    taken = repetitions(sized, targeted)
+    taken = repetitions(sized, sized, targeted)
     return taken.withColumn("taken", F.col("size") * F.col("copies"))
+
+
+def repeated(
+    docs: DataFrame, cycle: list[int], share: float = 1.0, max_epochs: int = 3, seed: int = 0
+) -> DataFrame:
+    """The documents with all their columns, each as often as the mix takes it."""
+    sized = written(sizes(docs, seed))
+    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    targeted = written(targets(cyclic_weights(totals, cycle), share, max_epochs))
+    whole = docs.withColumn("_row", F.struct(*docs.columns))
+    taken = repetitions(sizes(whole, seed, ["_row"]), sized, targeted).filter("copies > 0")
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return taken.select("_row", each.alias("_copy")).select("_row.*")

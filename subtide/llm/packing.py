@@ -37,6 +37,8 @@ from subtide.llm.common import opened
 from subtide.sources import written
 from subtide.sources.scratch import scratch_root
 
+# Where the public rank files lie.
+RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 LENGTH = 2048
 CHUNK_IDS = 4_000_000
 OUT_ROWS = 200

@@ -6,22 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from subtide.llm import chat, decontaminate, html, jaccard, langid, mixing, packing, topk, urls, warc
 from subtide.llm.common import ready, table
 
-MIX_WEIGHTS = [5, 2, 1]
-MIX_SEED = 17
-
-
 def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(ready(spark), folder, "documents")
-    mixed = mixing.mix(docs, MIX_WEIGHTS, share=1.0, max_epochs=3, seed=MIX_SEED)
+    mixed = mixing.mix(docs, mixing.WEIGHTS, share=1.0, max_epochs=3, seed=mixing.SEED)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
 OP1_SQL = f"""
 WITH sized AS (
-  SELECT doc_id, source, md5('{MIX_SEED}:' || COALESCE(CAST(doc_id AS VARCHAR), '')) AS hash,
+  SELECT doc_id, source, md5('{mixing.SEED}:' || COALESCE(CAST(doc_id AS VARCHAR), '')) AS hash,
          CAST(len(regexp_extract_all(COALESCE(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size
   FROM documents),
 sources AS (SELECT source, CAST(SUM(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
@@ -172,12 +169,8 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(docs, langid.train(docs, ~langid.held_out()))
 
 
-# Where the public rank files lie; a parameter of the operator.
-RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
-
-
 def op9_pack_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(table(ready(spark), folder, "documents"), RANKS)
+    return packing.pack(table(ready(spark), folder, "documents"), packing.RANKS)
 
 
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
@@ -218,6 +211,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_pack_tokens": op9_pack_tokens,
     "op10_decontaminate": op10_decontaminate,
+    "pipeline": corpus_pipeline.run,
 }
 
 LLM_ORACLES: dict[str, str] = {
