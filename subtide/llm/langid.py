@@ -215,6 +215,8 @@ class Model:
         return totals
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
+        if not texts:
+            return []
         lengths = self.lengths(texts)
         best = lengths.argmin(axis=1)
         share = 1 / np.exp2(np.maximum(lengths.min(axis=1, keepdims=True) - lengths, -1000)).sum(axis=1)

@@ -121,9 +121,8 @@ def search(queries: Block, block: Block, k: int, floors: np.ndarray) -> Iterator
         # A little above the bound: the distances are rounded.
         bounds = (queries.norms[row] + block.norms - gap * gap) / 2
         bounds += 1e-6 * (queries.norms[row] + block.norms) + 0.5
-        bounds[block.ids == own] = -np.inf
         kth, best, done, step = floors[row], [], 0, 64
-        order = np.flatnonzero(bounds >= kth)
+        order = np.flatnonzero((bounds >= kth) & (block.ids != own))
         if len(order) > step:
             order = order[np.argsort(-bounds[order], kind="stable")]
         while done < len(order) and (done == 0 or bounds[order[done]] >= kth):
