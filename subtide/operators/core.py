@@ -14,24 +14,28 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from subtide.functions import column, elapsed_seconds, pct
+from subtide.sources import written
 
-# Largest table that is ever marked for broadcast, by counted rows.
-BROADCAST_ROWS = 100_000
+# Largest table that is ever marked for broadcast, in estimated bytes of its rows.
+BROADCAST_BYTES = 256 << 20
 
 UNIT_SECONDS = {"hour": 3600, "day": 86400}
 
 COMBINE = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a dimension for broadcast after counting it; leave a larger one to the planner.
+def sized_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a side for broadcast if its measured size allows; leave a larger one to the planner.
 
-    At most ``max_rows + 1`` narrow rows come back for the check.
+    The side is written, so it is computed once, and one aggregate measures it: 8 bytes per plain
+    value and the length of each string. No row comes to the driver.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    df = written(df)
+    texts = [f.name for f in df.schema if f.dataType.simpleString() == "string"]
+    plain = 16 + 8 * len(df.columns)
+    length = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(plain))
+    size = df.agg(F.sum(length.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df
 
 
 def roll_up(
@@ -102,24 +106,37 @@ def duration_stats(
     keys: Sequence[str],
     unit: str = "day",
     names: Sequence[str] = ("row_count", "avg_duration", "min_duration", "max_duration"),
+    entity: str | None = None,
 ) -> DataFrame:
     """Count, average, shortest and longest time between two columns, both present.
 
-    Sums are decimals, so the result does not depend on the order of the rows.
+    With ``entity`` the count is of distinct entities, the times still of all rows: rows are
+    aggregated per entity first. Sums are decimals, so the order of the rows does not matter.
     """
     unit_seconds = UNIT_SECONDS[unit]
+    once = [*keys, *([entity] if entity else [])]
     stats = (
         df.filter(F.col(start).isNotNull() & F.col(end).isNotNull())
-        .select(*keys, elapsed_seconds(start, end).alias("_s"))
-        .groupBy(*keys)
+        .select(*once, elapsed_seconds(start, end).alias("_s"))
+        .groupBy(*once)
         .agg(
-            F.count(F.lit(1)).alias(names[0]),
+            F.count(F.lit(1)).alias("_rows"),
             F.sum("_s").alias("_sum"),
             F.min("_s").alias("_min"),
             F.max("_s").alias("_max"),
         )
     )
-    average = F.col("_sum") / (F.col(names[0]) * unit_seconds).cast("decimal(20,0)")
+    if entity:
+        stats = stats.groupBy(*keys).agg(
+            F.count(entity).alias(names[0]),
+            F.sum("_rows").alias("_rows"),
+            F.sum("_sum").alias("_sum"),
+            F.min("_min").alias("_min"),
+            F.max("_max").alias("_max"),
+        )
+    else:
+        stats = stats.withColumn(names[0], F.col("_rows"))
+    average = F.col("_sum") / (F.col("_rows") * unit_seconds).cast("decimal(20,0)")
     return stats.select(
         *keys,
         names[0],

@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from subtide.operators.core import sized_broadcast
 from subtide.sources import written
 
+# Bytes of input for each range; a range is one task's sort and cannot be split later.
+RANGE_BYTES = 256 << 20
+
 # monotonically_increasing_id keeps the task number above bit 33 and the row number below it.
 _TASK_BITS = 33
 
@@ -22,6 +25,7 @@ def dense_number(
     no_ties: bool = False,
     drop: Sequence[str] = (),
     spread_copies: bool = False,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Number rows ``start, start + 1, ...`` over the whole table or inside each group.
 
@@ -38,6 +42,9 @@ def dense_number(
     task reads back unchanged; use it where one row may be copied very often and no position,
     such as ``read_positioned_csv`` gives, is part of the order. Columns that only serve the
     order can be named in ``drop``: they take part in the shuffle but are not written.
+
+    ``ranges`` is the number of range partitions. Without it the input's estimated size decides,
+    ``RANGE_BYTES`` each, but at least the session's shuffle partitions.
     """
     if spread_copies:
         df = written(df).withColumn("_place", F.monotonically_increasing_id())
@@ -45,7 +52,7 @@ def dense_number(
     group = list(partition_by)
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     keys = [*[F.col(c) for c in group], *order, *([] if no_ties else _content_hash(df))]
-    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ranged = df.repartitionByRange(ranges or _ranges(df), *keys).sortWithinPartitions(*keys)
     kept = [c for c in df.columns if c not in drop]
     table = written(ranged.select(*kept, F.monotonically_increasing_id().alias("_pos")))
     table = table.withColumn("_task", F.shiftright("_pos", _TASK_BITS))
@@ -63,8 +70,9 @@ def dense_number(
             "_shift"
         ),
     )
-    # One row per task and group: small for the few groups this is meant for. With very many
-    # groups the offsets stay a normal join side; a hot group is then still cut by task.
+    # One row per task and group, a few bytes each: measured, then sent to all tasks, so that the
+    # numbered table is not shuffled again. Only with very many groups the offsets stay a normal
+    # join side; a hot group is then still cut by task.
     offsets = sized_broadcast(offsets)
     same_slice = F.col("t._task") == F.col("o._task")
     for g in group:
@@ -79,6 +87,12 @@ def dense_number(
     )
 
 
+def _ranges(df: DataFrame) -> int:
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(least, int(str(estimate)) // RANGE_BYTES), 1_000_000)
+
+
 def _content_hash(df: DataFrame) -> list[Column]:
     hashable = [
         f.name

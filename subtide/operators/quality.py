@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from subtide.functions import days, ntz, outside, passes
 from subtide.operators.core import sized_broadcast, stage_flags
+from subtide.sources import written
 
 
 def any_of(rules: Sequence[Column]) -> Column:
@@ -88,14 +89,15 @@ def uniqueness(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFra
 def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child key values without a parent and how many rows carry each; a NULL key is no orphan.
 
-    Grouping before the anti join leaves one row per key value, so a popular key costs nothing.
+    Both sides are reduced to one row per key value before the anti join, so a key that is popular
+    on either side costs nothing.
     """
     used = (
         child.filter(F.col(child_key).isNotNull())
         .groupBy(F.col(child_key).cast("long").alias("missing_key"))
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
-    known = parent.select(F.col(parent_key).cast("long").alias("missing_key"))
+    known = parent.select(F.col(parent_key).cast("long").alias("missing_key")).distinct()
     return used.join(known, "missing_key", "left_anti")
 
 
@@ -267,6 +269,8 @@ def amount_vs_reference(
 ) -> DataFrame:
     """Payments that differ from the plan's price, its time span or the expected status."""
     prices = sized_broadcast(plans.select("plan_id", "monthly_price"))
+    # A hot subscription is split if both sides of the join are plain rows, so ``subscriptions``
+    # should be a stored table, not an aggregate.
     span = subscriptions.select("subscription_id", "plan_id", "selected_at", "ended_at")
     joined = payments.join(span.join(prices, "plan_id").drop("plan_id"), "subscription_id")
     paid = F.col("payment_date")
@@ -297,8 +301,11 @@ def child_cardinality(
 def after_first_event(
     rows: DataFrame, on: str, type_col: str, ts: str, first_type: str, later_type: str
 ) -> DataFrame:
-    """Later rows whose entity has no first row, or that are not dated after the earliest one."""
-    firsts = (
+    """Later rows whose entity has no first row, or that are not dated after the earliest one.
+
+    The earliest ones are written, so that the join with the later rows can split a hot entity.
+    """
+    firsts = written(
         rows.filter(F.col(type_col) == first_type).groupBy(on).agg(F.min(ts).alias("first_date"))
     )
     later = rows.filter(F.col(type_col) == later_type)
@@ -337,9 +344,10 @@ def lifecycle_coverage(
     stage_col: str,
     stages: Mapping[str, str],
 ) -> DataFrame:
-    """Per status: entities in total, and entities having each event type."""
+    """Per status: distinct entities in total, and of them those having each event type."""
     flags = stage_flags(events, [entity], stage_col, stages)
-    joined = entities.select(entity, status_col).join(flags, entity, "left")
+    once = entities.select(entity, status_col).distinct()
+    joined = once.join(flags, entity, "left")
     return joined.groupBy(status_col).agg(
         F.count(F.lit(1)).alias("total_count"),
         *[F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in stages],

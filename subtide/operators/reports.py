@@ -35,9 +35,8 @@ def stage_funnel(
     zero counts and NULL rates. ``link`` are the entity columns that ``entities`` is keyed by.
     """
     flags = stage_flags(events, entity, stage_col, stages)
-    reached = roll_up(
-        flags, entities, link, [dim_key], {s: ("sum", F.col(s)) for s in stages}
-    )
+    once = entities.select(*link, dim_key).distinct()
+    reached = roll_up(flags, once, link, [dim_key], {s: ("sum", F.col(s)) for s in stages})
     counts = dims.join(reached, dim_key, "left").select(
         *dims.columns, *[F.coalesce(F.col(s), F.lit(0)).alias(s) for s in stages]
     )
@@ -60,19 +59,19 @@ def reason_share(
 
 
 def conversion_by_dimension(
-    facts: DataFrame, members: DataFrame, member: str, dim: str, converted: Column
+    facts: DataFrame, members: DataFrame, entity: str, member: str, dim: str, converted: Column
 ) -> DataFrame:
-    """Entities and converted entities per dimension value of their member.
+    """Distinct entities and converted entities per dimension value of their member.
 
-    ``facts`` holds one row per entity (the ``uniqueness`` check covers its key), so counting
-    rows per member is exact and needs no distinct. The join then sees one row per member.
+    An entity stored several times counts once: its rows become one per member, then one per
+    dimension value, which also holds if it is stored under several members.
     """
-    counts = roll_up(
-        facts,
-        members,
-        [member],
-        [dim],
-        {"selected_count": rows_of(), "converted_count": rows_of(converted)},
+    once = facts.groupBy(entity, member).agg(F.max(converted.cast("int")).alias("_converted"))
+    placed = once.join(members.select(member, dim), member)
+    per_entity = placed.groupBy(dim, entity).agg(F.max("_converted").alias("_converted"))
+    counts = per_entity.groupBy(dim).agg(
+        F.count(entity).alias("selected_count"),
+        F.sum(F.when(F.col(entity).isNotNull(), F.col("_converted"))).alias("converted_count"),
     )
     return counts.withColumn("conversion_pct", pct("converted_count", "selected_count"))
 
@@ -309,7 +308,7 @@ def exit_reason_share_by_dimension(
     """Distinct entities per dimension and exit reason, with the share inside the dimension."""
     once = events.filter(F.col(type_col) == exit_type).select(entity, reason_col).distinct()
     counted = (
-        once.join(entities.select(entity, *keys), entity)
+        once.join(entities.select(entity, *keys).distinct(), entity)
         .groupBy(*keys, reason_col)
         .agg(F.count(F.lit(1)).alias("entity_count"))
     )

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from subtide.functions import days, first_match, hours, ntz
 from subtide.operators.core import sized_broadcast
 from subtide.operators.numbering import dense_number
+from subtide.sources import written
 
 
 def cyclic_bucket(
@@ -136,13 +137,16 @@ def due_status(
     window_days: int = 7,
     every: int = 12,
     name: str = "payment_status",
+    no_ties: bool = False,
 ) -> DataFrame:
     """Status of a due payment: pending, failed or successful, first match wins.
 
     Pending if the owner is active and the due time is within the window before the
     cutoff; failed for every n-th row in order, where the numbering includes pending rows.
+    ``no_ties`` says that the order is unique. Numbering reads its input twice: hand in a written
+    table if ``df`` is expensive.
     """
-    numbered = dense_number(df, order_by, name="_no")
+    numbered = dense_number(df, order_by, name="_no", no_ties=no_ties)
     open_since = ntz(cutoff) - days(window_days)
     status = first_match(
         [
@@ -242,10 +246,13 @@ def cancellation_refunds(
     lookback_days: int = 7,
     declined_every: int = 5,
 ) -> DataFrame:
-    """Refund requests 30 minutes after a cancellation; every n-th, by end and id, is declined."""
+    """Refund requests 30 minutes after a cancellation; every n-th, by end and id, is declined.
+
+    The ids of the payments must be unique.
+    """
     latest = latest_in_window(subscriptions, payments, lookback_days)
     in_time = latest.filter(F.col("ended_at") + minutes(30) <= ntz(cutoff))
-    numbered = dense_number(in_time, ["ended_at", "payment_id"], name="_no")
+    numbered = dense_number(written(in_time), ["ended_at", "payment_id"], name="_no", no_ties=True)
     declined = F.col("_no") % declined_every == 0
     return numbered.select(
         "payment_id",

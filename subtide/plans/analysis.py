@@ -59,6 +59,7 @@ def conversion_by_channel(lc: Lifecycle) -> DataFrame:
     return reports.conversion_by_dimension(
         lc.subscriptions,
         lc.customers,
+        "subscription_id",
         "customer_id",
         "acquisition_channel",
         F.col("activated_at").isNotNull(),
@@ -72,6 +73,7 @@ def days_to_activation(lc: Lifecycle) -> DataFrame:
         "activated_at",
         PLAN,
         names=("activated_count", "avg_days", "min_days", "max_days"),
+        entity="subscription_id",
     )
     return _with_plan_name(stats, lc).orderBy(*sort_keys("avg_days"))
 

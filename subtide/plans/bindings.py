@@ -15,7 +15,7 @@ from subtide.functions import days, first_match, hours, money
 from subtide.operators.numbering import dense_number
 from subtide.plans.lifecycle import Lifecycle
 from subtide.schemas import EVENT_REASON
-from subtide.sources import read_table
+from subtide.sources import read_table, written_once
 
 CUTOFF = "2001-09-01 23:59:59"
 
@@ -61,25 +61,39 @@ def _plan_id() -> Column:
     return F.substring("o_orderpriority", 1, 1).cast("long")
 
 
+def _stored(created: Column, number: Column) -> list[Column]:
+    """Times of creation and update: the latter before, at or after the former, or NULL."""
+    later = created + days((number % 5 - 1).cast("int"))
+    return [
+        created.alias("created_at"),
+        F.when(number % 7 != 0, later).alias("updated_at"),
+    ]
+
+
 def customers(customer: DataFrame) -> DataFrame:
     signup_days = F.floor(F.abs("c_acctbal") / 2).cast("int")
+    signup_date = F.date_add(F.lit("1992-01-01").cast("date"), signup_days)
     return customer.select(
         F.col("c_custkey").alias("customer_id"),
         F.upper(F.substring("c_mktsegment", 1, 1)).alias("gender"),
-        F.date_add(F.lit("1992-01-01").cast("date"), signup_days).alias("signup_date"),
+        signup_date.alias("signup_date"),
         F.col("c_nationkey").cast("string").alias("state_code"),
         F.lower("c_mktsegment").alias("acquisition_channel"),
+        *_stored(signup_date.cast("timestamp_ntz"), F.col("c_custkey")),
     )
 
 
 def plans(orders: DataFrame) -> DataFrame:
     late = F.lit("2001-07-30").cast("timestamp_ntz")
-    return orders.groupBy(
+    found = orders.groupBy(
         _plan_id().alias("plan_id"), F.substring("o_orderpriority", 3, 99).alias("plan_name")
     ).agg(
         F.min(money("o_totalprice")).alias("monthly_price"),
         (F.max("o_orderdate") >= late).alias("is_available"),
+        F.min("o_orderdate").alias("_first"),
     )
+    stored = _stored(F.col("_first"), F.col("plan_id") * 3 + 4)
+    return found.select("plan_id", "plan_name", "monthly_price", "is_available", *stored)
 
 
 def line_span(lineitem: DataFrame) -> DataFrame:
@@ -90,7 +104,7 @@ def line_span(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def subscriptions(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+def subscriptions(orders: DataFrame, spans: DataFrame) -> DataFrame:
     key = F.col("o_orderkey")
     status = first_match(
         [
@@ -116,7 +130,7 @@ def subscriptions(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     )
     rejected_at = F.col("selected_at") + days(F.col("subscription_id") % 7 + 1)
     return (
-        base.join(line_span(lineitem), "subscription_id", "left")
+        base.join(spans, "subscription_id", "left")
         .withColumn(
             "activated_at",
             F.when(began, F.greatest("first_ship", F.col("selected_at") + days(1))),
@@ -127,14 +141,19 @@ def subscriptions(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
                 F.col("subscription_status") == "rejected", rejected_at
             ),
         )
-        .drop("first_ship", "last_ship", "lines")
+        .select(
+            *base.columns,
+            "activated_at",
+            "ended_at",
+            *_stored(F.col("selected_at"), F.col("subscription_id")),
+        )
     )
 
 
-def intakes(lineitem: DataFrame) -> DataFrame:
+def intakes(spans: DataFrame) -> DataFrame:
     lines, key = F.col("lines"), F.col("subscription_id")
     done = (lines >= 3) | ((lines == 2) & (key % 2 == 1))
-    return line_span(lineitem).select(
+    return spans.select(
         key.alias("intake_id"),
         "subscription_id",
         first_match(
@@ -142,6 +161,7 @@ def intakes(lineitem: DataFrame) -> DataFrame:
         ).alias("intake_status"),
         F.when((lines > 1) | (key % 2 == 1), F.col("first_ship") - days(2)).alias("started_at"),
         F.when(done, F.col("first_ship") - days(1) + hours(lines * 6)).alias("completed_at"),
+        *_stored(F.col("first_ship"), key),
     )
 
 
@@ -181,23 +201,14 @@ def appointments(lineitem: DataFrame) -> DataFrame:
             "appointment_status",
             result.alias("eligibility_result"),
             F.when(done, F.col("scheduled_at") + hours(1)).alias("completed_at"),
+            *_stored(F.col("scheduled_at"), F.col("subscription_id") + F.col("line")),
         )
     )
 
 
-def unnumbered_lines(lineitem: DataFrame) -> DataFrame:
-    """Line items with an empty key, for what never reads it: the scan stays a plain one."""
-    return lineitem.withColumn("line_no", F.lit(None).cast("long"))
-
-
-def positioned_lines(lineitem: DataFrame) -> DataFrame:
-    """Line items with their place in the files as a key: unique, stable, free of any shuffle."""
-    place = F.struct("_metadata.file_path", "_metadata.row_index")
-    return lineitem.select("*", place.alias("line_no"))
-
-
-def numbered_lines(lineitem: DataFrame) -> DataFrame:
+def numbered_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Line items numbered 1..n by all their columns; the place in the scan settles ties."""
+    lineitem = open_table(spark, folder, "lineitem")
     placed = lineitem.withColumn("_place", F.monotonically_increasing_id())
     order = [*lineitem.columns, "_place"]
     return dense_number(placed, order, name="line_no", no_ties=True, drop=["_place"])
@@ -217,6 +228,7 @@ def payments(lines: DataFrame) -> DataFrame:
         ).alias("payment_status"),
         F.when(F.col("l_linenumber") == 1, "initial").otherwise("renewal").alias("payment_type"),
         money("l_extendedprice").alias("amount"),
+        *_stored(F.col("l_shipdate"), F.col("l_partkey")),
     )
 
 
@@ -239,7 +251,7 @@ def refunds(lines: DataFrame) -> DataFrame:
         money(amount).alias("refund_amount"),
         reason.alias("refund_reason"),
         F.when(F.col("l_tax") > 0.04, "completed").otherwise("declined").alias("refund_status"),
-        F.col("l_shipdate").alias("created_at"),
+        *_stored(F.col("l_shipdate"), F.col("l_partkey")),
     )
 
 
@@ -258,27 +270,41 @@ def subscription_events(lines: DataFrame) -> DataFrame:
     )
 
 
-KEYED_LINES = {
-    None: unnumbered_lines,
-    "position": positioned_lines,
-    "number": numbered_lines,
-}
-
+def lifecycle(spark: SparkSession, folder: str, ids: bool = False) -> Lifecycle:
+    """All eight tables.
 
-def lifecycle(spark: SparkSession, folder: str, ids: str | None = None) -> Lifecycle:
-    """All eight tables; ``ids`` says what payments, refunds and events are keyed by."""
+    ``ids`` gives payments, refunds and events their numbers; what never reads them does without
+    numbering the line items. The lifecycle tables stand for stored ones: the numbered line items,
+    the span of each order and the subscriptions are written on first use and read from then on, by
+    all queries of the application. Detail joins then meet stored rows on both sides, which lets
+    Spark split a hot key.
+    """
     table = cache(partial(open_table, spark, folder))
+    source = {name: f"{folder}/{name}.parquet" for name in ("lineitem", "orders")}
+
+    def stored(name: str, names: list[str], build) -> DataFrame:
+        return written_once(spark, name, [source[n] for n in names], build)
 
     @cache
     def lines() -> DataFrame:
-        return KEYED_LINES[ids](table("lineitem"))
+        if not ids:
+            return table("lineitem").withColumn("line_no", F.lit(None).cast("long"))
+        return stored("numbered lines", ["lineitem"], lambda: numbered_lines(spark, folder))
+
+    @cache
+    def spans() -> DataFrame:
+        return stored("spans", ["lineitem"], lambda: line_span(table("lineitem")))
+
+    def stored_subscriptions() -> DataFrame:
+        build = lambda: subscriptions(table("orders"), spans())
+        return stored("subscriptions", ["orders", "lineitem"], build)
 
     return Lifecycle(
         CUTOFF,
         customers=lambda: customers(table("customer")),
         plans=lambda: plans(table("orders")),
-        subscriptions=lambda: subscriptions(table("orders"), table("lineitem")),
-        intakes=lambda: intakes(table("lineitem")),
+        subscriptions=stored_subscriptions,
+        intakes=lambda: intakes(spans()),
         appointments=lambda: appointments(table("lineitem")),
         payments=lambda: payments(lines()),
         refunds=lambda: refunds(lines()),

@@ -43,17 +43,27 @@ LINE_ORDER = (
     "l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
 )
 
+
+
+def stored(created: str, number: str) -> str:
+    """Times of creation and update, of which some are not later or NULL."""
+    return f"""{created} AS created_at, CASE WHEN ({number}) % 7 <> 0
+        THEN {created} + to_days(CAST(({number}) % 5 - 1 AS INT)) END AS updated_at"""
+
+
 VIEWS = f"""
 WITH b_plans AS (
     SELECT CAST(o_orderpriority[1:1] AS BIGINT) AS plan_id,
         o_orderpriority[3:] AS plan_name,
         MIN(CAST(o_totalprice AS DECIMAL(10,2))) AS monthly_price,
-        MAX(o_orderdate) >= TIMESTAMP '2001-07-30' AS is_available
-    FROM orders GROUP BY ALL
+        MAX(o_orderdate) >= TIMESTAMP '2001-07-30' AS is_available,
+        {stored("MIN(o_orderdate)", "CAST(o_orderpriority[1:1] AS BIGINT) * 3 + 4")}
+    FROM orders GROUP BY 1, 2
 ), b_customers AS (
     SELECT c_custkey AS customer_id, upper(c_mktsegment[1:1]) AS gender,
         DATE '1992-01-01' + CAST(floor(abs(c_acctbal) / 2) AS INTEGER) AS signup_date,
-        CAST(c_nationkey AS VARCHAR) AS state_code, lower(c_mktsegment) AS acquisition_channel
+        CAST(c_nationkey AS VARCHAR) AS state_code, lower(c_mktsegment) AS acquisition_channel,
+        {stored("CAST(DATE '1992-01-01' + CAST(floor(abs(c_acctbal) / 2) AS INTEGER) AS TIMESTAMP)", "c_custkey")}
     FROM customer
 ), b_span AS (
     SELECT l_orderkey AS k, MIN(l_shipdate) AS first_ship, MAX(l_shipdate) AS last_ship,
@@ -75,7 +85,7 @@ WITH b_plans AS (
         o_orderdate AS selected_at, activated_at,
         CASE WHEN status = 'rejected' THEN o_orderdate + to_days(CAST(1 + o_orderkey % 7 AS INT))
             WHEN status IN ('cancelled', 'completed') AND last_ship > activated_at
-            THEN last_ship END AS ended_at
+            THEN last_ship END AS ended_at, {stored("o_orderdate", "o_orderkey")}
     FROM b_started
 ), b_intakes AS (
     SELECT k AS intake_id, k AS subscription_id,
@@ -84,7 +94,8 @@ WITH b_plans AS (
         CASE WHEN NOT (lines = 1 AND k % 2 = 0) THEN first_ship - INTERVAL 48 HOUR END
             AS started_at,
         CASE WHEN lines > 2 OR (lines = 2 AND k % 2 = 1)
-            THEN first_ship + to_hours(CAST(lines * 6 - 24 AS BIGINT)) END AS completed_at
+            THEN first_ship + to_hours(CAST(lines * 6 - 24 AS BIGINT)) END AS completed_at,
+        {stored("first_ship", "k")}
     FROM b_span
 ), b_slots AS (
     SELECT l_orderkey AS k, l_linenumber AS line, MIN(l_shipdate) AS slot_at,
@@ -102,7 +113,7 @@ WITH b_plans AS (
         CASE q % 7 WHEN 4 THEN 'not_eligible' WHEN 5 THEN NULL WHEN 6 THEN NULL
             ELSE 'eligible' END AS eligibility_result,
         CASE WHEN status = 'completed' OR q % 11 = 0 THEN slot_at + INTERVAL 60 MINUTE END
-            AS completed_at
+            AS completed_at, {stored("slot_at", "k + line")}
     FROM b_slot_status
 ), b_lines AS (
     SELECT *, row_number() OVER (ORDER BY {LINE_ORDER}) AS line_no FROM lineitem
@@ -111,7 +122,7 @@ WITH b_plans AS (
         CASE WHEN l_linestatus = 'F' THEN 'successful' WHEN l_returnflag = 'N' THEN 'pending'
             ELSE 'failed' END AS payment_status,
         if(l_linenumber = 1, 'initial', 'renewal') AS payment_type,
-        CAST(l_extendedprice AS DECIMAL(10,2)) AS amount
+        CAST(l_extendedprice AS DECIMAL(10,2)) AS amount, {stored("l_shipdate", "l_partkey")}
     FROM b_lines
 ), b_refunds AS (
     SELECT line_no AS refund_id, line_no AS payment_id,
@@ -121,7 +132,7 @@ WITH b_plans AS (
         CASE l_linenumber WHEN 1 THEN 'treatment_rejection' WHEN 2 THEN 'duplicate_charge'
             WHEN 3 THEN 'plan_change' ELSE 'subscription_cancelled' END AS refund_reason,
         if(l_tax > 0.04, 'completed', 'declined') AS refund_status,
-        l_shipdate AS created_at
+        {stored("l_shipdate", "l_partkey")}
     FROM b_lines WHERE l_returnflag = 'R'
 ), b_events AS (
     SELECT line_no AS event_id, l_orderkey AS subscription_id,
@@ -226,17 +237,25 @@ LIFECYCLE_RELATIONS = [
     ("subscription_events", "subscription_id", "subscriptions", "subscription_id"),
 ]
 
-LIFECYCLE_KEYS = [
-    ("customers", "customer_id"),
-    ("plans", "plan_id"),
-    ("subscriptions", "subscription_id"),
-    ("intakes", "intake_id"),
-    ("intakes", "subscription_id"),
-    ("appointments", "appointment_id"),
-    ("payments", "payment_id"),
-    ("refunds", "refund_id"),
-    ("refunds", "payment_id"),
-    ("subscription_events", "event_id"),
+# Parents of which some rows are gone.
+THINNED = {
+    "customers": "customer_id % 10 <> 3",
+    "plans": "plan_id <> 4",
+    "subscriptions": "subscription_status <> 'pending'",
+    "payments": "payment_status = 'successful'",
+}
+
+DRIVER_KEYS = [
+    ("lineitem", "l_orderkey, l_linenumber"),
+    ("lineitem", "l_orderkey, l_partkey, l_suppkey"),
+    ("orders", "o_orderkey"),
+    ("orders", "o_custkey, o_orderdate"),
+    ("customer", "c_custkey"),
+    ("part", "p_name"),
+    ("events", "event_id"),
+    ("events", "user_id, event_type"),
+    ("documents", "doc_id"),
+    ("conversations", "conv_id, turn"),
 ]
 
 
@@ -244,7 +263,8 @@ def words(*values: str) -> str:
     return "(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
-# Table -> (columns that must not be NULL, check name -> predicate that must not be FALSE).
+# Table -> (columns that must not be NULL, check name -> predicate that must not be
+# FALSE), with the domains of status, type and reason columns.
 CHECKS = {
     "customers": (
         ["customer_id", "gender", "state_code", "acquisition_channel"],
@@ -352,6 +372,8 @@ def failed_checks() -> str:
     selects = []
     for table, (required, checks) in CHECKS.items():
         rules = {f"{c}_not_null": f"{c} IS NOT NULL" for c in required} | checks
+        if table != "subscription_events":
+            rules["updated_after_created"] = "updated_at > created_at"
         for name, rule in rules.items():
             selects.append(
                 f"SELECT '{table}' AS table_name, '{name}' AS check_name, "
@@ -575,7 +597,7 @@ QUALITY = {
         SELECT plan_name, CAST(monthly_price AS DOUBLE) AS monthly_price, is_available
         FROM b_plans""",
     "duplicate_dimension_names": """
-        SELECT plan_name, COUNT(*) AS row_count FROM b_plans GROUP BY 1 HAVING COUNT(*) > 1""",
+        SELECT p_name, COUNT(*) AS row_count FROM part GROUP BY 1 HAVING COUNT(*) > 1""",
     "duplicate_keys": """
         SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, COUNT(*) AS row_count
         FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1""",
@@ -635,7 +657,7 @@ QUALITY = {
                 ELSE activated_at IS NULL OR scheduled_at - INTERVAL 30 DAY < activated_at
                 END""",
     "amount_vs_reference": f"""
-        SELECT subscription_id, payment_status, payment_type, payment_date,
+        SELECT payment_id, subscription_id, payment_status, payment_type, payment_date,
             CAST(amount AS DOUBLE) AS amount, CAST(monthly_price AS DOUBLE) AS monthly_price,
             selected_at, ended_at
         FROM {PAYMENTS_BY_PLAN}
@@ -649,7 +671,7 @@ QUALITY = {
         WHERE appointment_type = 'initial_appt'
         GROUP BY 1 HAVING COUNT(DISTINCT payment_id) <> 1""",
     "after_first_event": """
-        SELECT subscription_id, payment_date,
+        SELECT subscription_id, payment_id, payment_date,
             (SELECT MIN(f.payment_date) FROM b_payments f
                 WHERE f.payment_type = 'initial' AND f.subscription_id = r.subscription_id)
                 AS first_date
@@ -661,7 +683,8 @@ QUALITY = {
             CAST(SUM(amount) AS DOUBLE) AS total_amount
         FROM b_payments GROUP BY 1, 2""",
     "refund_rules": """
-        SELECT refund_status, refund_reason, CAST(refund_amount AS DOUBLE) AS refund_amount,
+        SELECT refund_id, payment_id, refund_status, refund_reason,
+            CAST(refund_amount AS DOUBLE) AS refund_amount,
             processed_at, payment_status, CAST(amount AS DOUBLE) AS amount, payment_date
         FROM b_refunds LEFT JOIN b_payments p USING (payment_id)
         WHERE p.payment_id IS NULL OR refund_amount > amount OR processed_at < payment_date
@@ -671,7 +694,7 @@ QUALITY = {
             CAST(SUM(refund_amount) AS DOUBLE) AS total_amount
         FROM b_refunds GROUP BY 1, 2""",
     "conditional_domain": """
-        SELECT subscription_id, event_type, event_reason, event_timestamp FROM b_events
+        SELECT event_id, subscription_id, event_type, event_reason, event_timestamp FROM b_events
         WHERE CASE event_type
             WHEN 'plan_changed' THEN FALSE
             WHEN 'rejected' THEN coalesce(event_reason NOT IN
@@ -716,16 +739,19 @@ QUALITY = {
     ),
     "lifecycle_references": " UNION ALL ".join(
         orphan_rows(
-            f"{child}.{key}", LIFECYCLE_TABLES[child], key, LIFECYCLE_TABLES[parent], parent_key
+            f"{child}.{key}",
+            LIFECYCLE_TABLES[child],
+            key,
+            f"(SELECT * FROM {LIFECYCLE_TABLES[parent]} WHERE {THINNED[parent]})",
+            parent_key,
         )
         for child, key, parent, parent_key in LIFECYCLE_RELATIONS
     ),
     "uniqueness": " UNION ALL ".join(
-        f"""SELECT '{table}.{key}' AS key_name, COUNT(*) AS duplicate_keys,
+        f"""SELECT '{table}.{key.replace(", ", "+")}' AS key_name, COUNT(*) AS duplicate_keys,
             CAST(coalesce(SUM(n - 1), 0) AS BIGINT) AS surplus_rows
-        FROM (SELECT {key}, COUNT(*) AS n FROM {LIFECYCLE_TABLES[table]}
-            GROUP BY 1 HAVING COUNT(*) > 1)"""
-        for table, key in LIFECYCLE_KEYS
+        FROM (SELECT COUNT(*) AS n FROM {table} GROUP BY {key} HAVING COUNT(*) > 1)"""
+        for table, key in DRIVER_KEYS
     ),
 }
 
@@ -785,10 +811,10 @@ TRANSFORMS = {
         JOIN b_plans USING (plan_id)
         WHERE appointment_type = 'initial_appt' AND intake_status = 'completed'""",
     "full_reversal": """
-        SELECT completed_at + INTERVAL 30 MINUTE AS processed_at,
+        SELECT payment_id, a.completed_at + INTERVAL 30 MINUTE AS processed_at,
             CAST(amount AS DOUBLE) AS refund_amount, 'treatment_rejection' AS refund_reason,
-            'completed' AS refund_status, completed_at AS created_at
-        FROM b_payments JOIN b_appts USING (subscription_id)
+            'completed' AS refund_status, a.completed_at AS created_at
+        FROM b_payments JOIN b_appts a USING (subscription_id)
         WHERE payment_type = 'initial' AND payment_status = 'successful'
             AND appointment_type = 'initial_appt' AND appointment_status = 'completed'
             AND eligibility_result = 'not_eligible'""",
@@ -838,7 +864,8 @@ TRANSFORMS = {
                         ended_at - to_hours(10 + i.subscription_id * 3 % 5), NULL)
                 WHEN activated_at IS NOT NULL
                 THEN activated_at - to_hours(12 + i.subscription_id * 5 % 7)
-                ELSE completed_at END AS completed_at
+                ELSE completed_at END AS completed_at,
+            i.created_at, i.updated_at
         FROM b_intakes i LEFT JOIN b_subs s ON s.subscription_id = i.subscription_id""",
     "bounded_event": f"""
         SELECT * FROM (

@@ -32,12 +32,9 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*[plain(field) for field in df.schema])
 
 
-def _on_lifecycle(
-    report: Callable[[Lifecycle], DataFrame], ids: str | None = None, drop: tuple[str, ...] = ()
-) -> Query:
+def _on_lifecycle(report: Callable[[Lifecycle], DataFrame], ids: bool = False) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        lc = bindings.lifecycle(configure(spark), folder, ids)
-        return portable(report(lc).drop(*drop))
+        return portable(report(bindings.lifecycle(configure(spark), folder, ids)))
 
     return query
 
@@ -67,6 +64,45 @@ def _duplicate_line_keys(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _duplicate_part_names(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.duplicate_keys(open_table(spark, folder, "part"), ["p_name"])
+
+
+# Keys that hold, and some that do not.
+DRIVER_KEYS = [
+    ("lineitem", ["l_orderkey", "l_linenumber"]),
+    ("lineitem", ["l_orderkey", "l_partkey", "l_suppkey"]),
+    ("orders", ["o_orderkey"]),
+    ("orders", ["o_custkey", "o_orderdate"]),
+    ("customer", ["c_custkey"]),
+    ("part", ["p_name"]),
+    ("events", ["event_id"]),
+    ("events", ["user_id", "event_type"]),
+    ("documents", ["doc_id"]),
+    ("conversations", ["conv_id", "turn"]),
+]
+
+
+def _driver_uniqueness(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.uniqueness(
+        {
+            f"{table}.{'+'.join(keys)}": (open_table(spark, folder, table), keys)
+            for table, keys in DRIVER_KEYS
+        }
+    )
+
+
+def _references_with_gaps(lc: Lifecycle) -> DataFrame:
+    """The declared references, checked against parents of which some rows are gone."""
+    parents = {
+        "customers": lc.customers.filter("customer_id % 10 <> 3"),
+        "plans": lc.plans.filter("plan_id <> 4"),
+        "subscriptions": lc.subscriptions.filter("subscription_status <> 'pending'"),
+        "payments": lc.payments.filter("payment_status = 'successful'"),
+    }
+    return checks.referential_integrity(lc, parents)
+
+
 # (child table, child key, parent table, parent key)
 DRIVER_RELATIONS = [
     ("nation", "n_regionkey", "region", "r_regionkey"),
@@ -108,7 +144,7 @@ QUERIES: dict[str, Query] = {
     "payment_outcome_share": _on_lifecycle(analysis.payment_outcome_share),
     "conditional_sums": _on_lifecycle(analysis.payments_by_plan),
     "status_summary": _on_lifecycle(analysis.refund_status_summary),
-    "net_of_adjustments": _on_lifecycle(analysis.net_payments_by_plan, ids="position"),
+    "net_of_adjustments": _on_lifecycle(analysis.net_payments_by_plan, ids=True),
     "extreme_period_changes": _on_lifecycle(analysis.extreme_month_changes),
     "period_comparison": _on_lifecycle(lambda lc: analysis.period_comparison(lc, *PERIOD)),
     "period_status_share": _on_lifecycle(lambda lc: analysis.renewal_status_share(lc, *PERIOD)),
@@ -132,7 +168,7 @@ QUERIES: dict[str, Query] = {
         lambda lc: checks.customer_domains(lc, BINDING_CHANNELS)
     ),
     "dimension_listing": _on_lifecycle(checks.plan_listing),
-    "duplicate_dimension_names": _on_lifecycle(checks.duplicate_plan_names),
+    "duplicate_dimension_names": _on_tables(_duplicate_part_names),
     "duplicate_keys": _on_tables(_duplicate_line_keys),
     "status_counts": _on_lifecycle(checks.subscription_status_counts),
     "state_timestamp_consistency": _on_lifecycle(checks.state_timestamps),
@@ -143,23 +179,21 @@ QUERIES: dict[str, Query] = {
     "status_pair_counts": _on_lifecycle(checks.appointment_result_counts),
     "eligible_population": _on_lifecycle(checks.follow_up_population),
     "timeline_violations": _on_lifecycle(checks.appointment_timeline),
-    "amount_vs_reference": _on_lifecycle(checks.payment_rules, drop=("payment_id",)),
-    "child_cardinality": _on_lifecycle(checks.initial_payment_cardinality, ids="position"),
-    "after_first_event": _on_lifecycle(checks.renewals_after_initial, drop=("payment_id",)),
+    "amount_vs_reference": _on_lifecycle(checks.payment_rules, ids=True),
+    "child_cardinality": _on_lifecycle(checks.initial_payment_cardinality, ids=True),
+    "after_first_event": _on_lifecycle(checks.renewals_after_initial, ids=True),
     "payment_status_summary": _on_lifecycle(checks.payment_status_summary),
-    "refund_rules": _on_lifecycle(
-        checks.refund_rules, ids="position", drop=("refund_id", "payment_id")
-    ),
+    "refund_rules": _on_lifecycle(checks.refund_rules, ids=True),
     "refund_summary": _on_lifecycle(checks.refund_summary),
-    "conditional_domain": _on_lifecycle(checks.event_reasons, drop=("event_id",)),
+    "conditional_domain": _on_lifecycle(checks.event_reasons, ids=True),
     "lifecycle_coverage": _on_lifecycle(checks.lifecycle_coverage),
     "duplicate_events": _on_lifecycle(checks.duplicate_events),
     "chronology_violations": _on_lifecycle(checks.event_chronology),
     "source_consistency": _on_lifecycle(checks.event_source_times),
-    "check_constraints": _on_lifecycle(checks.check_constraints, ids="position"),
+    "check_constraints": _on_lifecycle(checks.check_constraints, ids=True),
     "referential_integrity": _on_tables(_driver_references),
-    "lifecycle_references": _on_lifecycle(checks.referential_integrity, ids="number"),
-    "uniqueness": _on_lifecycle(checks.uniqueness, ids="number"),
+    "lifecycle_references": _on_lifecycle(_references_with_gaps, ids=True),
+    "uniqueness": _on_tables(_driver_uniqueness),
     # Transforms.
     "dense_number": _on_tables(steps.numbered_lines),
     "dense_number_by_group": _on_tables(steps.numbered_by_status),
@@ -171,8 +205,8 @@ QUERIES: dict[str, Query] = {
     "censor_at": _on_lifecycle(steps.censored),
     "due_status": _on_lifecycle(steps.due_status),
     "first_charge": _on_lifecycle(steps.first_charge),
-    "full_reversal": _on_lifecycle(steps.full_reversal, drop=("payment_id",)),
-    "latest_in_window": _on_lifecycle(steps.cancellation_refunds, ids="number"),
+    "full_reversal": _on_lifecycle(steps.full_reversal, ids=True),
+    "latest_in_window": _on_lifecycle(steps.cancellation_refunds, ids=True),
     "state_to_events": _on_lifecycle(steps.state_to_events),
     "reason_from_context": _on_lifecycle(steps.reason_from_context),
     "update_from": _on_lifecycle(steps.intake_updates),

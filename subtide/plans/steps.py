@@ -10,10 +10,12 @@ from subtide.operators.numbering import dense_number, every_nth
 from subtide.plans import bindings
 from subtide.plans.bindings import open_table
 from subtide.plans.lifecycle import Lifecycle
+from subtide.sources import written
 
 CENSOR_AT = "2000-01-01 00:00:00"
 
 # Slots of a 170-step cycle and the cancellation reason each range stands for.
+# The steps of intake_updates below are such values too.
 REASON_SLOTS = [
     (0, 50, "patient_request"),
     (51, 84, "side_effects"),
@@ -23,7 +25,7 @@ REASON_SLOTS = [
 
 
 def numbered_lines(spark: SparkSession, folder: str) -> DataFrame:
-    lines = bindings.numbered_lines(open_table(spark, folder, "lineitem"))
+    lines = bindings.numbered_lines(spark, folder)
     return lines.select("line_no", "l_orderkey", "l_partkey", "l_linenumber", "l_shipdate")
 
 
@@ -93,12 +95,14 @@ def censored(lc: Lifecycle) -> DataFrame:
 
 
 def due_status(lc: Lifecycle) -> DataFrame:
+    # One due time per subscription and month, so the order has no ties.
     return transforms.due_status(
-        renewal_schedule(lc),
+        written(renewal_schedule(lc)),
         lc.cutoff,
         "subscription_status",
         "payment_date",
         ["payment_date", "subscription_id"],
+        no_ties=True,
     )
 
 

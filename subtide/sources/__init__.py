@@ -1,4 +1,4 @@
-from subtide.sources.scratch import drop_written, scratch_root, written  # noqa: F401
+from subtide.sources.scratch import drop_written, scratch_root, written, written_once  # noqa: F401
 from subtide.sources.tables import (  # noqa: F401
     append_table,
     read_positioned_csv,

@@ -6,8 +6,10 @@ executor, unlike cached blocks, and later passes read only the columns they need
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,10 +17,10 @@ SETTING = "spark.checkpoint.dir"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by the session, or a temporary one on a local master."""
+    """The shared folder named by the session, or a temporary one if all runs in this process."""
     root = spark.conf.get(SETTING, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError(f"set {SETTING} to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="subtide-")
         spark.conf.set(SETTING, root)
@@ -33,8 +35,34 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Written tables by application, name and state of their sources.
+_kept: dict[tuple, DataFrame] = {}
+
+
+def written_once(
+    spark: SparkSession, name: str, sources: list[str], build: Callable[[], DataFrame]
+) -> DataFrame:
+    """The table ``name`` derived from the files at ``sources``, written on first use.
+
+    Later uses in the application read it again, unless a source has changed in between or the
+    scratch tables were dropped.
+    """
+    files = [_file(spark, source) for source in sources]
+    state = [system.getFileStatus(path).getModificationTime() for system, path in files]
+    key = (spark.sparkContext.applicationId, name, *zip(sources, state))
+    if key not in _kept:
+        _kept[key] = written(build())
+    return _kept[key]
+
+
+def _file(spark: SparkSession, name: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
 def drop_written(spark: SparkSession) -> None:
     """Delete this application's scratch tables, once nothing reads them any more."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    for key in [k for k in _kept if k[0] == spark.sparkContext.applicationId]:
+        del _kept[key]
+    system, path = _file(spark, scratch_root(spark))
+    system.delete(path, True)

@@ -95,11 +95,34 @@ def test_columns_that_cannot_be_hashed(spark):
 
 
 def test_many_groups_need_no_broadcast(skewed, monkeypatch):
-    monkeypatch.setattr(numbering, "sized_broadcast", lambda df: sized_broadcast(df, max_rows=10))
+    monkeypatch.setattr(numbering, "sized_broadcast", lambda df: sized_broadcast(df, max_bytes=10))
     got = {r.id: r.row_no for r in dense_number(skewed, ["v", "id"], ["g"]).collect()}
     assert got == expected(skewed.collect(), True)
 
 
+def test_many_slices_shuffle_the_table_once(spark):
+    """Half a million offsets are sent to the tasks; the numbered rows stay where they were written."""
+    df = spark.range(500_000).select(F.col("id").alias("g"), (-F.col("id")).alias("v"))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    numbered = dense_number(df, ["v"], ["g"])
+    assert numbered.agg(F.sum("row_no")).first()[0] == 500_000
+    numbered.write.format("noop").mode("overwrite").save()
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set(key, before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "hashpartitioning(_task" not in plan
+
+
+def test_ranges_follow_the_size_of_the_input(spark, monkeypatch):
+    df = spark.range(100_000)
+    assert numbering._ranges(df) == 8
+    monkeypatch.setattr(numbering, "RANGE_BYTES", 20_000)
+    assert numbering._ranges(df) == 40
+    assert sorted(r.row_no - r.id for r in dense_number(df.limit(50), ["id"], ranges=3).collect()) == [1] * 50
+
+
 def test_start_and_null_groups(spark):
     df = spark.createDataFrame([(None, 3), (None, 1), ("a", 2)], "g STRING, v INT")
     got = {(r.g, r.v): r.row_no for r in dense_number(df, ["v"], ["g"], start=10).collect()}

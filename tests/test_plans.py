@@ -6,17 +6,17 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from subtide.plans.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 # Numbering runs its own jobs first; its plan then reads the written table.
-NAMES = sorted(entry.queries())
+NAMES = sorted(QUERIES)
 # Steps that may stand between a single-partition exchange and the aggregate below it.
 PASS = ("Project", "Filter", "Sort", "WindowGroupLimit", "Window", "AQEShuffleRead")
 
 
 def plan(spark, name: str) -> str:
-    return entry.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    return QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
 
 
 def operators(text: str) -> list[str]:
@@ -53,7 +53,7 @@ def test_no_python_and_no_single_task_over_detail_rows(spark, name):
 
 
 def test_period_bounds_and_columns_reach_the_scan(spark):
-    df = entry.queries()["period_comparison"](spark, FOLDER)
+    df = QUERIES["period_comparison"](spark, FOLDER)
     text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     assert "GreaterThanOrEqual(l_shipdate,1998-03-01" in text
     assert "LessThan(l_shipdate,1998-05-01" in text

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from subtide.operators import core, quality, reports, transforms
+from subtide.plans.registry import QUERIES
+from subtide.sources import written
 
 ROWS = 240_000
 HOT = 7
@@ -85,6 +87,42 @@ def test_latest_in_window_splits_the_hot_key(payments, subscriptions, small_part
     assert got == {sub: payment for sub, (_, payment) in best.items()}
 
 
+@pytest.fixture(scope="module")
+def hot_order(spark, tmp_path_factory):
+    """The driver's orders and line items, a third of the latter on one order, in many files."""
+    folder = str(tmp_path_factory.mktemp("hot"))
+    tables = "/root/testdata/sf0.1"
+    orders = spark.read.parquet(f"{tables}/orders.parquet")
+    hot = orders.filter("o_orderstatus = 'F' AND o_orderkey % 2 = 0").agg(F.min("o_orderkey")).first()[0]
+    lines = spark.read.parquet(f"{tables}/lineitem.parquet")
+    third = F.xxhash64("l_orderkey", "l_linenumber", "l_partkey") % 3 == 0
+    lines = lines.withColumn("l_orderkey", F.when(third, hot).otherwise(F.col("l_orderkey")))
+    lines.repartition(16).write.parquet(f"{folder}/lineitem.parquet")
+    orders.repartition(4).write.parquet(f"{folder}/orders.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("name", ["amount_vs_reference", "after_first_event", "source_consistency"])
+def test_registered_joins_split_the_hot_key(spark, hot_order, small_partitions, name):
+    found = QUERIES[name](spark, hot_order)
+    found.collect()
+    assert "skew=true" in final_plan(found)
+
+
+def test_registered_latest_in_window_splits_the_hot_key(spark, hot_order, small_partitions, monkeypatch):
+    """The join runs in the job that writes the numbered rows' input."""
+    plans = []
+
+    def spying(df):
+        df.collect()
+        plans.append(final_plan(df))
+        return written(df)
+
+    monkeypatch.setattr(transforms, "written", spying)
+    assert QUERIES["latest_in_window"](spark, hot_order).count() > 0
+    assert len(plans) == 1 and "skew=true" in plans[0]
+
+
 def test_rolled_up_join_sees_one_row_per_key(payments, subscriptions, small_partitions):
     sums = reports.conditional_sums(
         payments,
@@ -105,6 +143,8 @@ def test_first_event_check_with_a_hot_key(payments, small_partitions):
     found = quality.after_first_event(
         payments, "subscription_id", "payment_type", "payment_date", "initial", "renewal"
     )
+    found.collect()
+    assert "skew=true" in final_plan(found)
     firsts: dict = {}
     rows = payments.collect()
     for r in rows:

@@ -593,8 +593,8 @@ def test_bounded_event_is_strict_below_and_inclusive_above(spark):
 def test_broadcast_only_below_the_checked_size(spark):
     df = spark.range(10)
     plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
-    assert "ResolvedHint" not in plan(sized_broadcast(df, max_rows=9))
-    joined = spark.range(100).join(sized_broadcast(df, max_rows=10), "id")
+    assert "ResolvedHint" not in plan(sized_broadcast(df, max_bytes=239))
+    joined = spark.range(100).join(sized_broadcast(df, max_bytes=240), "id")
     assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
 
 
@@ -808,3 +808,112 @@ def test_lifecycle_coverage_counts_entities_without_events(spark):
         events, subs, "sub", "status", "kind", {"a": "a", "b": "b"}
     )
     assert rows(got) == {("x", 2, 1, 1), ("y", 1, 0, 0)}
+
+
+# A subscription stored twice counts once.
+
+
+def doubled(df):
+    return df.unionAll(df)
+
+
+def test_distinct_counts_with_a_doubled_row(spark):
+    subs = spark.createDataFrame(
+        [(1, 10, 7, "x", ts("2024-01-01"), ts("2024-01-03")), (2, 10, 8, "x", ts("2024-01-01"), None)],
+        f"sub BIGINT, plan BIGINT, member BIGINT, status STRING, start {TS}, stop {TS}",
+    )
+    events = spark.createDataFrame(
+        [(1, "in", "r"), (1, "out", "r"), (2, "in", None)], "sub BIGINT, kind STRING, why STRING"
+    )
+    members = spark.createDataFrame([(7, "web"), (8, "web")], "member BIGINT, channel STRING")
+    dims = spark.createDataFrame([(10, "ten")], "plan BIGINT, name STRING")
+    stages = {"entered": "in", "left": "out"}
+    reported = [
+        lambda s: reports.stage_funnel(
+            events, s, dims, ["sub"], ["sub"], "plan", "kind", stages, {"rate": ("left", "entered")}
+        ),
+        lambda s: reports.conversion_by_dimension(
+            s, members, "sub", "member", "channel", F.col("stop").isNotNull()
+        ),
+        lambda s: duration_stats(s, "start", "stop", ["plan"], entity="sub"),
+        lambda s: reports.exit_reason_share_by_dimension(
+            events, s, "sub", "kind", "out", "why", ["plan"]
+        ),
+        lambda s: quality.lifecycle_coverage(events, s, "sub", "status", "kind", stages),
+    ]
+    expected = [
+        {(10, "ten", 2, 1, 50.0)},
+        {("web", 2, 1, 50.0)},
+        {(10, 1, 2.0, 2.0, 2.0)},
+        {(10, "r", 1, 1, 100.0)},
+        {("x", 2, 2, 1)},
+    ]
+    for report, rows_ in zip(reported, expected):
+        assert rows(report(subs)) == rows(report(doubled(subs))) == rows_
+
+
+def test_sort_order_and_null_placement(spark):
+    """Ascending puts NULL last, descending first, and later keys break ties."""
+    from subtide.functions import sort_keys
+
+    df = spark.createDataFrame([(1, "b"), (None, "a"), (2, "a"), (1, None), (1, "a")], "n INT, s STRING")
+    assert [tuple(r) for r in df.orderBy(*sort_keys("n", "s")).collect()] == [
+        (1, "a"), (1, "b"), (1, None), (2, "a"), (None, "a")
+    ]
+    assert [tuple(r) for r in df.orderBy(*sort_keys("-n", "s")).collect()] == [
+        (None, "a"), (2, "a"), (1, "a"), (1, "b"), (1, None)
+    ]
+
+
+def test_reports_come_sorted(spark):
+    from subtide.plans.registry import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    channels = [(-r.conversion_pct, r.acquisition_channel) for r in QUERIES["conversion_by_dimension"](spark, folder).collect()]
+    assert channels == sorted(channels)
+    pairs = [(r.appointment_status, r.eligibility_result is None, r.eligibility_result or "") for r in QUERIES["status_pair_counts"](spark, folder).collect()]
+    assert pairs == sorted(pairs) and any(missing for _, missing, _ in pairs)
+
+
+def test_a_missing_column_of_a_check_is_an_error(spark):
+    from subtide.schemas import TABLES
+
+    df = spark.createDataFrame([(1,)], "customer_id BIGINT")
+    with pytest.raises(Exception, match="UNRESOLVED_COLUMN"):
+        quality.check_constraints(df, "customers", TABLES["customers"].all_checks()).collect()
+
+
+def test_every_declared_check_runs(spark):
+    from subtide.plans.registry import QUERIES
+
+    found = QUERIES["check_constraints"](spark, "/root/testdata/sf0.001").collect()
+    updated = {r.table_name: r.failed_rows for r in found if r.check_name == "updated_after_created"}
+    assert len(updated) == 7 and all(updated.values())
+
+
+def test_checks_with_real_faults(spark):
+    from subtide.plans.registry import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    keys = {r.key_name: r.duplicate_keys for r in QUERIES["uniqueness"](spark, folder).collect()}
+    assert keys["orders.o_orderkey"] == 0 and keys["lineitem.l_orderkey+l_linenumber"] > 0
+    relations = {r.relation for r in QUERIES["lifecycle_references"](spark, folder).collect()}
+    assert len(relations) == 7
+    assert QUERIES["duplicate_dimension_names"](spark, folder).count() > 0
+
+
+def test_written_once_follows_its_sources(spark, tmp_path):
+    from subtide.sources import written_once
+
+    source = str(tmp_path / "a.parquet")
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.read.parquet(source)
+
+    spark.range(3).write.parquet(source)
+    assert [written_once(spark, "t", [source], build).count() for _ in range(2)] == [3, 3]
+    assert len(calls) == 1
+    spark.range(3).write.mode("append").parquet(source)
+    assert written_once(spark, "t", [source], build).count() == 6
