@@ -139,7 +139,7 @@ def lines(html: str) -> tuple[list[tuple[str, int]], bool]:
 
     def end_line() -> None:
         nonlocal linked
-        text = " ".join(unescape("".join(held)).split())
+        text = " ".join("".join(held).split())
         if text:
             weight = len(text)
             if article and not was_inside or not article and linked >= LINK_SHARE * weight:
@@ -152,7 +152,7 @@ def lines(html: str) -> tuple[list[tuple[str, int]], bool]:
     while i < len(found):
         kind, value = found[i][0], found[i][1]
         if kind == "text":
-            held.append(value)
+            held.append(unescape(value))
             was_inside = inside[i]
             linked += len(value.strip()) if depth else 0
         elif kind == "raw" or kind == "open" and (

@@ -55,7 +55,7 @@ from subtide.sources import written
 SIZE = 4
 SIMILAR = (85, 100)
 
-CHUNK = 4_000_000  # shingles in a packed chunk of the first pass
+CHUNK = 2_000_000  # shingles in a packed chunk of the first pass
 BUNDLE = 500_000  # shingles in a bundle of sets
 SLICE = 2_000_000  # hashes in a slice, on average
 BLOCK = 2_000_000  # shingles in a block of a cell
