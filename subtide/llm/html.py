@@ -1,10 +1,10 @@
 """The main text of web pages by line-block distribution.
 
-1. Markup is stripped into lines: one line per block of text, and ``GAP`` empty lines for each element
-   that never holds an article (scripts, styles, forms, menus, headers, footers, asides, and elements
-   whose class, id or role names an advert, a sidebar, a notice, comments and the like). If the page
-   marks an article or a main element, lines outside of it are empty too. So is a line that is mostly
-   link text outside of an article.
+1. Markup is stripped into lines: one line per block of text. Scripts and styles leave nothing. Forms,
+   menus, headers, footers and asides leave ``GAP`` empty lines, and elements that are hidden, or
+   whose class, id or role names an advert, a sidebar, a notice, comments and the like, leave one.
+   If the page marks an article or a main element, lines outside of it are empty too. So is a line
+   that is mostly link text outside of an article.
 2. Text lengths are summed over sliding windows of ``GAP`` lines. Where the sum rises from zero is a
    surge point, where it falls back to zero a dive point.
 3. The text between surge and dive is kept. In a page without an article or main element, a stretch
@@ -51,8 +51,11 @@ BOILERPLATE = frozenset(
     "cookies consent gdpr notice notices notification alert newsletter subscribe subscription signup "
     "popup modal overlay footer masthead topbar toolbar comment comments commentlist respond replies "
     "disqus discussion share sharing social related recommended recommendations widget widgets login "
-    "search copyright disclaimer paywall contentinfo complementary skip".split()
+    "search copyright disclaimer paywall contentinfo complementary skip feedback responses teaser "
+    "teasers trending popular announcement announcements toast pagination pager".split()
 )
+# A header named with one of these belongs to the article.
+ARTICLE_WORDS = frozenset("article entry post story content main".split())
 COMMENT_WORDS = frozenset("comment comments reply replies respond".split())
 BODY_WORDS = frozenset("articlebody".split())
 
@@ -62,12 +65,14 @@ TOKEN = re.compile(
     re.S,
 )
 NAMES = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+UNSEEN = "\0"
+HIDDEN = re.compile(r"display\s*:\s*none|aria-hidden\s*=\s*[\"']?true|\shidden(?=[\s=/]|$)", re.I)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 def _names(attributes: str) -> set[str]:
-    """The words in an element's class, id, role and itemprop."""
-    found: set[str] = set()
+    """The words in an element's class, id, role and itemprop, and a mark for what is not shown."""
+    found: set[str] = {UNSEEN} if HIDDEN.search(attributes) else set()
     for value in NAMES.findall(attributes):
         found.update(w.lower() for w in WORD.findall(value))
         found.update(re.split(r"[\s\"']+", value.lower()))
@@ -158,9 +163,9 @@ def lines(html: str) -> tuple[list[tuple[str, int]], bool]:
         elif kind == "raw" or kind == "open" and (
             _dropped(found[i], inside[i]) and not i <= largest < ends.get(i, i + 1)
         ):
-            if kind == "open" or value not in INLINE:
-                end_line()
-                out += [("", 0)] * GAP
+            end_line()
+            if kind == "open":
+                out += [("", 0)] * (GAP if value in DROPPED or value == "header" else 1)
             if kind == "open":
                 i = ends[i] + 1 if i in ends else _next_block(found, i)
                 continue
@@ -181,7 +186,8 @@ def _dropped(token: tuple, in_article: bool) -> bool:
         return False
     if name in ("article", "main"):
         return bool(COMMENT_WORDS & names)
-    return name in DROPPED or name == "header" and not in_article or bool(BOILERPLATE & names)
+    header = name == "header" or "header" in names and not ARTICLE_WORDS & names
+    return name in DROPPED or header and not in_article or bool((BOILERPLATE | {UNSEEN}) & names)
 
 
 def _next_block(found: list[tuple], start: int) -> int:

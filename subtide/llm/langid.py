@@ -79,11 +79,17 @@ def training_rows(docs: DataFrame, wanted: Column, most_docs: int, most_bytes: i
     """The bounded sample of labelled rows (lang, text)."""
     labelled = docs.filter(wanted & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counted = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_langs)
-    langs = [row["lang"] for row in counted.collect()]
-    # The first by hash, found on narrow rows; texts are fetched for those only.
-    narrow = labelled.filter(F.col("lang").isin(langs)).select(
+    # The first by hash lie below four times their share of the hash range. That leaves about
+    # 4 * most_docs narrow rows per language to order; texts are fetched for the first only.
+    share = {r["lang"]: min(1.0, 4 * most_docs / r["count"]) for r in counted.collect()}
+    if not share:
+        return labelled.select("lang", "text").limit(0)
+    below = F.create_map(*[F.lit(x) for lang, part in share.items() for x in (lang, part)])
+    narrow = labelled.select(
         "lang", F.xxhash64(F.col("doc_id"), F.col("text")).alias("_h"), F.octet_length("text").alias("_b")
     )
+    place = (F.col("_h") / 2.0**64) + 0.5
+    narrow = narrow.filter(place <= F.element_at(below, F.col("lang")))
     first = W.partitionBy("lang").orderBy("_h")
     ranked = narrow.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= most_docs)
     before = F.sum("_b").over(first.rowsBetween(W.unboundedPreceding, -1))

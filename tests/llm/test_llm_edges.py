@@ -182,6 +182,13 @@ PAGES = [
         "<section class=comments><article class=comment><p>no</p></article></section></div>",
         "main",
     ),
+    (
+        '<div class="site-header">Site name and a long slogan that goes on and on for a while, see?</div>'
+        '<div class="post-header"><h1>Title</h1></div><p hidden>not shown</p><p style="display: none">nor this'
+        "</p><p>One paragraph that is certainly long enough to be the text of this page, in full.</p>"
+        "&am<b>p;</b>",
+        "Title One paragraph that is certainly long enough to be the text of this page, in full. &amp;",
+    ),
     (
         '<div id="top-nav"><a href=x>one</a></div><div class="content"><h1>T</h1><p>The first of '
         "two paragraphs has enough text to be the main text of this page &eacute;.</p><p>Short.</p></div>"
