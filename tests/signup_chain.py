@@ -1,4 +1,8 @@
-"""The whole lifecycle derived from a sign-up file with the library's transforms."""
+"""The whole lifecycle derived from a sign-up file with the library's transforms.
+
+The steps and their constants are fixed values: they must be as published to give the published
+figures. This is a test only, not part of the library.
+"""
 
 from __future__ import annotations
 
