@@ -349,23 +349,19 @@ def _unbundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Joined:
-    """Which members of a block are joined."""
+    """Which members of a block are joined: the smallest member of each one's component."""
 
     def __init__(self, count: int):
-        self.parent = np.arange(count)
-
-    def root(self, i: int) -> int:
-        while self.parent[i] != i:
-            self.parent[i] = i = self.parent[self.parent[i]]
-        return i
+        self.root = np.arange(count)
 
     def join(self, i: int, j: int) -> bool:
-        i, j = self.root(i), self.root(j)
-        self.parent[max(i, j)] = min(i, j)
-        return i != j
+        a, b = sorted((self.root[i], self.root[j]))
+        if a != b:
+            self.root[self.root == b] = a
+        return a != b
 
-    def roots(self, members: np.ndarray) -> np.ndarray:
-        return np.array([self.root(i) for i in members], dtype=np.int64)
+    def all_one(self, members: np.ndarray) -> bool:
+        return bool((self.root[members] == self.root[members[0]]).all())
 
 
 class Members:
@@ -404,12 +400,12 @@ def join_block(sets: list[np.ndarray], similar: tuple[int, int] = SIMILAR) -> li
         union = members.union(pivot, others, common)
         near = linked(common, union, similar)
         distance = 1 - common / union
-        for i in others[near]:
+        for i in others[near & (joined.root[others] != joined.root[pivot])]:
             if joined.join(pivot, i):
                 links.append((pivot, i))
         inner, inner_distance = others[near], distance[near]
         for z in np.flatnonzero(~near & (distance <= 2 * tau)):
-            if len(inner) and joined.root(others[z]) != joined.root(pivot):
+            if len(inner) and joined.root[others[z]] != joined.root[pivot]:
                 window = inner[np.abs(inner_distance - distance[z]) <= tau]
                 if len(window):
                     both = members.common(others[z], window)
@@ -418,7 +414,7 @@ def join_block(sets: list[np.ndarray], similar: tuple[int, int] = SIMILAR) -> li
                         joined.join(others[z], pivot)
                         links.append((others[z], window[hit.argmax()]))
         rest = others[~near]
-        if len(rest) > 1 and len(set(joined.roots(rest).tolist())) == 1:
+        if len(rest) > 1 and joined.all_one(rest):
             break
     return links
 
@@ -469,10 +465,11 @@ def _meet_blocks(batches: Iterator[pa.RecordBatch], similar: tuple[int, int]) ->
             continue
         both = outside + inside
         members, joined = Members([_set(r) for r in both]), Joined(len(both))
+        roots = np.array([r["root"] for r in both])
         found = []
         for i in range(len(outside)):
             others = np.arange(len(outside), len(both))
-            others = others[[both[j]["root"] != both[i]["root"] for j in others]]
+            others = others[roots[others] != roots[i]]
             if len(others):
                 common = members.common(i, others)
                 for j in others[linked(common, members.union(i, others, common), similar)]:

@@ -124,7 +124,7 @@ def test_block_join_equals_brute_force():
         for a, b in jaccard.join_block(sets, (75, 100)):
             parent.join(a, b)
         expected = components({i: frozenset(s.tolist()) for i, s in enumerate(sets)}, 75, 100)
-        assert [parent.root(i) for i in range(len(sets))] == [expected[i] for i in range(len(sets))]
+        assert parent.root.tolist() == [expected[i] for i in range(len(sets))]
 
 
 def test_jaccard_stage_keeps_one(spark):
