@@ -96,22 +96,30 @@ def _pack(
         yield block(dim)
 
 
-def products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Exact inner products of one query with some vectors."""
-    if not vectors.size:
-        return np.zeros(len(vectors), dtype=np.int64)
-    largest = float(np.abs(queries).max()) * float(np.abs(vectors).max()) * vectors.shape[1]
-    if largest < 2.0**53:
-        return (vectors.astype(np.float64) @ queries.astype(np.float64)).astype(np.int64)
-    return np.array([sum(int(a) * int(b) for a, b in zip(queries, v)) for v in vectors], dtype=object)
+class Vectors:
+    """Integer vectors with what exact inner products need, worked out once."""
 
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+        self.ids, self.vectors = ids, vectors
+        self.doubles = vectors.astype(np.float64)
+        self.norms = (self.doubles**2).sum(1)
+        self.largest = float(np.abs(self.doubles).max()) if vectors.size else 0.0
 
-class Block:
+
+class Block(Vectors):
     def __init__(self, dim: int, ids: bytes, vectors: bytes, table: bytes):
-        self.ids = np.frombuffer(ids, dtype=np.int64)
-        self.vectors = np.frombuffer(vectors, dtype=np.int64).reshape(len(self.ids), dim)
-        self.table = np.frombuffer(table).reshape(len(self.ids), -1)
-        self.norms = (self.vectors.astype(np.float64) ** 2).sum(1)
+        keys = np.frombuffer(ids, dtype=np.int64)
+        super().__init__(keys, np.frombuffer(vectors, dtype=np.int64).reshape(len(keys), dim))
+        self.table = np.frombuffer(table).reshape(len(keys), -1)
+
+
+def products(queries: Vectors, row: int, block: Vectors, some: np.ndarray) -> np.ndarray:
+    """Exact inner products of one query with some vectors: in doubles where these are exact."""
+    if queries.largest * block.largest * block.vectors.shape[1] < 2.0**53:
+        return (block.doubles[some] @ queries.doubles[row]).astype(np.int64)
+    own = queries.vectors[row].tolist()
+    found = [sum(a * b for a, b in zip(own, v)) for v in block.vectors[some].tolist()]
+    return np.array(found, dtype=object)
 
 
 def search(queries: Block, block: Block, k: int, floors: np.ndarray) -> Iterator[tuple[int, list]]:
@@ -128,8 +136,11 @@ def search(queries: Block, block: Block, k: int, floors: np.ndarray) -> Iterator
         while done < len(order) and (done == 0 or bounds[order[done]] >= kth):
             some = order[done : done + step]
             some = some[bounds[some] >= kth]
-            scores = products(queries.vectors[row], block.vectors[some])
-            best += zip((-scores).tolist(), block.ids[some].tolist())
+            scores = products(queries, row, block, some)
+            if len(scores) > k and scores.dtype != object:
+                kth = max(kth, np.partition(scores, -k)[-k])
+            high = scores >= kth
+            best += zip((-scores[high]).tolist(), block.ids[some[high]].tolist())
             best = sorted(best)[:k]
             if len(best) == k:
                 kth = max(kth, -best[-1][0])
@@ -142,12 +153,12 @@ def _search(batches: Iterator[pa.RecordBatch], k: int, pivots: dict) -> Iterator
         for r in batch.to_pylist():
             queries = Block(r["dim"], r["q_ids"], r["q_vectors"], r["q_table"])
             block = Block(r["dim"], r["ids"], r["vectors"], r["table"])
-            ids, vectors = pivots[r["dim"]]
+            known = pivots[r["dim"]]
             floors = np.full(len(queries.ids), -np.inf)
             for row, own in enumerate(queries.ids):
-                known = np.sort(products(queries.vectors[row], vectors[ids != own]).astype(float))
-                if len(known) >= k:
-                    floors[row] = known[-k]
+                scores = products(queries, row, known, known.ids != own).astype(float)
+                if len(scores) >= k:
+                    floors[row] = np.sort(scores)[-k]
             hits: tuple[list, list, list] = ([], [], [])
             for row, best in search(queries, block, k, floors):
                 for score, vec_id in best:
@@ -167,13 +178,13 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256) -> DataFra
     for row in chosen.select("_dim", "vec_id", "vector").collect():
         found.setdefault(row["_dim"], []).append((row["vec_id"], row["vector"]))
     pivots = {
-        dim: (
+        dim: Vectors(
             np.array([key for key, _ in rows], dtype=np.int64),
             np.array([v for _, v in rows], dtype=np.int64).reshape(len(rows), dim),
         )
         for dim, rows in found.items()
     }
-    tables = {dim: v for dim, (_, v) in pivots.items()}
+    tables = {dim: known.vectors for dim, known in pivots.items()}
     packed = written(whole.mapInArrow(partial(_pack, pivots=tables, rows=BLOCK_ROWS), BLOCK))
     queries = whole.filter(is_query)
     tasks = max(1, -(-queries.count() // QUERY_ROWS))

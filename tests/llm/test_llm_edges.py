@@ -166,6 +166,14 @@ def test_top_k_equals_brute_force(spark):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 5 == 0).count() == 0
 
 
+def test_products_that_doubles_cannot_hold():
+    import numpy as np
+
+    big = topk.Vectors(np.arange(2), np.array([[2**40, 3], [2**40 + 1, -1]], dtype=np.int64))
+    found = topk.products(big, 0, big, np.array([0, 1]))
+    assert found.tolist() == [2**80 + 9, 2**40 * (2**40 + 1) - 3]
+
+
 # --- HTML -----------------------------------------------------------------------------------------
 
 PAGES = [
