@@ -293,12 +293,15 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def _keep_known(batch: pa.RecordBatch, langs: list, scores: list) -> pa.RecordBatch:
-    kept = pa.array([lang != UNDETERMINED for lang in langs], pa.bool_())
-    return batch.drop_columns(["_letter"]).filter(kept)
+    # Not by the prediction: it is "und" for every text if nothing was learned.
+    return batch.drop_columns(["_letter"]).filter(batch.column("_letter"))
 
 
 def recognised(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents with a language, with all their columns."""
+    """The documents with a letter, with all their columns: those alone can have a language.
+
+    That holds for an empty model too, which says nothing about any text.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     read = docs.withColumn("_letter", has_letter())
     return read.mapInArrow(partial(_predict, model=sent, add=_keep_known), docs.schema)

@@ -10,6 +10,7 @@ from llm_plain import components, edit_distance_within, shingles
 from pyspark.sql import functions as F
 from test_llm_queries import unpacked
 
+import corpus_pipeline
 from subtide.llm import chat, decontaminate, html, jaccard, langid, mixing, packing, topk, urls, warc
 
 DOCS = "doc_id long, text string, lang string, source string, size int, `_hash` string, key int"
@@ -387,6 +388,13 @@ def test_language_cases(spark):
     assert langid.identify(docs.limit(0), model).count() == 0
 
 
+def test_unlabelled_documents_stay(spark):
+    rows = [(1, "the cat sat on the mat", None, "s"), (2, "é", None, "s"), (3, "12 !", None, "s")]
+    docs = documents(spark, [*rows, (4, None, None, "s"), (5, "", None, "s"), (None, "der Hund", None, "s")])
+    kept = corpus_pipeline.identify_language(spark, docs, "")
+    assert {r.doc_id for r in kept.collect()} == {1, 2, None} and kept.columns == docs.columns
+
+
 # --- packing --------------------------------------------------------------------------------------
 
 
