@@ -3,13 +3,15 @@
 1. Markup is stripped into lines: one line per block of text. Scripts and styles leave nothing. Forms,
    menus, headers, footers and asides leave ``GAP`` empty lines, and elements that are hidden, or
    whose class, id or role names an advert, a sidebar, a notice, comments and the like, leave one.
-   If the page marks an article or a main element, lines outside of it are empty too. So is a line
-   that is mostly link text outside of an article.
+   If the page marks an article or a main element, lines outside of it are empty too. In other pages a
+   line that is mostly link text counts as empty when text is looked for.
 2. Text lengths are summed over sliding windows of ``GAP`` lines. Where the sum rises from zero is a
    surge point, where it falls back to zero a dive point.
-3. The text between surge and dive is kept. In a page without an article or main element, a stretch
-   is kept if its largest window reaches ``THRESHOLD`` characters; if none does, the stretch with most
-   text is kept.
+3. With an article or main element, the text between surge and dive is kept. In other pages the
+   stretches whose largest window reaches ``THRESHOLD`` characters, or else the one with most text,
+   only say where the text is: all lines of the smallest block element around them are kept, however
+   short. That element has to hold two lines or more, and a paragraph, a list, a section and the like
+   are parts of it; if there is none it is the page.
 
 Character references are decoded once, white space inside a line becomes one space, lines are trimmed
 and joined by one space in page order. Nothing else is changed, dropped or cut.
@@ -54,6 +56,11 @@ BOILERPLATE = frozenset(
     "search copyright disclaimer paywall contentinfo complementary skip feedback responses teaser "
     "teasers trending popular announcement announcements toast pagination pager".split()
 )
+# Elements inside of the one that encloses a page's text.
+PARTS = frozenset(
+    "h1 h2 h3 h4 h5 h6 p ul ol li dl dt dd blockquote pre figure figcaption table caption colgroup "
+    "thead tbody tfoot tr section details summary hgroup address".split()
+)
 # A header named with one of these belongs to the article.
 ARTICLE_WORDS = frozenset("article entry post story content main".split())
 COMMENT_WORDS = frozenset("comment comments reply replies respond".split())
@@ -120,8 +127,9 @@ def closings(found: list[tuple]) -> dict[int, int]:
     return ends
 
 
-def lines(html: str) -> tuple[list[tuple[str, int]], bool]:
-    """(text, weight) of each line in page order, and whether the page marks its article."""
+def lines(html: str) -> tuple[list[tuple[str, int]], list[tuple[int, int]] | None]:
+    """(text, weight) of each line in page order, and, unless the page marks its text, the block
+    elements that may enclose it, as (first line, end of lines)."""
     found = tokens(html)
     ends = closings(found)
     article = [
@@ -141,6 +149,8 @@ def lines(html: str) -> tuple[list[tuple[str, int]], bool]:
     out: list[tuple[str, int]] = []
     held: list[str] = []
     linked = depth = 0
+    opened: dict[int, int] = {}
+    blocks: list[tuple[int, int]] = []
 
     def end_line() -> None:
         nonlocal linked
@@ -175,9 +185,13 @@ def lines(html: str) -> tuple[list[tuple[str, int]], bool]:
             depth = depth + 1 if kind == "open" else max(0, depth - 1)
         elif value not in INLINE:
             end_line()
+            if kind == "open" and i in ends and value not in PARTS:
+                opened[ends[i]] = len(out)
+            elif i in opened:
+                blocks.append((opened[i], len(out)))
         i += 1
     end_line()
-    return out, bool(article)
+    return out, None if article else blocks
 
 
 def _dropped(token: tuple, in_article: bool) -> bool:
@@ -214,17 +228,29 @@ def stretches(weights: list[int]) -> list[tuple[int, int, int]]:
     return out
 
 
+def enclosing(blocks: list[tuple[int, int]], found: list[tuple[str, int]], first: int, last: int) -> range:
+    """The lines of the smallest block element of two lines or more around two lines."""
+    texts = [0]
+    for text, _ in found:
+        texts.append(texts[-1] + bool(text))
+    around = [(b - a, a, b) for a, b in blocks if a <= first and last < b and texts[b] - texts[a] > 1]
+    _, start, end = min(around, default=(0, 0, len(found)))
+    return range(start, end)
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
-    found, marked = lines(html)
+    found, blocks = lines(html)
     weights = [w for _, w in found]
     kept = stretches(weights)
-    if not marked:
-        strong = [s for s in kept if s[2] >= THRESHOLD]
-        kept = strong or sorted(kept, key=lambda s: -sum(weights[s[0] : s[1] + 1]))[:1]
-    parts = [found[i][0] for a, b, _ in kept for i in range(a, b + 1) if found[i][1]]
-    return " ".join(parts)
+    if blocks is None:
+        return " ".join(found[i][0] for a, b, _ in kept for i in range(a, b + 1) if weights[i])
+    strong = [s for s in kept if s[2] >= THRESHOLD]
+    strong = strong or sorted(kept, key=lambda s: -sum(weights[s[0] : s[1] + 1]))[:1]
+    heavy = [i for a, b, _ in strong for i in range(a, b + 1) if weights[i]]
+    rows = enclosing(blocks, found, heavy[0], heavy[-1]) if heavy else range(len(found))
+    return " ".join(found[i][0] for i in rows if found[i][0])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -217,6 +217,21 @@ def test_html_cases(spark):
     assert html.extract(df.limit(0)).count() == 0
 
 
+def test_short_lines_of_unmarked_pages_stay():
+    long = "A paragraph of the text " * 6 + "ends."
+    for dropped in ("aside", "form", "nav", "button", "fieldset"):
+        gap = f"<{dropped}>x</{dropped}>"
+        page = f"<div>Site</div><div class=c><p>Lead.</p>{gap}<p>{long}</p>{gap}<p>Sh is.</p></div><div>End</div>"
+        assert html.main_text(page) == f"Lead. {long} Sh is."
+        page = f"<div class=c><div><p>{long}</p></div>{gap}<section><p>Sh is.</p><p>So.</p></section></div>"
+        assert html.main_text(page) == f"{long} Sh is. So."
+    page = f"<div class=c><p>{long}</p><p><a href=x>All of it is a link.</a></p></div><nav>x</nav><p>End</p>"
+    assert html.main_text(page) == f"{long} All of it is a link."
+    apart = f"<div><p>{long}</p><p>One.</p></div><nav>x</nav><div><p>{long}</p><p>Two.</p></div>"
+    assert html.main_text(f"<body>{apart}</body>") == f"{long} One. {long} Two."
+    assert html.main_text("<ul><li><a href=x>only links</a></ul>") == "only links"
+
+
 def test_long_page_is_whole():
     body = "".join(f"<p>paragraph {i}</p>" for i in range(20_000))
     assert html.main_text(f"<article>{body}</article>").endswith("paragraph 19999")
