@@ -2,9 +2,9 @@
 
 1. Markup is stripped into lines: one line per block of text. Scripts and styles leave nothing. Forms,
    menus, headers, footers and asides leave ``GAP`` empty lines, and elements that are hidden, or
-   whose class, id or role names an advert, a sidebar, a notice, comments and the like, leave one.
-   If the page marks an article or a main element, lines outside of it are empty too. In other pages a
-   line that is mostly link text counts as empty when text is looked for.
+   that are named as an advert, a sidebar, a notice, comments and the like, leave one. If the page
+   marks an article or a main element, lines outside of it are empty too. In other pages a line that
+   is mostly link text counts as empty when text is looked for.
 2. Text lengths are summed over sliding windows of ``GAP`` lines. Where the sum rises from zero is a
    surge point, where it falls back to zero a dive point.
 3. With an article or main element, the text between surge and dive is kept. In other pages the
@@ -13,6 +13,15 @@
    short. That element has to hold two lines or more, and a paragraph, a list, a section and the like
    are parts of it; if there is none it is the page.
 
+An element is named by a class or role as a whole: ``sidebar``, or words that say no more, as in
+``left-sidebar`` or ``comment-list``, but not ``has-sidebar`` or ``search-algorithms``. An id counts in
+the same way, but never for headings, paragraphs, lists, tables and the like, nor for a section of an
+article unless it names comments. An element with more than half of the page's text outside of menus,
+footers, asides and so on is not dropped for its name, unless that names comments or cookies.
+
+A main element gives way to the article inside of it if there is one and it holds more than half of
+the main element's text. Otherwise the main element is kept with all its articles.
+
 Character references are decoded once, white space inside a line becomes one space, lines are trimmed
 and joined by one space in page order. Nothing else is changed, dropped or cut.
 
@@ -56,6 +65,18 @@ BOILERPLATE = frozenset(
     "search copyright disclaimer paywall contentinfo complementary skip feedback responses teaser "
     "teasers trending popular announcement announcements toast pagination pager".split()
 )
+# Words beside one of these that say where or how it is shown, not what it is about.
+LAYOUT = frozenset(
+    "area article articles bar bars block body bottom box boxes button buttons col column container "
+    "content desktop entry field fixed floating form global google group heading icon icons image img "
+    "inner item items large leaderboard left link links list main mobile outer page panel post posts "
+    "primary region right row secondary section site slot small sticky text the title top unit upper "
+    "lower wide wrap wrapper wp zone".split()
+)
+# Around a header these say that it is the page's, not that of a part of the text.
+PAGE_LAYOUT = frozenset("bar container global inner outer site sticky top wrap wrapper".split())
+# Elements that are the text itself: their id is an anchor.
+PROSE = frozenset("h1 h2 h3 h4 h5 h6 p ul ol li dl dt dd blockquote pre figure table section".split())
 # Elements inside of the one that encloses a page's text.
 PARTS = frozenset(
     "h1 h2 h3 h4 h5 h6 p ul ol li dl dt dd blockquote pre figure figcaption table caption colgroup "
@@ -65,29 +86,50 @@ PARTS = frozenset(
 ARTICLE_WORDS = frozenset("article entry post story content main".split())
 COMMENT_WORDS = frozenset("comment comments reply replies respond".split())
 BODY_WORDS = frozenset("articlebody".split())
+# Dropped by name however much text they hold.
+ALWAYS_WORDS = COMMENT_WORDS | frozenset("commentlist disqus cookie cookies consent gdpr".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)",
     re.S,
 )
-NAMES = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+NAMES = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 UNSEEN = "\0"
 HIDDEN = re.compile(r"display\s*:\s*none|aria-hidden\s*=\s*[\"']?true|\shidden(?=[\s=/]|$)", re.I)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
-def _names(attributes: str) -> set[str]:
-    """The words in an element's class, id, role and itemprop, and a mark for what is not shown."""
-    found: set[str] = {UNSEEN} if HIDDEN.search(attributes) else set()
-    for value in NAMES.findall(attributes):
-        found.update(w.lower() for w in WORD.findall(value))
-        found.update(re.split(r"[\s\"']+", value.lower()))
-    return found
+class Names:
+    """What an element's class, id, role and itemprop say.
+
+    ``words`` are all their words, with a mark for what is not shown. ``kinds`` and ``id_kinds`` are the
+    words of ``BOILERPLATE`` and "header" that a whole value names, by class, role or itemprop and by id.
+    """
+
+    __slots__ = ("words", "kinds", "id_kinds")
+
+    def __init__(self, attributes: str):
+        self.words: set[str] = {UNSEEN} if HIDDEN.search(attributes) else set()
+        self.kinds: set[str] = set()
+        self.id_kinds: set[str] = set()
+        for attribute, value in NAMES.findall(attributes):
+            kinds = self.id_kinds if attribute.lower() == "id" else self.kinds
+            for name in value.strip("\"'").split():
+                parts = {w.lower() for w in WORD.findall(name)}
+                self.words |= parts | {name.lower()}
+                named = parts & BOILERPLATE
+                if named and parts <= BOILERPLATE | LAYOUT:
+                    kinds |= named
+                elif "header" in parts and parts <= PAGE_LAYOUT | {"header"}:
+                    kinds.add("header")
+
+
+NAMELESS = Names("")
 
 
 def tokens(html: str) -> list[tuple]:
-    """("text", string), ("open", name, names) and ("close", name), raw elements left out."""
+    """("text", string), ("open", name, Names) and ("close", name), raw elements left out."""
     out: list[tuple] = []
     at = 0
     while at < len(html):
@@ -109,7 +151,7 @@ def tokens(html: str) -> list[tuple]:
             at = end.end() if end else len(html)
             out.append(("raw", name))
             continue
-        out.append(("open", name, _names(match.group(3)) if match.group(3) else frozenset()))
+        out.append(("open", name, Names(match.group(3)) if match.group(3) else NAMELESS))
         if name in VOID or match.group(3).endswith("/"):
             out[-1] = ("void", name)
     return out
@@ -127,25 +169,56 @@ def closings(found: list[tuple]) -> dict[int, int]:
     return ends
 
 
+def amounts(found: list[tuple], ends: dict[int, int]) -> list[int]:
+    """Characters of text before each token, without those in dropped elements by tag."""
+    out = [0] * (len(found) + 1)
+    skipped = 0
+    for i, token in enumerate(found):
+        if token[0] == "open" and token[1] in DROPPED and i in ends:
+            skipped = max(skipped, ends[i])
+        text = token[0] == "text" and i >= skipped
+        out[i + 1] = out[i] + (len("".join(token[1].split())) if text else 0)
+    return out
+
+
+def marked_parts(found: list[tuple], ends: dict[int, int], chars: list[int]) -> list[tuple[int, int]]:
+    """(start, end) of the elements that the page marks as its text."""
+    parts = [
+        (i, ends.get(i, len(found)))
+        for i, t in enumerate(found)
+        if t[0] == "open"
+        if t[1] in ("article", "main") or BODY_WORDS & t[2].words or t[2].words == {"main"}
+        if not COMMENT_WORDS & (t[2].kinds | t[2].id_kinds)
+    ]
+    for a, b in [p for p in parts if found[p[0]][1] == "main"]:
+        inner = [(c, d) for c, d in parts if found[c][1] == "article" and a < c and d <= b]
+        if any(2 * (chars[d] - chars[c]) > chars[b] - chars[a] for c, d in inner):
+            parts.remove((a, b))
+    return parts
+
+
 def lines(html: str) -> tuple[list[tuple[str, int]], list[tuple[int, int]] | None]:
     """(text, weight) of each line in page order, and, unless the page marks its text, the block
     elements that may enclose it, as (first line, end of lines)."""
     found = tokens(html)
     ends = closings(found)
-    article = [
-        (i, ends.get(i, len(found)))
-        for i, t in enumerate(found)
-        if t[0] == "open" and (t[1] in ("article", "main") or BODY_WORDS & t[2] or t[2] == {"main"})
-        if not COMMENT_WORDS & t[2]
-    ]
+    chars = amounts(found, ends)
+    article = marked_parts(found, ends, chars)
     largest = max(article, key=lambda ab: ab[1] - ab[0], default=(-1, -1))[0]
-    names = {found[i][1] for i, _ in article}
-    if "article" in names and "main" in names:  # the article inside the main element
-        article = [(a, b) for a, b in article if found[a][1] != "main"]
     inside = [False] * (len(found) + 1)
     for a, b in article:
         inside[a:b] = [True] * (min(b, len(found)) - a)
 
+    def spared(i: int) -> bool:
+        """Around the largest marked part, or with most of the page's text and dropped by name only."""
+        if i <= largest < ends.get(i, i + 1):
+            return True
+        name, names = found[i][1], found[i][2]
+        by_tag = name in DROPPED or name == "header" or UNSEEN in names.words
+        if by_tag or ALWAYS_WORDS & (names.kinds | names.id_kinds):
+            return False
+        return i in ends and 2 * (chars[ends[i]] - chars[i]) > chars[-1]
+
     out: list[tuple[str, int]] = []
     held: list[str] = []
     linked = depth = 0
@@ -170,9 +243,7 @@ def lines(html: str) -> tuple[list[tuple[str, int]], list[tuple[int, int]] | Non
             held.append(unescape(value))
             was_inside = inside[i]
             linked += len(value.strip()) if depth else 0
-        elif kind == "raw" or kind == "open" and (
-            _dropped(found[i], inside[i]) and not i <= largest < ends.get(i, i + 1)
-        ):
+        elif kind == "raw" or kind == "open" and _dropped(found[i], inside[i]) and not spared(i):
             end_line()
             if kind == "open":
                 out += [("", 0)] * (GAP if value in DROPPED or value == "header" else 1)
@@ -199,9 +270,13 @@ def _dropped(token: tuple, in_article: bool) -> bool:
     if name in ("html", "body"):
         return False
     if name in ("article", "main"):
-        return bool(COMMENT_WORDS & names)
-    header = name == "header" or "header" in names and not ARTICLE_WORDS & names
-    return name in DROPPED or header and not in_article or bool((BOILERPLATE | {UNSEEN}) & names)
+        return bool(COMMENT_WORDS & (names.kinds | names.id_kinds))
+    kinds = names.kinds
+    if name not in PROSE or name == "section" and (not in_article or COMMENT_WORDS & names.id_kinds):
+        kinds = kinds | names.id_kinds
+    header = name == "header" or "header" in kinds and not ARTICLE_WORDS & names.words
+    named = UNSEEN in names.words or bool(kinds - {"header"})
+    return name in DROPPED or header and not in_article or named
 
 
 def _next_block(found: list[tuple], start: int) -> int:

@@ -232,6 +232,28 @@ def test_short_lines_of_unmarked_pages_stay():
     assert html.main_text("<ul><li><a href=x>only links</a></ul>") == "only links"
 
 
+def test_names_drop_only_what_they_name_whole():
+    long = "A paragraph of the text " * 6 + "ends."
+    slugs = '<h2 id="related-work">R</h2><section id="search-algorithms">S</section><p id="copyright-law">C</p>'
+    slugs += '<section id="social-history">H</section><h3 id="discussion">D</h3><div class="no-sidebar">N</div>'
+    boxes = '<div class="left-sidebar">x</div><div id="comment-list">x</div><div class="b shareButtons">x</div>'
+    assert html.main_text(f"<article>{slugs}{boxes}<p>{long}</p></article>") == f"R S C H D N {long}"
+    assert html.main_text(f"<div>{slugs}{boxes}<p>{long}</p></div>") == f"R S C H D N {long}"
+    for name in ("content no-sidebar", "page has-sidebar", "with-sidebar", "sidebar", "search-page", "widget"):
+        assert html.main_text(f'<div class="{name}"><p>{long}</p><p>So.</p></div><p>End</p>').startswith(long)
+    most = f'<div class=comments><p>{long}{long}</p></div>'
+    assert html.main_text(f"<div class=content><p>{long}</p></div>{most}") == long
+
+
+def test_main_element_with_articles():
+    two = "<article><p>one</p></article><article><p>two</p></article>"
+    assert html.main_text(f"<main><p>A long intro.</p>{two}</main><p>End</p>") == "A long intro. one two"
+    card = "<aside><article>card</article></aside><div><article>other</article></div>"
+    assert html.main_text(f"<main><p>The text.</p>{card}</main>") == "The text. other"
+    inner = "<main><p>path</p><article><p>The whole of the text.</p></article></main>"
+    assert html.main_text(inner) == "The whole of the text."
+
+
 def test_long_page_is_whole():
     body = "".join(f"<p>paragraph {i}</p>" for i in range(20_000))
     assert html.main_text(f"<article>{body}</article>").endswith("paragraph 19999")
