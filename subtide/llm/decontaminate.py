@@ -7,8 +7,10 @@ items in one pass over a text, and Myers' bit-parallel algorithm gives the small
 the item to any part of the text around a hit. So no occurrence within the budget is missed.
 
 Texts and items are compared in lower case, with each run of other than letters and digits as one
-space; places refer to that form. Items shorter than ``min_chars`` in that form are not looked for:
-a few common words are no evidence.
+space; places refer to that form. Items shorter than ``min_chars`` in that form are looked for if
+``short`` says so, as they are in op10 and the pipeline: unchanged, and as whole words, so that "art" is
+not found in "party". In scripts written without spaces (Chinese, Japanese, Thai and the like) a word
+may begin and end at any character.
 
 Scale: documents are scanned where they lie, without a shuffle. Items go out in blocks of about
 ``BLOCK_CHARS`` characters, dealt by hash; the documents are read once per block, and neither driver
@@ -16,7 +18,9 @@ nor task ever holds more than one block.
 
 Defined cases: NULL and empty texts hold nothing. For each row of documents and each item_id there is
 one result, the smallest distance and then the first place. Repeated documents give repeated results.
-Items that repeat, or are NULL, change nothing. Extra columns are ignored.
+Items that repeat change nothing, and neither do those without a letter or digit. Each text without an
+item_id is an item of its own with a NULL item_id, unless it repeats that of an item with an id. Extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,12 +34,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from subtide.llm.common import record_batches
+from subtide.sources import written
 
 RATE = 0.05
 MIN_CHARS = 20
 BLOCK_CHARS = 1_000_000
 
 WORDS = re.compile(r"[^\W_]+")
+# Fixed value: characters of scripts that put no spaces between words (Thai to Tibetan, Myanmar, Khmer,
+# kana, Chinese characters).
+UNSPACED = re.compile(
+    "[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u2e80-\u2fdf\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf"
+    "\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff]"
+)
 
 FOUND = "doc_id long, item_id long, distance int, start int, end int"
 FOUND_SCHEMA = pa.schema(
@@ -86,12 +97,25 @@ def edit_search(pattern: str, text: str) -> tuple[int, int]:
     return best, end
 
 
+def at_word_end(text: str, at: int) -> bool:
+    """Whether a word may begin or end before the character at ``at`` of a normal text."""
+    if at in (0, len(text)):
+        return True
+    before, after = text[at - 1], text[at]
+    return before == " " or after == " " or bool(UNSPACED.match(before) or UNSPACED.match(after))
+
+
 class Items:
-    """Normal items with one automaton over all their pieces."""
+    """Normal items with one automaton over all their pieces.
 
-    def __init__(self, items: list[tuple[int, str]], rate: float):
-        self.items = items
-        self.budgets = [int(rate * len(text)) for _, text in items]
+    Those shorter than ``min_chars`` are found unchanged and as whole words only.
+    """
+
+    def __init__(self, items: list[tuple[int | None, str]], rate: float, min_chars: int = 0):
+        self.items = [(key, text) for key, text in items if text]
+        items = self.items
+        self.whole = [len(text) < min_chars for _, text in items]
+        self.budgets = [0 if w else int(rate * len(text)) for w, (_, text) in zip(self.whole, items)]
         self.automaton = ahocorasick.Automaton()
         places: dict[str, list[tuple[int, int]]] = {}
         for i, (_, text) in enumerate(items):
@@ -102,20 +126,30 @@ class Items:
         if places:
             self.automaton.make_automaton()
 
-    def find(self, text: str) -> list[tuple[int, int, int, int]]:
+    def find(self, text: str) -> list[tuple[int | None, int, int, int]]:
         """(item_id, distance, start, end) of each item in a normal text, the best place each."""
         if not self.items or not text:
             return []
         starts: dict[int, set[int]] = {}
+        # By (whether the item has an id, its id or else its place in the list).
+        best: dict[tuple[bool, int], tuple[int, int, int]] = {}
         for last, (length, where) in self.automaton.iter(text):
             for i, offset in where:
-                starts.setdefault(i, set()).add(last + 1 - length - offset)
-        best: dict[int, tuple[int, int, int]] = {}
+                start = last + 1 - length - offset
+                if not self.whole[i]:
+                    starts.setdefault(i, set()).add(start)
+                elif at_word_end(text, start) and at_word_end(text, last + 1):
+                    key, hit = self._key(i), (0, start, last + 1)
+                    best[key] = min(best.get(key, hit), hit)
         for i, found in starts.items():
-            key, item = self.items[i]
+            key, item = self._key(i), self.items[i][1]
             for hit in self._verify(text, item, self.budgets[i], sorted(found)):
                 best[key] = min(best.get(key, hit), hit)
-        return [(key, *hit) for key, hit in sorted(best.items())]
+        return [(key if named else None, *hit) for (named, key), hit in sorted(best.items())]
+
+    def _key(self, i: int) -> tuple[bool, int]:
+        key = self.items[i][0]
+        return (False, i) if key is None else (True, key)
 
     @staticmethod
     def _verify(text: str, item: str, budget: int, starts: list[int]) -> Iterator[tuple[int, int, int]]:
@@ -137,19 +171,24 @@ class Items:
                 yield distance, low + end - edit_search(item[::-1], back)[1], low + end
 
 
-def item_blocks(items: DataFrame, min_chars: int, block_chars: int) -> Iterator[list[tuple[int, str]]]:
+def item_blocks(
+    items: DataFrame, min_chars: int, block_chars: int, short: bool = False
+) -> Iterator[list[tuple[int | None, str]]]:
     """Normal items, a bounded block at a time."""
-    rows = items.select(F.col("item_id").cast("long"), "text").filter(F.col("item_id").isNotNull()).distinct()
+    rows = items.select(F.col("item_id").cast("long"), "text").filter(F.col("text").isNotNull()).distinct()
+    named = rows.filter(F.col("item_id").isNotNull())
+    nameless = rows.filter(F.col("item_id").isNull()).join(named.select("text"), "text", "left_anti")
+    rows = written(named.unionByName(nameless))
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-chars // block_chars))
     for block in range(blocks):
         own = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         read = [(r["item_id"], normal(r["text"])) for r in own.collect()]
-        yield [(key, text) for key, text in read if len(text) >= min_chars]
+        yield [(key, text) for key, text in read if text and (short or len(text) >= min_chars)]
 
 
-def _matches(batches: Iterator[pa.RecordBatch], items: list, rate: float) -> Iterator[pa.RecordBatch]:
-    known = Items(items, rate)
+def _matches(batches: Iterator[pa.RecordBatch], items: list, rate: float, min_chars: int) -> Iterator[pa.RecordBatch]:
+    known = Items(items, rate, min_chars)
 
     def rows() -> Iterator[dict]:
         for batch in batches:
@@ -166,18 +205,19 @@ def matches(
     rate: float = RATE,
     min_chars: int = MIN_CHARS,
     block_chars: int = BLOCK_CHARS,
+    short: bool = False,
 ) -> DataFrame:
     """Rows of (doc_id, item_id, distance, start, end) for every item found in a document."""
     read = docs.select(F.col("doc_id").cast("long"), "text")
     found = [
-        read.mapInArrow(partial(_matches, items=block, rate=rate), FOUND)
-        for block in item_blocks(items, min_chars, block_chars)
+        read.mapInArrow(partial(_matches, items=block, rate=rate, min_chars=min_chars), FOUND)
+        for block in item_blocks(items, min_chars, block_chars, short)
     ]
     return reduce(DataFrame.unionAll, found)
 
 
-def _clean(batches: Iterator[pa.RecordBatch], items: list, rate: float) -> Iterator[pa.RecordBatch]:
-    known = Items(items, rate)
+def _clean(batches: Iterator[pa.RecordBatch], items: list, rate: float, min_chars: int) -> Iterator[pa.RecordBatch]:
+    known = Items(items, rate, min_chars)
     for batch in batches:
         texts = batch.column("text").to_pylist()
         yield batch.filter(pa.array([not known.find(normal(t)) for t in texts], pa.bool_()))
@@ -189,8 +229,9 @@ def clean(
     rate: float = RATE,
     min_chars: int = MIN_CHARS,
     block_chars: int = BLOCK_CHARS,
+    short: bool = False,
 ) -> DataFrame:
     """The documents in which no item is found, with all their columns."""
-    for block in item_blocks(items, min_chars, block_chars):
-        docs = docs.mapInArrow(partial(_clean, items=block, rate=rate), docs.schema)
+    for block in item_blocks(items, min_chars, block_chars, short):
+        docs = docs.mapInArrow(partial(_clean, items=block, rate=rate, min_chars=min_chars), docs.schema)
     return docs

@@ -175,7 +175,7 @@ def op9_pack_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs, items = table(ready(spark), folder, "documents"), table(spark, folder, "benchmark")
-    return decontaminate.matches(docs, items)
+    return decontaminate.matches(docs, items, short=True)
 
 
 CONTROL_TEXT = "\\### Assistant: </turn> ok"

@@ -12,6 +12,7 @@ from test_llm_queries import unpacked
 
 import corpus_pipeline
 from subtide.llm import chat, decontaminate, html, jaccard, langid, mixing, packing, topk, urls, warc
+from subtide.llm.queries import LLM_QUERIES
 
 DOCS = "doc_id long, text string, lang string, source string, size int, `_hash` string, key int"
 
@@ -517,3 +518,21 @@ def test_decontamination_cases(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 5] and kept.columns == docs.columns
     assert decontaminate.clean(docs, items.limit(0)).count() == len(rows)
     assert decontaminate.matches(docs.limit(0), items).count() == 0
+
+
+def test_short_and_nameless_items_are_found(spark, tmp_path):
+    long = "What is the capital of the country that lies to the north of this one?"
+    rows = [(1, "What is 12 times 12?"), (2, "法国的首都是哪里"), (None, long), (3, "art"), (4, "수도는 어디인가"), (5, "!")]
+    rows += [(None, "Art"), (None, "art")]
+    texts = ["so what is 12 times 12, then", "请问法国的首都是哪里？谢谢", "x " + long, "a party", "the art of", "what is 12 times 123"]
+    texts += ["프랑스의 수도는 어디인가?", "!", None]
+    spark.createDataFrame(rows, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = documents(spark, [(i, text, "en", "s") for i, text in enumerate(texts)])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = LLM_QUERIES["op10_decontaminate"](spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, str(r.item_id), r.distance, r.start, r.end) for r in found) == [
+        (0, "1", 0, 3, 22), (1, "2", 0, 2, 10), (2, "None", 0, 2, 71), (4, "3", 0, 4, 7), (4, "None", 0, 4, 7),
+        (6, "4", 0, 5, 13),
+    ]
+    kept = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))
+    assert {r.doc_id for r in kept.collect()} == {3, 5, 7, 8}
