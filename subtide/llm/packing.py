@@ -33,7 +33,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, functions as F
 
-from subtide.llm.common import opened
+from subtide.llm.common import opened, record_batches
 from subtide.sources import written
 from subtide.sources.scratch import scratch_root
 
@@ -210,23 +210,32 @@ def write_matrices(packed: DataFrame, folder: str | None = None) -> DataFrame:
     return written(packed.mapInArrow(partial(_write, folder=folder), SHARDS))
 
 
+def _sequences(shard: dict) -> Iterator[dict]:
+    sources = []
+    for ending in (IDS, POSITIONS, SEGMENTS):
+        store, path = opened(f"{shard['file']}.{ending}")
+        sources.append((store.open_input_stream(path), store.get_file_info(path).size))
+    width = [size // shard["sequences"] for _, size in sources[:2]]
+    for _ in range(shard["sequences"]):
+        values = [bytes(file.read(w)) for (file, _), w in zip(sources, width)]
+        n = int(np.frombuffer(sources[2][0].read(8), dtype="<i8")[0])
+        ends, keys, known, offsets = np.frombuffer(sources[2][0].read(32 * n), "<i8").reshape(4, n).tolist()
+        keys = [k if ok else None for k, ok in zip(keys, known)]
+        yield dict(zip(PACKED_SCHEMA.names, [*values, [0, *ends], keys, offsets]))
+    for file, _ in sources:
+        file.close()
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for shard in batch.to_pylist():
-            sources = []
-            for ending in (IDS, POSITIONS, SEGMENTS):
-                store, path = opened(f"{shard['file']}.{ending}")
-                sources.append((store.open_input_stream(path), store.get_file_info(path).size))
-            width = [size // shard["sequences"] for _, size in sources[:2]]
-            for _ in range(shard["sequences"]):
-                values = [bytes(file.read(w)) for (file, _), w in zip(sources, width)]
-                n = int(np.frombuffer(sources[2][0].read(8), dtype="<i8")[0])
-                ends, keys, known, offsets = np.frombuffer(sources[2][0].read(32 * n), "<i8").reshape(4, n).tolist()
-                keys = [k if ok else None for k, ok in zip(keys, known)]
-                row = dict(zip(PACKED_SCHEMA.names, [*values, [0, *ends], keys, offsets]))
-                yield pa.RecordBatch.from_pylist([row], PACKED_SCHEMA)
+    rows = (row for batch in batches for shard in batch.to_pylist() for row in _sequences(shard))
+    yield from record_batches(rows, PACKED_SCHEMA, OUT_ROWS)
 
 
 def read_matrices(shards: DataFrame) -> DataFrame:
     """The packed rows of the shards."""
     return shards.mapInArrow(_read, PACKED)
+
+
+def packed_matrices(docs: DataFrame, ranks_path: str) -> DataFrame:
+    """Pack, write the binary matrices and return what they hold. Calling it runs the write."""
+    return read_matrices(write_matrices(pack(docs, ranks_path)))

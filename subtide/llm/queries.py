@@ -170,7 +170,7 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_pack_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(table(ready(spark), folder, "documents"), packing.RANKS)
+    return packing.packed_matrices(table(ready(spark), folder, "documents"), packing.RANKS)
 
 
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+from pathlib import Path
 
 import pytest
 from llm_plain import components, edit_distance_within, shingles
@@ -13,6 +14,7 @@ from test_llm_queries import unpacked
 import corpus_pipeline
 from subtide.llm import chat, decontaminate, html, jaccard, langid, mixing, packing, topk, urls, warc
 from subtide.llm.queries import LLM_QUERIES
+from subtide.sources.scratch import scratch_root
 
 DOCS = "doc_id long, text string, lang string, source string, size int, `_hash` string, key int"
 
@@ -453,6 +455,24 @@ def test_packing_cases(spark):
     assert row.doc_ids == [None]
 
 
+def test_query_and_stage_write_matrices(spark, tmp_path):
+    docs = documents(spark, [(i, "some words " * 900 * i, "en", "s") for i in range(4)])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    plain = sorted(map(str, packing.pack(docs.coalesce(1), packing.RANKS).collect()))
+    steps = [
+        lambda: LLM_QUERIES["op9_pack_tokens"](spark, str(tmp_path)),
+        lambda: corpus_pipeline.pack_tokens(spark, docs.coalesce(1), str(tmp_path)),
+    ]
+    root = Path(scratch_root(spark).removeprefix("file:"))
+    for step in steps:
+        before = set(root.glob("packed-*/*.ids.bin"))
+        found = step().collect()
+        made = set(root.glob("packed-*/*.ids.bin")) - before
+        assert sum(file.stat().st_size for file in made) == 2 * packing.LENGTH * len(found) > 0
+        assert unpacked(found) == {i: "some words " * 900 * i for i in range(1, 4)}
+    assert sorted(map(str, found)) == plain
+
+
 def test_best_fit_decreasing_equals_a_scan():
     n = random.Random(3)
     for _ in range(200):
