@@ -111,8 +111,9 @@ def _profile(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
         sets = shingle_sets(batch.column("text"), size)
         counts = pa.array([len(s) for s in sets], pa.int64())
         keys = pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())
-        arrays = [batch.column("doc_id"), counts, keys]
-        yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_shingles", "key"])
+        rest = batch.drop_columns(["text"])
+        arrays = [*rest.columns, counts, keys]
+        yield pa.RecordBatch.from_arrays(arrays, [*rest.schema.names, "n_shingles", "key"])
 
 
 # --- which documents can have a link at all ---------------------------------------------------
@@ -557,6 +558,14 @@ def set_links(docs: DataFrame, profile: DataFrame, size: int, similar: tuple[int
     return _join_cells(bundles.mapInArrow(_unbundle, SETS), cells, similar)
 
 
+def _rooted(docs: DataFrame, sets: DataFrame, first, size: int, similar: tuple[int, int]) -> DataFrame:
+    """Rows of (key, first, root), one per set of shingles, with an aggregate of its rows as ``first``."""
+    roots = components(set_links(docs, sets, size, similar))
+    found = sets.groupBy("key").agg(first.alias("first"))
+    rooted = found.join(roots.withColumnRenamed("node", "key"), "key", "left")
+    return written(rooted.withColumn("root", F.coalesce("root", "key")))
+
+
 def jaccard_components(
     docs: DataFrame, size: int = SIZE, similar: tuple[int, int] = SIMILAR
 ) -> DataFrame:
@@ -569,10 +578,7 @@ def jaccard_components(
         docs.mapInArrow(partial(_profile, size=size), "doc_id long, n_shingles long, key long")
     )
     sets = profile.filter("key is not null")
-    roots = components(set_links(docs, sets, size, similar))
-    first = sets.groupBy("key").agg(F.min("doc_id").alias("first"))
-    rooted = first.join(roots.withColumnRenamed("node", "key"), "key", "left")
-    rooted = written(rooted.withColumn("root", F.coalesce("root", "key")))
+    rooted = _rooted(docs, sets, F.min("doc_id"), size, similar)
     least = written(rooted.groupBy("root").agg(F.min("first").alias("component_id")))
     mapped = written(rooted.join(least, "root").select("key", "component_id"))
     return profile.join(mapped, "key", "left").select(
@@ -583,19 +589,29 @@ def jaccard_components(
 def one_of_each(
     docs: DataFrame, size: int = SIZE, similar: tuple[int, int] = SIMILAR
 ) -> DataFrame:
-    """The documents with all their columns, one per component: that with the component's id.
+    """The documents with all their columns, one row per component: that with the smallest doc_id.
 
-    Of rows that share this doc_id and the text, one stays.
+    A NULL doc_id comes last. Rows with one doc_id and different texts are told apart by their texts;
+    between those of one component the smallest key of their shingles decides. Of documents without
+    shingles, which link with nothing, one row per doc_id and text stays.
     """
-    found = jaccard_components(docs, size, similar)
-    known = lambda c: [F.coalesce(c, F.lit(0)).alias("_id"), F.isnull(c).alias("_none")]
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stay = written(stay.select(*known("doc_id")).distinct())
-    rows = docs.select(
-        F.struct(*docs.columns).alias("_row"),
-        F.xxhash64("text").alias("_text"),
-        *known(F.col("doc_id").cast("long")),
+    id_ = F.col("doc_id").cast("long")
+    known = [F.isnull(id_).alias("_none"), F.coalesce(id_, F.lit(0)).alias("_id")]
+    known.append(F.xxhash64("text").alias("_text"))
+    narrow = docs.select(id_.alias("doc_id"), "text")
+    profile = written(
+        narrow.select(*known, "text").mapInArrow(
+            partial(_profile, size=size), "_none boolean, _id long, _text long, n_shingles long, key long"
+        )
     )
-    kept = rows.join(stay, ["_id", "_none"], "left_semi")
-    copies = W.partitionBy("_id", "_none", "_text").orderBy("_text")
+    sets = profile.filter("key is not null")
+    first = F.min(F.struct("_none", "_id", "key", "_text"))
+    sets = sets.withColumn("doc_id", F.when(~F.col("_none"), F.col("_id")))
+    rooted = _rooted(narrow, sets, first, size, similar)
+    place = ["_none", "_id", "_text"]
+    stay = rooted.groupBy("root").agg(F.min("first").alias("first")).select([f"first.{c}" for c in place])
+    stay = written(stay.unionAll(profile.filter("key is null").select(place).distinct()))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), *known)
+    kept = rows.join(stay, place, "left_semi")
+    copies = W.partitionBy(place).orderBy("_text")
     return kept.withColumn("_n", F.row_number().over(copies)).filter("_n = 1").select("_row.*")

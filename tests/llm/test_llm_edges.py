@@ -142,6 +142,17 @@ def test_jaccard_stage_keeps_one(spark):
     assert jaccard.jaccard_components(docs.limit(0)).count() == 0
 
 
+def test_jaccard_stage_keeps_one_row_of_each_component(spark):
+    first, second, third = (" ".join(f"{c}{i}" for i in range(30)) for c in "abc")
+    rows = [(None, first), (None, first + " x"), (None, first), (3, second), (3, third), (2, third + " x")]
+    rows += [(None, second + " x"), (3, None), (3, ""), (None, None), (None, None)]
+    docs = documents(spark, [(key, text, "en", "s") for key, text in rows])
+    kept = [(r.doc_id, r.text) for r in jaccard.one_of_each(docs, 5, (80, 100)).collect()]
+    alone = [(3, None), (3, ""), (None, None)]
+    assert [k for k in alone if k not in kept] == [] and (3, second) in kept and (2, third + " x") in kept
+    assert len(kept) == 6 and len({(None, first), (None, first + " x")} & set(kept)) == 1
+
+
 # --- top-k ----------------------------------------------------------------------------------------
 
 
