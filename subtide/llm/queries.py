@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from subtide.llm import chat, decontaminate, html, jaccard, langid, mixing, packing, topk, urls, warc
+from subtide.llm import (
+    chat,
+    decontaminate,
+    html,
+    jaccard,
+    langid,
+    licenses,
+    mixing,
+    negatives,
+    packing,
+    spelling,
+    topk,
+    urls,
+    warc,
+)
 from subtide.llm.common import ready, table
 
 def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
@@ -178,6 +192,149 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.matches(docs, items, short=True)
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    found = spelling.variants_of(table(ready(spark), folder, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+# CRC-32 byte by byte from its table; near words share a pattern with one code point left open or out.
+OP11_SQL = """
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(
+           list_prepend(CAST(b AS BIGINT), list_transform(range(8), lambda i: CAST(0 AS BIGINT))),
+           lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+raw AS (
+  SELECT COALESCE(CAST(doc_id AS VARCHAR), '') AS id,
+         unnest(regexp_extract_all(text, '[A-Za-z\\x{00C0}-\\x{00FF}]{6,}')) AS run
+  FROM documents),
+cased AS (
+  SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, COUNT(*) AS times
+  FROM raw GROUP BY 1, 2),
+summed AS (
+  SELECT run, times, xor(list_reduce(
+           list_prepend(CAST(4294967295 AS BIGINT),
+             list_transform(regexp_extract_all(hex(encode(id || ':' || run)), '..'),
+                            lambda h: CAST('0x' || h AS BIGINT))),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM cased, crc_table),
+typed AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER))
+                || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word, times
+  FROM summed),
+words AS (
+  SELECT word, CAST(SUM(times) AS BIGINT) AS n FROM typed WHERE length(word) >= 6
+  GROUP BY word HAVING SUM(times) >= 5),
+cuts AS (
+  SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+patterns AS (
+  SELECT word, n, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail FROM cuts),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n
+  FROM patterns a JOIN patterns b ON a.i = b.i AND a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM patterns a JOIN words b ON a.head || a.tail = b.word
+  UNION SELECT b.word, a.word, a.n FROM patterns a JOIN words b ON a.head || a.tail = b.word),
+ranked AS (
+  SELECT *, COUNT(*) OVER (PARTITION BY word) AS n_near,
+         ROW_NUMBER() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS place
+  FROM pairs),
+formed AS (
+  SELECT w.word, w.n, COALESCE(r.n_near, 0) AS n_near,
+         CASE WHEN r.near_n >= 5 * w.n THEN r.near END AS form,
+         CASE WHEN r.near_n >= 5 * w.n THEN r.near_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON w.word = r.word AND r.place = 1),
+chains AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL SELECT c.word, f.form FROM chains c JOIN formed f ON c.at = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN chains c ON c.word = f.word JOIN formed e ON e.word = c.at AND e.form IS NULL
+"""
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(ready(spark), folder, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+OP12_SQL = """
+WITH doubles AS (
+  SELECT CAST(vec_id AS BIGINT) AS vec_id,
+         CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+         list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL),
+whole AS (
+  SELECT DISTINCT vec_id, label, list_transform(x, lambda c: floor(256 * c)) AS v FROM doubles
+  WHERE len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label = c.label AS own, c.vec_id,
+         CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM whole a JOIN whole c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id AND len(a.v) = len(c.v)),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE own
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+found AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+         ROW_NUMBER() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT s.own
+   AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM found WHERE rank <= 3
+"""
+
+
+def op13_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(ready(spark), folder, "documents")
+    return licenses.scan(docs, licenses.known_licenses(spark))
+
+
+_TEMPLATES = [(*r, True) for r in licenses.BASE_PHRASES] + [(*r, False) for r in licenses.NOTICES]
+_GRAMS = f"""list_transform(range(len(words) - size + 1), lambda i:
+           {{'at': i, 'gram': array_to_string(words[i + 1:i + size], ' ')}})"""
+
+OP13_SQL = f"""
+WITH templates AS (
+  SELECT row_number() OVER () AS template, label, base, string_split(phrase, ' ') AS words,
+         LEAST(len(words), {licenses.GRAM}) AS size
+  FROM (VALUES {", ".join(map(str, _TEMPLATES))}) v(label, phrase, base)),
+template_grams AS (
+  SELECT template, size, g.at AS at, g.gram AS gram
+  FROM (SELECT template, size, unnest({_GRAMS}) AS g FROM templates)),
+docs AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+  FROM documents),
+sized AS (
+  SELECT row, words, s.size AS size FROM docs, (SELECT DISTINCT size FROM templates) s WHERE len(words) >= s.size),
+grams AS (SELECT row, size, unnest({_GRAMS}) AS g FROM sized),
+votes AS (
+  SELECT row, t.template, g.g.at - t.at AS diagonal, list(t.at) AS ats
+  FROM grams g JOIN template_grams t ON g.size = t.size AND g.g.gram = t.gram GROUP BY ALL),
+merged AS (
+  SELECT v.row, t.template, diagonal, label, base, len(t.words) AS n, len(ats) = len(t.words) - size + 1 AS whole,
+         len(list_distinct(flatten(list_transform(flatten(list(ats) OVER w), lambda a: range(a, a + size))))) AS covered
+  FROM votes v JOIN templates t ON v.template = t.template
+  WINDOW w AS (PARTITION BY v.row, t.template ORDER BY diagonal
+    RANGE BETWEEN {licenses.SHIFT} PRECEDING AND {licenses.SHIFT} FOLLOWING)),
+marked AS (
+  SELECT *, CASE WHEN whole THEN 1.0::DOUBLE ELSE covered::DOUBLE / n::DOUBLE END AS share,
+         MAX(covered) OVER w = covered AS top
+  FROM merged
+  WINDOW w AS (PARTITION BY row, template ORDER BY diagonal
+    RANGE BETWEEN {licenses.SHIFT} PRECEDING AND {licenses.SHIFT} FOLLOWING)),
+found AS (
+  SELECT row, COUNT(*) FILTER (WHERE base AND whole) AS n_base,
+         CAST(MIN(diagonal) FILTER (WHERE base AND whole) AS BIGINT) AS first_word,
+         CAST(MAX(diagonal) FILTER (WHERE base AND whole) AS BIGINT) AS last_word,
+         array_to_string(list_sort(list(DISTINCT label) FILTER (WHERE base AND whole)), ',') AS base_labels,
+         array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, MAX(share) AS score
+  FROM marked WHERE whole OR (top AND share >= {licenses.SHARE}::DOUBLE) GROUP BY row)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, COALESCE(n_base, 0) AS n_base, first_word, last_word,
+       COALESCE(base_labels, '') AS base_labels, COALESCE(labels, '') AS labels, COALESCE(score, 0.0::DOUBLE) AS score
+FROM docs LEFT JOIN found USING (row)
+"""
+
+
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
 OP7_SQL = f"""
@@ -211,6 +368,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_pack_tokens": op9_pack_tokens,
     "op10_decontaminate": op10_decontaminate,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_license_scan": op13_license_scan,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -220,4 +380,7 @@ LLM_ORACLES: dict[str, str] = {
     "op5_warc": OP5_SQL,
     "op6_url_filter": OP6_SQL,
     "op7_chat_format": OP7_SQL,
+    "op11_spelling_variants": OP11_SQL,
+    "op12_hard_negatives": OP12_SQL,
+    "op13_license_scan": OP13_SQL,
 }
