@@ -23,8 +23,8 @@ Vectors of different lengths never meet. Rows with the anchor's id are neither i
 negatives. Exactly repeated rows count once, as anchors and as candidates; rows that share an id but
 differ take part each, as candidates once per score. An anchor without another row of its label, or a
 positive without a negative, gives no row. An empty table gives none. Extra columns are ignored.
-Components must stay below 2^53 when scaled; scores that 64 bits cannot hold exactly are added with
-Python's integers.
+Components must stay below 2^53 when scaled, and scores within 64 bits; where sums on the way may need more,
+they are added with Python's integers.
 """
 
 from __future__ import annotations
@@ -292,6 +292,5 @@ def hard_negatives(
 
 
 def _floor_share(score: Column, share: int) -> Column:
-    """floor(score * share / 100) in whole numbers."""
-    scaled = score * F.lit(share)
-    return F.call_function("div", scaled - F.pmod(scaled, F.lit(100)), F.lit(100))
+    """floor(score * share / 100), exactly."""
+    return F.floor(score.cast("decimal(20,0)") * F.lit(share) / F.lit(100)).cast("long")

@@ -288,28 +288,36 @@ def op13_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _TEMPLATES = [(*r, True) for r in licenses.BASE_PHRASES] + [(*r, False) for r in licenses.NOTICES]
-_GRAMS = f"""list_transform(range(len(words) - size + 1), lambda i:
-           {{'at': i, 'gram': array_to_string(words[i + 1:i + size], ' ')}})"""
+_SIZES = sorted({min(len(text.split()), licenses.GRAM) for _, text, _ in _TEMPLATES})
+
+
+def _gram_rows(size: int) -> str:
+    """Rolling grams of one size: a word and those that follow it."""
+    follow = [f"LEAD(word, {i}) OVER o" for i in range(1, size)]
+    return (
+        f"SELECT id, place, {size} AS size, {' || chr(32) || '.join(['word', *follow])} AS gram "
+        "FROM placed WINDOW o AS (PARTITION BY id ORDER BY place)"
+    )
+
 
 OP13_SQL = f"""
-WITH templates AS (
+WITH templates AS MATERIALIZED (
   SELECT row_number() OVER () AS template, label, base, string_split(phrase, ' ') AS words,
          LEAST(len(words), {licenses.GRAM}) AS size
   FROM (VALUES {", ".join(map(str, _TEMPLATES))}) v(label, phrase, base)),
-template_grams AS (
-  SELECT template, size, g.at AS at, g.gram AS gram
-  FROM (SELECT template, size, unnest({_GRAMS}) AS g FROM templates)),
-docs AS (
+docs AS MATERIALIZED (
   SELECT row_number() OVER () AS row, doc_id,
          regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
            'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
   FROM documents),
-sized AS (
-  SELECT row, words, s.size AS size FROM docs, (SELECT DISTINCT size FROM templates) s WHERE len(words) >= s.size),
-grams AS (SELECT row, size, unnest({_GRAMS}) AS g FROM sized),
+placed AS (
+  SELECT row AS id, unnest(words) AS word, unnest(range(len(words))) AS place FROM docs
+  UNION ALL SELECT -template, unnest(words), unnest(range(len(words))) FROM templates),
+grams AS ({" UNION ALL ".join(map(_gram_rows, _SIZES))}),
 votes AS (
-  SELECT row, t.template, g.g.at - t.at AS diagonal, list(t.at) AS ats
-  FROM grams g JOIN template_grams t ON g.size = t.size AND g.g.gram = t.gram GROUP BY ALL),
+  SELECT g.id AS row, t.template, g.place - k.place AS diagonal, list(k.place) AS ats
+  FROM grams g JOIN grams k ON g.id > 0 AND k.id < 0 AND g.gram = k.gram
+  JOIN templates t ON t.template = -k.id AND t.size = k.size AND t.size = g.size GROUP BY ALL),
 merged AS (
   SELECT v.row, t.template, diagonal, label, base, len(t.words) AS n, len(ats) = len(t.words) - size + 1 AS whole,
          len(list_distinct(flatten(list_transform(flatten(list(ats) OVER w), lambda a: range(a, a + size))))) AS covered

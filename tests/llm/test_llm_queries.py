@@ -28,7 +28,7 @@ def test_query_equals_sql(spark, name):
 def test_registered():
     assert LLM_QUERIES.keys() <= entry.queries().keys()
     numbers = {name.split("_")[0] for name in LLM_QUERIES if name.startswith("op")}
-    assert numbers == {f"op{n}" for n in range(1, 11)}
+    assert numbers == {f"op{n}" for n in range(1, 14)}
     assert "pipeline" in LLM_QUERIES
 
 

@@ -1,0 +1,131 @@
+"""Spelling variants, against near words found pair by pair."""
+
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from llm_plain import LOWER
+from subtide.llm import spelling
+from subtide.sources import written
+
+DOCS = "doc_id long, text string, word string, n int, node int, rest string"
+
+
+def documents(spark, rows):
+    """Documents with further columns whose names the operator uses itself."""
+    return spark.createDataFrame([(*r, "x", 1, 2, "y") for r in rows], DOCS)
+
+
+def plain_words(rows) -> dict:
+    counts: Counter = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(LOWER)
+            hashed = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if hashed % 199 == 0:
+                run = run[: hashed % len(run)] + run[hashed % len(run) + 1 :]
+            if len(run) >= 6:
+                counts[run] += 1
+    return {w: n for w, n in counts.items() if n >= 5}
+
+
+def one_edit(a: str, b: str) -> bool:
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def plain_variants(words: dict) -> dict:
+    near = {w: [v for v in words if v != w and one_edit(v, w)] for w in words}
+    forms = {}
+    for word, others in near.items():
+        first = min(others, key=lambda o: (-words[o], o), default=None)
+        forms[word] = first if first and words[first] >= 5 * words[word] else None
+    out = {}
+    for word, n in words.items():
+        root = word
+        while forms[root]:
+            root = forms[root]
+        out[word] = (n, len(near[word]), forms[word], words.get(forms[word]), root)
+    return out
+
+
+def found_in(frame) -> dict:
+    rows = frame.collect()
+    assert len(rows) == len({r.word for r in rows})
+    return {r.word: (r.n, r.n_near, r.form, r.form_n, r.root) for r in rows}
+
+
+def vocabulary(spark, words: dict):
+    return written(spark.createDataFrame(list(words.items()), "word string, n long"))
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_variants_of_random_words(spark, seed):
+    """Few letters, so words have many neighbours, runs of one letter, and equal counts."""
+    dice = random.Random(seed)
+    words: dict = {}
+    while len(words) < 400:
+        word = "".join(dice.choice("aabé") for _ in range(dice.randint(3, 9)))
+        words[word] = dice.choice([5, 5, 6, 40, 300])
+    assert found_in(spelling.variants(vocabulary(spark, words))) == plain_variants(words)
+
+
+def test_long_words_and_a_chain(spark):
+    dice = random.Random(7)
+    long = "".join(dice.choice("abcdefgh") for _ in range(600))
+    words = {
+        long: 5,
+        long[:-1]: 30,
+        "z" + long: 200,
+        long[:300] + "Z" + long[301:]: 6,
+        "a" * 40: 5,
+        "a" * 41: 25,
+        "a" * 42: 125,
+        "a" * 43: 625,
+        "alone1": 9,
+    }
+    found = found_in(spelling.variants(vocabulary(spark, words)))
+    assert found == plain_variants(words)
+    assert found["a" * 40][4] == "a" * 43 and found["alone1"] == (9, 0, None, None, "alone1")
+
+
+def test_documents(spark):
+    dice = random.Random(11)
+    some = ["colour", "color", "colours", "Colour", "garçon", "garcon", "straße", "strase", "×÷×÷×÷"]
+    rows = [(i, " ".join(dice.choices(some, k=200)) + "-tail 12colours34") for i in range(60)]
+    rows += rows[:3] + [(None, "colour " * 50), (None, None), (7, ""), (8, "12 ,.;"), (9, "kolour " * 5)]
+    rows += [(10, "x" * 5000 + " colour")]
+    expected = plain_variants(plain_words(rows))
+    found = spelling.variants_of(documents(spark, rows))
+    assert found_in(found) == expected
+    # The typo rule has changed some words of these documents.
+    assert {"colour", "kolour"} <= expected.keys()
+
+
+def test_the_typo_rule_changes_runs(spark):
+    runs = [f"word{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyzabcd'[i // 100]}" for i in range(1000)]
+    rows = [(3, run) for run in runs]
+    found = spelling.with_typos(spelling.runs(documents(spark, rows))).collect()
+    expected = []
+    for doc_id, run in rows:
+        hashed = zlib.crc32(f"{doc_id}:{run}".encode())
+        at = hashed % len(run)
+        expected.append(run[:at] + run[at + 1 :] if hashed % 199 == 0 else run)
+    assert sorted(r.word for r in found) == sorted(expected) != sorted(runs)
+
+
+def test_nothing_to_find(spark):
+    assert spelling.variants_of(documents(spark, [])).collect() == []
+    assert spelling.variants_of(documents(spark, [(1, None), (2, "short"), (3, "seldom")])).collect() == []
+    one = spelling.variants_of(documents(spark, [(1, "alone! " * 9 + "lonely " * 9)]))
+    assert found_in(one) == plain_variants({"lonely": 9})
+    with pytest.raises(ValueError):
+        spelling.vocabulary(one, chars=2)
