@@ -9,6 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from subtide.functions import days, ntz, outside, passes
+from subtide.operators import bitmaps
 from subtide.operators.core import sized_broadcast, stage_flags
 from subtide.sources import written
 
@@ -49,8 +50,9 @@ def table_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 def column_profile(df: DataFrame, date_col: str, distinct: Sequence[str]) -> DataFrame:
     """Row count, date range and exact distinct counts of several columns.
 
-    Each column is counted by its own branch, which scans and shuffles only that column's
-    values, already distinct per task. The branches' single rows are then merged into one.
+    Each column is counted by its own branch, and the branches' single rows are merged into one.
+    Integer columns are counted by bitmaps where their values lie close together, without an exchange of
+    values; other columns shuffle their values, already distinct per task.
     """
     parts = [
         df.agg(
@@ -59,8 +61,12 @@ def column_profile(df: DataFrame, date_col: str, distinct: Sequence[str]) -> Dat
             F.max(date_col).alias(f"max_{date_col}"),
         )
     ]
-    for c in distinct:
-        parts.append(df.select(c).distinct().agg(F.count(c).alias(f"distinct_{c}")))
+    close = bitmaps.close_together([(df, c) for c in distinct])
+    for c, pairs in zip(distinct, close):
+        if pairs is None:
+            parts.append(df.select(c).distinct().agg(F.count(c).alias(f"distinct_{c}")))
+        else:
+            parts.append(bitmaps.distinct_count(df, c, f"distinct_{c}"))
     names = [name for part in parts for name in part.columns]
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return merged.agg(*[F.max(name).alias(name) for name in names])
@@ -73,9 +79,20 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def uniqueness(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
-    """Per declared key: how many key values repeat and how many rows are surplus."""
+    """Per declared key: how many key values repeat and how many rows are surplus.
+
+    Single integer keys that lie close together are compared by bitmaps first, see ``bitmaps.repeats``:
+    where no value repeats, no key is shuffled.
+    """
+    single = [name for name, (_, keys) in tables.items() if len(keys) == 1]
+    close = dict(zip(single, bitmaps.close_together([(tables[n][0], tables[n][1][0]) for n in single])))
+
+    def repeated(name: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        pairs = close.get(name)
+        return duplicate_keys(df, keys) if pairs is None else bitmaps.repeats(df, keys[0], pairs)
+
     checks = [
-        duplicate_keys(df, keys)
+        repeated(name, df, keys)
         .agg(
             F.count(F.lit(1)).alias("duplicate_keys"),
             F.coalesce(F.sum(F.col("row_count") - 1), F.lit(0)).alias("surplus_rows"),
@@ -104,9 +121,17 @@ def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
 def referential_integrity(
     relations: Mapping[str, tuple[DataFrame, str, DataFrame, str]],
 ) -> DataFrame:
+    """Orphans per relation; by bitmaps where both keys lie close together, see ``bitmaps.missing``."""
+    sides = [side for c, ck, p, pk in relations.values() for side in ((c, ck), (p, pk))]
+    close = bitmaps.close_together(sides)
+
+    def missing(at: int, relation: tuple[DataFrame, str, DataFrame, str]) -> DataFrame:
+        both = close[2 * at : 2 * at + 2]
+        return orphans(*relation) if None in both else bitmaps.missing(*relation, sum(both))
+
     found = [
-        orphans(*relation).select(F.lit(name).alias("relation"), "missing_key", "row_count")
-        for name, relation in relations.items()
+        missing(at, relation).select(F.lit(name).alias("relation"), "missing_key", "row_count")
+        for at, (name, relation) in enumerate(relations.items())
     ]
     return reduce(DataFrame.unionByName, found)
 

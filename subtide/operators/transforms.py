@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from subtide.functions import days, first_match, hours, ntz
 from subtide.operators.core import sized_broadcast
 from subtide.operators.numbering import dense_number
+from subtide.operators.ranges import binned_join
 from subtide.sources import written
 
 
@@ -216,7 +217,8 @@ def latest_in_window(
     """The latest successful payment of each cancelled subscription before its end.
 
     The window is [ended_at - lookback, ended_at]; of two payments at the same time the higher
-    id wins. The rank filter also runs before any shuffle above the join.
+    id wins. Payments and ends meet under (subscription, time bin), see ``binned_join``, so the
+    payments of one subscription spread by time. The rank filter also runs before any shuffle above the join.
     """
     ended = subscriptions.filter(
         (F.col("subscription_status") == "cancelled") & F.col("ended_at").isNotNull()
@@ -224,16 +226,14 @@ def latest_in_window(
     paid = payments.filter(F.col("payment_status") == "successful").select(
         "payment_id", "subscription_id", "payment_date", "amount"
     )
-    in_window = F.col("payment_date").between(
-        F.col("ended_at") - days(lookback_days), F.col("ended_at")
-    )
     newest = Window.partitionBy("subscription_id").orderBy(
         F.col("payment_date").desc(), F.col("payment_id").desc()
     )
+    start = F.col("ended_at") - days(lookback_days)
+    width = max(lookback_days, 1) * 86400
+    found = binned_join(paid, ended, "subscription_id", "payment_date", start, F.col("ended_at"), width)
     return (
-        paid.join(ended, "subscription_id")
-        .filter(in_window)
-        .withColumn("_rank", F.row_number().over(newest))
+        found.withColumn("_rank", F.row_number().over(newest))
         .filter(F.col("_rank") == 1)
         .drop("_rank")
     )
