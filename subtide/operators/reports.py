@@ -136,6 +136,11 @@ def extreme_period_changes(df: DataFrame, ts: str, value: str) -> DataFrame:
     month. The first month has no change and never matches.
     """
     monthly = df.groupBy(month_start(ts).alias("period")).agg(F.sum(value).alias("amount"))
+    return extreme_changes(monthly)
+
+
+def extreme_changes(monthly: DataFrame) -> DataFrame:
+    """The same from rows of (period, amount), one per month."""
     in_order = Window.orderBy("period")
     overall = Window.partitionBy()
     previous = F.nullif(F.col("previous_amount"), F.lit(0).cast("decimal(20,2)"))

@@ -332,7 +332,7 @@ def update_from(
 
     Expressions name target columns ``t.x`` and source columns ``s.x`` and read the row as it
     was before the update. Rows without a match, or not meeting ``when``, are unchanged.
-    The source must hold one row per key, or target rows would multiply.
+    The source must hold one row per key, or target rows would multiply; ``one_per_key`` picks one.
     """
     t, s = target.alias("t"), source.withColumn("_found", F.lit(True)).alias("s")
     same = reduce(and_, [F.col(f"t.{c}") == F.col(f"s.{c}") for c in on])
@@ -348,6 +348,17 @@ def update_from(
     return t.join(s, same, "left").select(*columns)
 
 
+def one_per_key(source: DataFrame, on: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """The last row of each key by an order, all columns; a tie goes to the row with the larger hash.
+
+    Counted map-side: a key with a third of all rows sends one row per task.
+    """
+    rest = [c for c in source.columns if c not in on]
+    rank = F.struct(*order_by, F.xxhash64(*source.columns).alias("_hash"))
+    rows = source.groupBy(*on).agg(F.max_by(F.struct(*rest), rank).alias("_row"))
+    return rows.select(*[F.col(c) if c in on else F.col(f"_row.{c}").alias(c) for c in source.columns])
+
+
 def bounded_event(df: DataFrame, ts: str, after: str, not_after: Column) -> DataFrame:
     """Keep derived events strictly after one time and not after another."""
     return df.filter((F.col(ts) > F.col(after)) & (F.col(ts) <= not_after))

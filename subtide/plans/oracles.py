@@ -935,7 +935,36 @@ ACTIVITY = {
         GROUP BY 1, 2 HAVING COUNT(*) > 1""",
 }
 
+INTEGER_COLUMNS = {
+    "region": ["r_regionkey"],
+    "nation": ["n_nationkey", "n_regionkey"],
+    "customer": ["c_custkey", "c_nationkey"],
+    "supplier": ["s_suppkey", "s_nationkey"],
+    "part": ["p_partkey", "p_size"],
+    "orders": ["o_orderkey", "o_custkey"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"],
+    "events": ["event_id", "user_id"],
+}
+
+STORED = {
+    "checks_on_write": QUALITY["check_constraints"],
+    "key_ranges": " UNION ALL ".join(
+        f"""SELECT '{table}' AS table_name, '{c}' AS column_name, COUNT(*) AS row_count,
+            CAST(MIN({c}) AS BIGINT) AS min_value, CAST(MAX({c}) AS BIGINT) AS max_value FROM {table}"""
+        for table, columns in INTEGER_COLUMNS.items()
+        for c in columns
+    ),
+    "partials_comparison": REPORTS["period_comparison"],
+    "partials_extremes": REPORTS["extreme_period_changes"],
+    "partition_update": """
+        SELECT o_orderkey, o_orderpriority,
+            CASE WHEN o_orderpriority LIKE '1%' AND lines >= 6 THEN last_ship ELSE o_orderdate END AS o_orderdate
+        FROM orders LEFT JOIN (SELECT l_orderkey, MAX(l_shipdate) AS last_ship, COUNT(*) AS lines
+            FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""",
+    "bucketed_prerequisites": QUALITY["prerequisite_violations"],
+}
+
 ORACLES: dict[str, str] = {
     name: (VIEWS + body if "b_" in body else body).strip()
-    for name, body in {**REPORTS, **QUALITY, **TRANSFORMS, **ACTIVITY}.items()
+    for name, body in {**REPORTS, **QUALITY, **TRANSFORMS, **STORED, **ACTIVITY}.items()
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ByteType, DecimalType, IntegerType, ShortType
 
 from subtide.operators import quality
-from subtide.plans import activity, analysis, bindings, checks, steps
+from subtide.plans import activity, analysis, bindings, checks, steps, stored
 from subtide.plans.bindings import TABLES, open_table
 from subtide.plans.lifecycle import Lifecycle
 from subtide.session import configure
@@ -212,6 +212,13 @@ QUERIES: dict[str, Query] = {
     "update_from": _on_lifecycle(steps.intake_updates),
     "bounded_event": _on_lifecycle(steps.bounded_events),
     "append_with_defaults": _on_tables(steps.appended_suppliers),
+    # Tables stored for reports and checks.
+    "checks_on_write": _on_lifecycle(stored.checks_on_write, ids=True),
+    "key_ranges": _on_tables(stored.key_ranges),
+    "partials_comparison": _on_lifecycle(stored.partials_comparison),
+    "partials_extremes": _on_lifecycle(stored.partials_extremes),
+    "partition_update": _on_tables(stored.partition_update),
+    "bucketed_prerequisites": _on_lifecycle(stored.bucketed_prerequisites),
     # The same operators on the raw activity log.
     "daily_funnel": _on_tables(activity.daily_funnel),
     "event_type_share": _on_tables(activity.event_type_share),

@@ -12,6 +12,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Counts and bounds of whole tables from Parquet footers, see sources.open_for_figures.
+    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
+
+from subtide.sources.scratch import written
 
 POSITION = ("_file", "_block", "_line")
+BAD_LINE = "_bad_line"
 
 
 def read_table(
@@ -36,6 +40,32 @@ def read_positioned_csv(spark: SparkSession, path: str, schema: str) -> DataFram
     )
 
 
+def read_csv_and_violations(
+    spark: SparkSession, path: str, schema: str
+) -> tuple[DataFrame, DataFrame]:
+    """The good rows of a CSV file, and (``POSITION``, text) of the lines that do not fit.
+
+    A line does not fit if it has too few or too many fields or a value its declared type cannot hold; an empty
+    field is NULL. Good rows have the columns of ``read_positioned_csv`` and keep the positions they have among all
+    lines. The header must name the declared columns. The parsed file is written once and read by both.
+    """
+    fields = StructType.fromDDL(schema)
+    parsed = (
+        spark.read.schema(fields.add(BAD_LINE, "string"))
+        .options(header=True, mode="PERMISSIVE", enforceSchema=False, columnNameOfCorruptRecord=BAD_LINE)
+        .csv(path)
+        .select(
+            "*",
+            F.col("_metadata.file_path").alias(POSITION[0]),
+            F.col("_metadata.file_block_start").alias(POSITION[1]),
+            F.monotonically_increasing_id().alias(POSITION[2]),
+        )
+    )
+    kept = written(parsed)
+    bad = kept.filter(F.col(BAD_LINE).isNotNull()).select(*POSITION, F.col(BAD_LINE).alias("text"))
+    return kept.filter(F.col(BAD_LINE).isNull()).drop(BAD_LINE), bad
+
+
 def save_table(df: DataFrame, path: str) -> None:
     """Write a new table version. The target must not be a path that ``df`` reads."""
     df.write.mode("errorifexists").parquet(path)

@@ -1,0 +1,290 @@
+"""Stored tables: checked while written, updated by partition, bucketed, counted by month, read from footers."""
+
+from __future__ import annotations
+
+from datetime import date, datetime
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from subtide.operators import partitions, quality, reports, transforms
+from subtide.schemas import SIGNUP_FILE, TABLES
+from subtide.sources import (
+    open_bucketed,
+    open_for_figures,
+    read_csv_and_violations,
+    save_bucketed,
+    save_checked,
+    scratch_root,
+    written,
+    written_checked,
+)
+from subtide.sources.stored import largest_share
+from subtide.sources.tables import POSITION
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def files(path) -> dict:
+    return {p: p.stat().st_mtime_ns for p in Path(path).rglob("part-*")}
+
+
+# --- checks in the writing pass -------------------------------------------------------------------
+
+
+def jobs_of(spark, name: str, action):
+    """What the action returns, and how many jobs it ran."""
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        found = action()
+        return found, len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_checks_come_with_the_write(spark, tmp_path):
+    orders = spark.read.parquet(f"{FOLDER}/orders.parquet")
+    checks = {"key": F.col("o_orderkey") >= 0, "price > 100.0": F.col("o_totalprice") > 100_000, "never": F.lit(None) > 1}
+    found, jobs = jobs_of(spark, "checked", lambda: save_checked(orders, str(tmp_path / "o"), checks))
+    assert jobs == 1
+    assert found == {
+        "row_count": 15000,
+        "key": 0,
+        "price > 100.0": orders.filter("o_totalprice <= 100000").count(),
+        "never": 0,
+    }
+    assert spark.read.parquet(str(tmp_path / "o")).exceptAll(orders).isEmpty()
+    # Appending counts the new rows only; the table keeps the old ones.
+    more = save_checked(orders.limit(10), str(tmp_path / "o"), checks, mode="append")
+    assert more["row_count"] == 10 and spark.read.parquet(str(tmp_path / "o")).count() == 15010
+    assert save_checked(orders.filter("false"), str(tmp_path / "e"), checks) == dict.fromkeys(found, 0)
+
+
+def test_figures_equal_a_second_pass(spark):
+    rows = [(1, "M", "2024-01-01", "TX", None), (2, None, "2024-01-01", "CA", "meta"), (3, "X", "2024-01-02", "C", "web")]
+    df = spark.createDataFrame(rows, "customer_id long, gender string, d string, state_code string, acquisition_channel string")
+    checks = {n: c for n, c in TABLES["customers"].all_checks().items() if "updated" not in n and "signup" not in n}
+    stored, figures = written_checked(df, "customers", checks)
+    assert stored.exceptAll(df).isEmpty()
+    expected = quality.check_constraints(df, "customers", checks)
+    assert figures.exceptAll(expected).isEmpty() and figures.count() == expected.count() == len(checks)
+
+
+# --- updates by partition -------------------------------------------------------------------------
+
+
+@pytest.fixture
+def parted(spark, tmp_path):
+    rows = [(i, "abc"[i % 3] if i % 10 else None, i * 10) for i in range(90)]
+    df = spark.createDataFrame(rows, "k int, part string, v int")
+    path = str(tmp_path / "t")
+    df.write.partitionBy("part").parquet(path)
+    return df, path
+
+
+@pytest.mark.parametrize(
+    "keys, when, touched",
+    [([3, 6], None, {"a"}), ([3, 4, 500], None, {"a", "b"}), ([10], None, {None}), ([1, 2], "s.x > 100", set()), ([], None, set())],
+)
+def test_only_changed_partitions_are_written(spark, parted, keys, when, touched):
+    df, path = parted
+    source = spark.createDataFrame([(k, -k) for k in keys], "k int, x int")
+    condition = None if when is None else F.expr(when)
+    target = spark.read.schema(df.schema).parquet(path)
+    before = files(path)
+    sets = {"v": F.col("s.x")}
+    found = partitions.update_partitions(target, path, ["part"], source, ["k"], sets, condition)
+    assert {r.part for r in found.collect()} == touched
+    after = files(path)
+    names = {f"part={'__HIVE_DEFAULT_PARTITION__' if p is None else p}" for p in touched}
+    assert {p.parent.name for p in before.keys() - after.keys()} == names
+    assert all(after[p] == before[p] for p in before.keys() & after.keys())
+    expected = transforms.update_from(df, source, ["k"], sets, condition)
+    stored = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    assert stored.exceptAll(expected).isEmpty() and stored.count() == 90
+
+
+def test_partition_columns_cannot_be_set(spark, parted):
+    df, path = parted
+    with pytest.raises(ValueError):
+        partitions.update_partitions(df, path, ["part"], df, ["k"], {"part": F.lit("z")})
+
+
+def test_one_source_row_per_key(spark):
+    rows = [(1, 5, "old"), (1, 9, "new"), (2, 1, "x"), (2, 1, "x"), (None, 1, "n"), (3, None, "only")]
+    source = spark.createDataFrame(rows, "k int, at int, v string")
+    found = transforms.one_per_key(source, ["k"], ["at"])
+    assert found.columns == source.columns
+    assert {r.k: r.v for r in found.collect()} == {1: "new", 2: "x", None: "n", 3: "only"}
+    target = spark.createDataFrame([(1, ""), (2, ""), (4, "")], "k int, v string")
+    updated = transforms.update_from(target, found, ["k"], {"v": F.col("s.v")})
+    assert sorted(map(tuple, updated.collect())) == [(1, "new"), (2, "x"), (4, "")]
+
+
+# --- partials by month ----------------------------------------------------------------------------
+
+
+def payments(spark, rows):
+    rows = [(datetime.fromisoformat(d) if d else None, g, a) for d, g, a in rows]
+    df = spark.createDataFrame(rows, "at timestamp_ntz, g string, a int")
+    return written(df.withColumn("a", F.col("a").cast("decimal(10,2)")))
+
+
+ROWS = [
+    ("2024-01-31T23:59:59", "x", 10), ("2024-01-01", None, 5), ("2024-02-01", "x", 40), ("2024-04-02", "y", 1),
+    ("2024-12-31T23:00:00", "x", 7), (None, "y", 3), ("2024-02-29", "x", None),
+]
+
+
+def test_partials_give_the_reports_of_the_rows(spark, tmp_path):
+    df = payments(spark, ROWS)
+    stored = partitions.MonthlyPartials(spark, str(tmp_path / "p"), "at", ["g"], "a")
+    stored.refresh(df)
+    got = partitions.extremes(stored.read(df))
+    assert sorted(map(str, got.collect())) == sorted(map(str, reports.extreme_period_changes(df, "at", "a").collect()))
+    got = partitions.comparison(stored.read(df), date(2024, 1, 1), date(2024, 5, 1), ["g"])
+    rows = reports.period_comparison(df, "at", "2024-01-01", "2024-05-01", "g", "a")
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, rows.collect())))
+    with pytest.raises(ValueError):
+        partitions.comparison(stored.read(df), date(2024, 1, 2), date(2024, 5, 1), ["g"])
+
+
+def test_a_changed_month_touches_one_partition(spark, tmp_path):
+    df = payments(spark, ROWS)
+    path = str(tmp_path / "p")
+    stored = partitions.MonthlyPartials(spark, path, "at", ["g"], "a")
+    stored.refresh(df)
+    before = files(path)
+    # A new month, one with another row, one that lost its rows, and rows without a time.
+    changed = [r for r in ROWS if r[0] != "2024-04-02"] + [("2025-01-15", "z", 8), ("2024-12-01", "x", 1), (None, "z", 2)]
+    df = payments(spark, changed)
+    stored.refresh(df, [date(2025, 1, 1), date(2024, 12, 1), date(2024, 4, 1), None])
+    after = files(path)
+    kept = {p.parent.name for p in before.keys() & after.keys()}
+    assert kept == {"month=2024-01-01", "month=2024-02-01"}
+    got = sorted(map(str, stored.read(df).collect()))
+    fresh = partitions.MonthlyPartials(spark, str(tmp_path / "q"), "at", ["g"], "a")
+    fresh.refresh(df)
+    assert got == sorted(map(str, fresh.read(df).collect()))
+    stored.refresh(df, [])
+    assert files(path) == after
+
+
+def test_a_month_reads_its_rows_and_its_partition_only(spark, tmp_path):
+    df = payments(spark, ROWS)
+    stored = partitions.MonthlyPartials(spark, str(tmp_path / "p"), "at", ["g"], "a")
+    stored.refresh(df)
+    rows = df.filter(stored._in_month(date(2024, 12, 1)))
+    assert "GreaterThanOrEqual(at,2024-12-01T00:00)" in plan(rows) and "LessThan(at,2025-01-01T00:00)" in plan(rows)
+    some = partitions.comparison(stored.read(df), date(2024, 2, 1), date(2024, 3, 1), ["g"])
+    pruned = plan(some).split("PartitionFilters: [")[1].split("]")[0]
+    assert "month" in pruned and "2024-02-01" in pruned
+
+
+# --- buckets --------------------------------------------------------------------------------------
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.fixture(scope="module")
+def bucketed(spark):
+    """The lifecycle tables of a folder, plain and in buckets of the subscription."""
+    from subtide.plans import bindings
+
+    lc = bindings.lifecycle(spark, FOLDER)
+    plain = {n: getattr(lc, n) for n in ("subscriptions", "intakes", "appointments", "subscription_events")}
+    return plain, {n: save_bucketed(df, f"bucketed_{n}", "subscription_id", 8) for n, df in plain.items()}
+
+
+JOINS = {
+    "prerequisites": lambda t: quality.prerequisite_violations(t["subscriptions"], t["intakes"]),
+    "child_status": lambda t: quality.child_status_consistency(t["intakes"], t["subscriptions"]),
+    "timeline": lambda t: quality.timeline_violations(
+        t["subscriptions"], t["appointments"], t["intakes"], "2001-09-01 23:59:59"
+    ),
+    "events": lambda t: quality.source_consistency(
+        t["subscription_events"], t["subscriptions"], "subscription_id", "event_type", "event_timestamp",
+        {"selected": "selected_at", "cancelled": "ended_at"},
+    ),
+}
+
+
+@pytest.mark.parametrize("name", JOINS)
+def test_joins_on_buckets_have_no_exchange(spark, bucketed, no_broadcast, name):
+    plain, stored = bucketed
+    found, expected = JOINS[name](stored), JOINS[name](plain)
+    assert "Exchange" in plan(expected) and "Exchange" not in plan(found)
+    assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty() and not found.isEmpty()
+
+
+def test_a_table_with_a_hot_key_is_read_without_its_buckets(spark, bucketed, no_broadcast):
+    assert largest_share(spark, "bucketed_subscriptions") < 2
+    even = open_bucketed(spark, "bucketed_subscriptions")
+    key = F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id"))
+    hot = spark.range(60_000).select(key.alias("subscription_id"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    save_bucketed(hot, "bucketed_hot", "subscription_id", 8)
+    assert largest_share(spark, "bucketed_hot") > 4
+    opened = open_bucketed(spark, "bucketed_hot")
+    assert opened.exceptAll(hot).isEmpty() and opened.count() == 60_000
+    # The exchanges are back, so adaptive execution can split the key.
+    assert plan(opened.join(even, "subscription_id")).count("Exchange hashpartitioning(subscription_id") >= 1
+    assert "Exchange" not in plan(spark.table("bucketed_hot").join(even, "subscription_id"))
+
+
+# --- figures from footers -------------------------------------------------------------------------
+
+
+def test_counts_and_bounds_come_from_the_footers(spark):
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    orders = open_for_figures(spark, f"{FOLDER}/orders.parquet")
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+    figures = orders.agg(F.count(F.lit(1)).alias("n"), F.min("o_custkey"), F.max("o_orderkey"))
+    pushed = plan(figures).split("PushedAggregation: [")[1].split("]")[0]
+    assert "COUNT(*)" in pushed and "MIN(o_custkey)" in pushed and "MAX(o_orderkey)" in pushed
+    plain = spark.read.parquet(f"{FOLDER}/orders.parquet")
+    assert figures.first() == plain.agg(F.count(F.lit(1)), F.min("o_custkey"), F.max("o_orderkey")).first()
+
+
+def test_registered_ranges_read_no_column(spark):
+    from subtide.plans import stored
+
+    found = plan(stored.key_ranges(spark, FOLDER))
+    assert found.count("PushedAggregation: [COUNT(*)") == 8
+
+
+# --- bad lines ------------------------------------------------------------------------------------
+
+
+def test_bad_lines_are_kept_beside_the_good(spark, tmp_path):
+    good = [f"{'MF'[i % 2]},2024-01-{i % 28 + 1:02d},S{i % 10},c{i}" for i in range(2000)]
+    lines = list(good)
+    bad = {50: "M,not-a-date,TX,meta", 700: "M,2024-01-01,TX", 1500: "M,2024-01-01,TX,meta,more"}
+    for place, line in bad.items():
+        lines.insert(place, line)
+    lines.append(",,,")
+    path = tmp_path / "signups.csv"
+    path.write_text("gender,signup_date,state_code,acquisition_channel\n" + "".join(f"{line}\n" for line in lines))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        rows, violations = read_csv_and_violations(spark, str(path), SIGNUP_FILE)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+    kept = rows.orderBy(*POSITION).collect()
+    assert [r.acquisition_channel for r in kept] == [f"c{i}" for i in range(2000)] + [None]
+    assert str(kept[0].signup_date) == "2024-01-01" and kept[-1].signup_date is None
+    found = violations.orderBy(*POSITION).collect()
+    assert [r.text for r in found] == list(bad.values())
+    # Positions are those among all lines: each violation lies between its neighbours.
+    order = [("bad", r.text) if hasattr(r, "text") else ("good", r.acquisition_channel) for r in sorted([*kept, *found], key=lambda r: tuple(r[p] for p in POSITION))]
+    assert [i for i, (kind, _) in enumerate(order) if kind == "bad"] == list(bad)
