@@ -13,6 +13,10 @@
    short. That element has to hold two lines or more, and a paragraph, a list, a section and the like
    are parts of it; if there is none it is the page.
 
+Inside of an article an element is dropped by a class only if it names an advert, a sidebar, a menu, a
+notice or comments, and a heading, a paragraph or the like only if it names an advert or comments:
+sections of a discussion, teasers or search results may be what the article is about.
+
 An element is named by a class or role as a whole: ``sidebar``, or words that say no more, as in
 ``left-sidebar`` or ``comment-list``, but not ``has-sidebar`` or ``search-algorithms``. An id counts in
 the same way, but never for headings, paragraphs, lists, tables and the like, nor for a section of an
@@ -65,6 +69,14 @@ BOILERPLATE = frozenset(
     "search copyright disclaimer paywall contentinfo complementary skip feedback responses teaser "
     "teasers trending popular announcement announcements toast pagination pager".split()
 )
+# Those that drop an element inside of the article: adverts, sidebars, menus and links, notices, comments.
+ADVERT_WORDS = frozenset("ad ads adv advert adverts advertisement advertising adsense adbox sponsored".split())
+IN_ARTICLE = ADVERT_WORDS | frozenset(
+    "banner promo promotion sponsor sidebar sidebars rail nav navbar navigation menu menubar breadcrumb "
+    "breadcrumbs cookie cookies consent gdpr notice notices notification alert newsletter subscribe "
+    "subscription signup popup modal overlay footer masthead comment comments commentlist respond replies "
+    "disqus share sharing pagination pager".split()
+)
 # Words beside one of these that say where or how it is shown, not what it is about.
 LAYOUT = frozenset(
     "area article articles bar bars block body bottom box boxes button buttons col column container "
@@ -77,6 +89,8 @@ LAYOUT = frozenset(
 PAGE_LAYOUT = frozenset("bar container global inner outer site sticky top wrap wrapper".split())
 # Elements that are the text itself: their id is an anchor.
 PROSE = frozenset("h1 h2 h3 h4 h5 h6 p ul ol li dl dt dd blockquote pre figure table section".split())
+# Inside of the article only adverts and comments among them are dropped by a class.
+KEPT_PROSE = PROSE - frozenset("ul ol section".split())
 # Elements inside of the one that encloses a page's text.
 PARTS = frozenset(
     "h1 h2 h3 h4 h5 h6 p ul ol li dl dt dd blockquote pre figure figcaption table caption colgroup "
@@ -274,6 +288,8 @@ def _dropped(token: tuple, in_article: bool) -> bool:
     kinds = names.kinds
     if name not in PROSE or name == "section" and (not in_article or COMMENT_WORDS & names.id_kinds):
         kinds = kinds | names.id_kinds
+    if in_article:
+        kinds = kinds & (ADVERT_WORDS | COMMENT_WORDS if name in KEPT_PROSE else IN_ARTICLE | {"header"})
     header = name == "header" or "header" in kinds and not ARTICLE_WORDS & names.words
     named = UNSEEN in names.words or bool(kinds - {"header"})
     return name in DROPPED or header and not in_article or named

@@ -16,13 +16,13 @@ For speed the costs of all byte strings of two, three and four bytes seen in tra
 all languages at once. A string that no language has seen falls back to shorter ones by the escape
 rule, in vectorised steps.
 
-Training takes at most ``DOCS`` documents per language, those first by hash, up to ``BYTES`` bytes, of
-at most ``LANGUAGES`` languages (the most frequent); these bounds are parameters and bound the model.
-All texts are predicted, whole, where they lie: no shuffle.
+Training takes at most ``DOCS`` different rows per language, those first by hash, up to ``BYTES`` bytes, and
+with more than ``LANGUAGES`` languages so much less of each that they do not take more together, but one row
+of each at least: every language is learned. These bounds are parameters and bound the sample. All texts are predicted, whole, where they lie: no shuffle.
 
 Defined cases: a text that is NULL or has no letter is ``und`` with score 0; so is every text if
-nothing was learned. A NULL doc_id counts as not held out. Repeated rows give repeated results. Extra
-columns are ignored.
+nothing was learned. A NULL doc_id counts as not held out. Repeated rows give repeated results, and are learned
+from once. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -75,29 +75,30 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pylist([row], GRAM_SCHEMA)
 
 
-def training_rows(docs: DataFrame, wanted: Column, most_docs: int, most_bytes: int, most_langs: int) -> DataFrame:
+def training_rows(docs: DataFrame, wanted: Column, most_docs: int, most_bytes: int, many_langs: int) -> DataFrame:
     """The bounded sample of labelled rows (lang, text)."""
     labelled = docs.filter(wanted & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counted = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_langs)
-    # The first by hash lie below four times their share of the hash range. That leaves about
-    # 4 * most_docs narrow rows per language to order; texts are fetched for the first only.
-    share = {r["lang"]: min(1.0, 4 * most_docs / r["count"]) for r in counted.collect()}
-    if not share:
+    hashed = labelled.withColumn("_h", F.xxhash64(F.col("doc_id"), F.col("text")))
+    # One narrow row per different row, so that copies count once.
+    narrow = hashed.groupBy("lang", "_h").agg(F.min(F.octet_length("text")).alias("_b"))
+    counts = {r["lang"]: r["count"] for r in narrow.groupBy("lang").count().collect()}
+    if not counts:
         return labelled.select("lang", "text").limit(0)
-    below = F.create_map(*[F.lit(x) for lang, part in share.items() for x in (lang, part)])
-    narrow = labelled.select(
-        "lang", F.xxhash64(F.col("doc_id"), F.col("text")).alias("_h"), F.octet_length("text").alias("_b")
-    )
+    part = min(1.0, many_langs / len(counts))
+    most_docs, most_bytes = max(1, int(most_docs * part)), most_bytes * part
+    # The first by hash lie below four times their share of the hash range, and sixteen rows more. That
+    # leaves a few times most_docs narrow rows per language to order; texts are fetched for the first only.
+    share = {lang: min(1.0, 4 * (most_docs + 4) / count) for lang, count in counts.items()}
+    below = F.create_map(*[F.lit(x) for lang, of in share.items() for x in (lang, of)])
     place = (F.col("_h") / 2.0**64) + 0.5
     narrow = narrow.filter(place <= F.element_at(below, F.col("lang")))
     first = W.partitionBy("lang").orderBy("_h")
     ranked = narrow.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= most_docs)
     before = F.sum("_b").over(first.rowsBetween(W.unboundedPreceding, -1))
     ranked = ranked.withColumn("_before", F.coalesce(before, F.lit(0))).filter(F.col("_before") < most_bytes)
-    chosen = written(ranked.select("lang", "_h").distinct())
-    hashed = labelled.withColumn("_h", F.xxhash64(F.col("doc_id"), F.col("text")))
-    sample = hashed.join(F.broadcast(chosen), ["lang", "_h"], "left_semi")  # most_docs * most_langs rows
-    return sample.select("lang", "text")
+    chosen = written(ranked.select("lang", "_h"))
+    sample = hashed.join(F.broadcast(chosen), ["lang", "_h"], "left_semi")  # most_docs of each language
+    return sample.dropDuplicates(["lang", "_h"]).select("lang", "text")
 
 
 class Model:
@@ -238,10 +239,10 @@ def train(
     wanted: Column,
     most_docs: int = DOCS,
     most_bytes: int = BYTES,
-    most_langs: int = LANGUAGES,
+    many_langs: int = LANGUAGES,
 ) -> Model:
     """Learn from the rows (doc_id, text, lang) that meet ``wanted``."""
-    sample = training_rows(docs, wanted, most_docs, most_bytes, most_langs)
+    sample = training_rows(docs, wanted, most_docs, most_bytes, many_langs)
     merged: dict[str, dict[int, list]] = {}
     for row in sample.mapInArrow(_count, GRAMS).collect():
         grams = np.frombuffer(row["grams"], dtype=np.uint32)
@@ -256,11 +257,11 @@ def train(
     return Model(counted)
 
 
-def _predict(batches: Iterator[pa.RecordBatch], model, add) -> Iterator[pa.RecordBatch]:
+def _predict(batches: Iterator[pa.RecordBatch], model, letter: str, add) -> Iterator[pa.RecordBatch]:
     known: Model = model.value
     for batch in batches:
         texts = batch.column("text").to_pylist()
-        rows = [i for i, ok in enumerate(batch.column("_letter").to_pylist()) if ok and known.langs]
+        rows = [i for i, ok in enumerate(batch.column(letter).to_pylist()) if ok and known.langs]
         langs, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
         for i, (lang, score) in zip(rows, known.predict([texts[i] for i in rows])):
             langs[i], scores[i] = lang, score
@@ -287,21 +288,33 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the training bounds
     read = docs.select("doc_id", held_out().alias("held_out"), "text", has_letter().alias("_letter"))
     return read.mapInArrow(
-        partial(_predict, model=sent, add=_with_prediction),
+        partial(_predict, model=sent, letter="_letter", add=_with_prediction),
         f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, lang_pred string, score double",
     )
 
 
-def _keep_known(batch: pa.RecordBatch, langs: list, scores: list) -> pa.RecordBatch:
+def _keep_known(batch: pa.RecordBatch, langs: list, scores: list, letter: str) -> pa.RecordBatch:
     # Not by the prediction: it is "und" for every text if nothing was learned.
-    return batch.drop_columns(["_letter"]).filter(batch.column("_letter"))
+    known = batch.column(letter)
+    batch = batch.drop_columns([letter])
+    if "lang" in batch.schema.names:
+        own = batch.column("lang").to_pylist()
+        told = [lang if old is None and lang != UNDETERMINED else old for old, lang in zip(own, langs)]
+        at = batch.schema.get_field_index("lang")
+        batch = batch.set_column(at, batch.schema.field(at), pa.array(told, batch.schema.field(at).type))
+    return batch.filter(known)
 
 
 def recognised(docs: DataFrame, model: Model) -> DataFrame:
     """The documents with a letter, with all their columns: those alone can have a language.
 
-    That holds for an empty model too, which says nothing about any text.
+    A ``lang`` that is NULL becomes the predicted one; others stay. An empty model says nothing about any text, so
+    ``lang`` stays as it is. Extra columns may have any name.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    read = docs.withColumn("_letter", has_letter())
-    return read.mapInArrow(partial(_predict, model=sent, add=_keep_known), docs.schema)
+    letter = "_letter"
+    while letter in docs.columns:
+        letter += "_"
+    read = docs.withColumn(letter, has_letter())
+    add = partial(_keep_known, letter=letter)
+    return read.mapInArrow(partial(_predict, model=sent, letter=letter, add=add), docs.schema)

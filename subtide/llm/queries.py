@@ -82,9 +82,10 @@ WITH doubles AS (
 whole AS (
   SELECT vec_id, list_transform(x, lambda c: floor(256 * c)) AS v FROM doubles
   WHERE len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+asked AS (SELECT vec_id, MIN(v) AS v FROM whole WHERE vec_id % 50 = 0 GROUP BY vec_id),
 scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+  FROM asked q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
 ranked AS (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5

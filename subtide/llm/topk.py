@@ -17,7 +17,8 @@ a fixed number of vectors.
 
 Defined cases: a vector that is NULL, or holds NULL or a non-finite component, takes no part, neither
 does a row without id. Vectors of different lengths never meet. Rows with the query's id are not its
-candidates; repeated rows of another id are one candidate each. Fewer candidates than k give fewer
+candidates; repeated rows of another id are one candidate each. A query id that is repeated is asked once,
+with its smallest vector, number by number. Fewer candidates than k give fewer
 rows. Extra columns are ignored. Components must stay below 2^53 when scaled; block products that
 doubles cannot hold exactly are computed with Python's integers.
 """
@@ -186,7 +187,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256) -> DataFra
     }
     tables = {dim: known.vectors for dim, known in pivots.items()}
     packed = written(whole.mapInArrow(partial(_pack, pivots=tables, rows=BLOCK_ROWS), BLOCK))
-    queries = whole.filter(is_query)
+    queries = whole.filter(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector"))
     tasks = max(1, -(-queries.count() // QUERY_ROWS))
     dealt = queries.repartition(tasks, "vec_id")
     asked = written(dealt.mapInArrow(partial(_pack, pivots=tables, rows=QUERY_ROWS), BLOCK))
