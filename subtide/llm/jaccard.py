@@ -17,7 +17,10 @@ every document would then be a boundary document of every region. So regions are
    the boundary only, and a boundary one only with the near whose distance to p differs from its own
    by at most TAU. Links inside the near part join what p joins already. So only boundary documents
    not joined yet meet the near part, within that window, and boundary and far recurse with the next
-   pivot until all are joined or have been a pivot.
+   pivot until all are joined or have been a pivot. A pivot does not look at a whole cell: two linked
+   documents hold the same shingles in one of D + 1 parts of the hash space if they differ in at most D
+   (see ``Parts``), so only documents with an equal part are looked at. Templated texts share many
+   shingles and end in one cell, but seldom a whole part.
 
 Cells beyond ``BLOCK`` shingles are cut into blocks by hash. Each block is joined by itself; then the
 documents outside of their cell's largest component meet all blocks. Pairs inside that component need
@@ -389,34 +392,98 @@ def linked(common: np.ndarray, union: np.ndarray, similar: tuple[int, int]) -> n
     return similar[1] * common >= similar[0] * union
 
 
+class Parts:
+    """Which sets may link at all: those with an equal part.
+
+    Linked sets x and y differ in at most D = (of - share) / share * min(|x|, |y|) shingles. Cut the space of
+    hashes into D + 1 parts: in one part at least both hold the same shingles. Sets of similar sizes use the
+    same cut: a size class ends where linked sets cannot reach beyond the next class, so a set has parts
+    for its own class and for the one below. Sets with an equal part form a group; a set's partners are the members
+    of its groups. Without a common part there is no link, so nothing is lost.
+    """
+
+    def __init__(self, sets: list[np.ndarray], similar: tuple[int, int]):
+        share, of = similar
+        sizes = np.array([len(s) for s in sets], dtype=np.int64)
+        # ends[c]: the first size beyond class c.
+        ends = [2]
+        while ends[-1] <= sizes.max(initial=1):
+            ends.append(max(ends[-1] + 1, ends[-1] * of // share + 1))
+        kind = np.searchsorted(np.array(ends), sizes, side="right")
+        names, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for level in np.unique(np.concatenate([kind, kind - 1])):
+            if level < 0:
+                continue
+            some = np.flatnonzero((kind == level) | (kind == level + 1))
+            count = (of - share) * (ends[level] - 1) // share + 1
+            flat = _mixed(np.concatenate([sets[i] for i in some]))
+            slot = np.repeat(np.arange(len(some)) * count, sizes[some])
+            slot += (_mixed(flat + STEP) % np.uint64(count)).astype(np.int64)
+            sums = np.zeros(len(some) * count, dtype=np.uint64)
+            np.add.at(sums, slot, flat)
+            part = np.tile(np.arange(count, dtype=np.uint64), len(some))
+            names.append(_mixed(sums + part * MIX + np.uint64(int(level) * int(STEP) % 2**64)))
+            owners.append(np.repeat(some, count))
+        _, group, held = np.unique(np.concatenate(names), return_inverse=True, return_counts=True)
+        owner = np.concatenate(owners)
+        kept = held[group] > 1
+        group, owner = group[kept], owner[kept]
+        by_group, by_owner = np.argsort(group, kind="stable"), np.argsort(owner, kind="stable")
+        self.members, self.groups = owner[by_group], group[by_owner]
+        self.group_at = np.searchsorted(group[by_group], np.arange(len(held) + 1))
+        self.owner_at = np.searchsorted(owner[by_owner], np.arange(len(sets) + 1))
+
+    def partners(self, some: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """The wanted sets, by a mask, that share a group with one of some sets."""
+        own = [self.groups[self.owner_at[i] : self.owner_at[i + 1]] for i in some]
+        own = np.unique(np.concatenate(own)) if len(own) > 1 else own[0]
+        found = [self.members[self.group_at[g] : self.group_at[g + 1]] for g in own]
+        if not found:
+            return np.zeros(0, dtype=np.int64)
+        found = np.unique(np.concatenate(found))
+        return found[wanted[found]]
+
+
 def join_block(sets: list[np.ndarray], similar: tuple[int, int] = SIMILAR) -> list[tuple[int, int]]:
-    """Links that join all linked members of a block: a spanning forest, by recursion over pivots."""
+    """Links that join all linked members of a block: a spanning forest, by recursion over pivots.
+
+    A pivot looks at its partners only, and the boundary of its near part at the partners of that.
+    """
     tau = 1 - similar[0] / similar[1] + 1e-9
-    members, joined = Members(sets), Joined(len(sets))
+    members, joined, parts = Members(sets), Joined(len(sets)), Parts(sets, similar)
     links: list[tuple[int, int]] = []
-    rest = np.arange(len(sets))
-    while len(rest) > 1:
-        pivot, others = rest[0], rest[1:]
+    rest = np.ones(len(sets), dtype=bool)
+    for pivot in range(len(sets)):
+        if not rest[pivot]:
+            continue
+        rest[pivot] = False
+        others = parts.partners(np.array([pivot]), rest)
+        if not len(others):
+            continue
         common = members.common(pivot, others)
         union = members.union(pivot, others, common)
         near = linked(common, union, similar)
-        distance = 1 - common / union
-        for i in others[near & (joined.root[others] != joined.root[pivot])]:
+        if not near.any():
+            continue
+        inner, inner_distance = others[near], (1 - common / union)[near]
+        for i in inner[joined.root[inner] != joined.root[pivot]]:
             if joined.join(pivot, i):
                 links.append((pivot, i))
-        inner, inner_distance = others[near], distance[near]
-        for z in np.flatnonzero(~near & (distance <= 2 * tau)):
-            if len(inner) and joined.root[others[z]] != joined.root[pivot]:
+        rest[inner] = False
+        outer = parts.partners(inner, rest)
+        if not len(outer):
+            continue
+        common = members.common(pivot, outer)
+        distance = 1 - common / members.union(pivot, outer, common)
+        for z in np.flatnonzero(distance <= 2 * tau):
+            if joined.root[outer[z]] != joined.root[pivot]:
                 window = inner[np.abs(inner_distance - distance[z]) <= tau]
                 if len(window):
-                    both = members.common(others[z], window)
-                    hit = linked(both, members.union(others[z], window, both), similar)
+                    both = members.common(outer[z], window)
+                    hit = linked(both, members.union(outer[z], window, both), similar)
                     if hit.any():
-                        joined.join(others[z], pivot)
-                        links.append((others[z], window[hit.argmax()]))
-        rest = others[~near]
-        if len(rest) > 1 and joined.all_one(rest):
-            break
+                        joined.join(outer[z], pivot)
+                        links.append((outer[z], window[hit.argmax()]))
     return links
 
 
@@ -465,11 +532,13 @@ def _meet_blocks(batches: Iterator[pa.RecordBatch], similar: tuple[int, int]) ->
         if not outside or not inside:
             continue
         both = outside + inside
-        members, joined = Members([_set(r) for r in both]), Joined(len(both))
+        sets = [_set(r) for r in both]
+        members, joined, parts = Members(sets), Joined(len(both)), Parts(sets, similar)
         roots = np.array([r["root"] for r in both])
+        asked = np.arange(len(both)) >= len(outside)
         found = []
         for i in range(len(outside)):
-            others = np.arange(len(outside), len(both))
+            others = parts.partners(np.array([i]), asked)
             others = others[roots[others] != roots[i]]
             if len(others):
                 common = members.common(i, others)
