@@ -11,9 +11,9 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from subtide.functions import column, elapsed_seconds, pct
+from subtide.functions import column, elapsed_seconds, pct, sort_keys
 from subtide.sources import written
 
 # Largest table that is ever marked for broadcast, in estimated bytes of its rows.
@@ -166,3 +166,12 @@ def stage_flags(
     ]
     wanted = events.filter(F.col(stage_col).isin(*stages.values()))
     return wanted.groupBy(*entity).agg(*reached)
+
+
+def with_place(report: DataFrame, *keys: str, name: str = "place") -> DataFrame:
+    """A report with the place of each row in its order, from 1; ``keys`` as in ``sort_keys``.
+
+    For reports: the rows are already aggregated, and one task numbers them. Rows of a table are
+    numbered by ``dense_number``. The keys should leave no ties.
+    """
+    return report.withColumn(name, F.row_number().over(Window.orderBy(*sort_keys(*keys))).cast("long"))

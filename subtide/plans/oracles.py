@@ -946,6 +946,25 @@ INTEGER_COLUMNS = {
     "events": ["event_id", "user_id"],
 }
 
+
+
+def placed(body: str, order: str) -> str:
+    return f"SELECT *, row_number() OVER (ORDER BY {order}) AS place FROM ({body})"
+
+
+PLACED = {
+    "placed_status_pairs": placed(
+        QUALITY["status_pair_counts"], "appointment_status NULLS LAST, eligibility_result NULLS LAST"
+    ),
+    "placed_status_share": placed(
+        REPORTS["status_share"], "intake_count DESC, intake_status DESC NULLS FIRST"
+    ),
+    "placed_outcome_share": placed(
+        REPORTS["appointment_outcome_share"],
+        "appointment_type NULLS LAST, appointment_count DESC, appointment_status NULLS LAST",
+    ),
+}
+
 STORED = {
     "checks_on_write": QUALITY["check_constraints"],
     "key_ranges": " UNION ALL ".join(
@@ -966,5 +985,5 @@ STORED = {
 
 ORACLES: dict[str, str] = {
     name: (VIEWS + body if "b_" in body else body).strip()
-    for name, body in {**REPORTS, **QUALITY, **TRANSFORMS, **STORED, **ACTIVITY}.items()
+    for name, body in {**REPORTS, **QUALITY, **TRANSFORMS, **PLACED, **STORED, **ACTIVITY}.items()
 }

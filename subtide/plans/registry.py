@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ByteType, DecimalType, IntegerType, ShortType
 
 from subtide.operators import quality
+from subtide.operators.core import with_place
 from subtide.plans import activity, analysis, bindings, checks, steps, stored
 from subtide.plans.bindings import TABLES, open_table
 from subtide.plans.lifecycle import Lifecycle
@@ -212,6 +213,23 @@ QUERIES: dict[str, Query] = {
     "update_from": _on_lifecycle(steps.intake_updates),
     "bounded_event": _on_lifecycle(steps.bounded_events),
     "append_with_defaults": _on_tables(steps.appended_suppliers),
+    # Reports with the place of each row in their order: ascending, descending, mixed.
+    "placed_status_pairs": _on_lifecycle(
+        lambda lc: with_place(
+            checks.appointment_result_counts(lc), "appointment_status", "eligibility_result"
+        )
+    ),
+    "placed_status_share": _on_lifecycle(
+        lambda lc: with_place(analysis.intake_status_share(lc), "-intake_count", "-intake_status")
+    ),
+    "placed_outcome_share": _on_lifecycle(
+        lambda lc: with_place(
+            analysis.appointment_outcome_share(lc),
+            "appointment_type",
+            "-appointment_count",
+            "appointment_status",
+        )
+    ),
     # Tables stored for reports and checks.
     "checks_on_write": _on_lifecycle(stored.checks_on_write, ids=True),
     "key_ranges": _on_tables(stored.key_ranges),

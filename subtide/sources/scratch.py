@@ -6,6 +6,7 @@ executor, unlike cached blocks, and later passes read only the columns they need
 
 from __future__ import annotations
 
+import hashlib
 import re
 import tempfile
 import uuid
@@ -42,19 +43,28 @@ _kept: dict[tuple, DataFrame] = {}
 def written_once(
     spark: SparkSession, name: str, sources: list[str], build: Callable[[], DataFrame]
 ) -> DataFrame:
-    """The table ``name`` derived from the files at ``sources``, written on first use.
+    """The table ``name`` derived from the Parquet files at ``sources``, written on first use.
 
-    Later uses in the application read it again, unless a source has changed in between or the
-    scratch tables were dropped.
+    Later uses in the application read it again, unless a file of a source was added, removed or replaced in
+    between (by path, size or time) or the scratch tables were dropped.
     """
-    files = [_file(spark, source) for source in sources]
-    state = [system.getFileStatus(path).getModificationTime() for system, path in files]
-    key = (spark.sparkContext.applicationId, name, *zip(sources, state))
+    key = (spark.sparkContext.applicationId, name, *[(s, file_state(spark, s)) for s in sources])
     if key not in _kept:
         _kept[key] = written(build())
     return _kept[key]
 
 
+# Path, size and time in the text of a file's status; the time of the last access is left out.
+_STATUS = re.compile(r"path=([^;]*);.*?length=(\d+);.*?modification_time=(\d+);")
+
+
+def file_state(spark: SparkSession, source: str) -> str:
+    """A digest of the paths, sizes and times of a table's files, as Spark lists them."""
+    plan = spark.read.schema("_none string").parquet(source)._jdf.queryExecution().analyzed()
+    files = _STATUS.findall(plan.relation().location().allFiles().mkString("\n"))
+    return hashlib.md5(repr(sorted(files)).encode()).hexdigest()
+
+
 def _file(spark: SparkSession, name: str):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path

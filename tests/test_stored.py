@@ -288,3 +288,38 @@ def test_bad_lines_are_kept_beside_the_good(spark, tmp_path):
     # Positions are those among all lines: each violation lies between its neighbours.
     order = [("bad", r.text) if hasattr(r, "text") else ("good", r.acquisition_channel) for r in sorted([*kept, *found], key=lambda r: tuple(r[p] for p in POSITION))]
     assert [i for i, (kind, _) in enumerate(order) if kind == "bad"] == list(bad)
+
+
+# --- kept tables ----------------------------------------------------------------------------------
+
+
+def test_the_state_of_a_table_is_that_of_its_files(spark, tmp_path):
+    """Also where the folder's own time does not change, as in object stores."""
+    import os
+
+    from subtide.sources.scratch import file_state
+
+    path = str(tmp_path / "t")
+    spark.range(5).coalesce(1).write.parquet(path)
+    (file,) = files(path)
+    folder = (os.stat(path).st_atime_ns, os.stat(path).st_mtime_ns)
+    before = file_state(spark, path)
+    assert file_state(spark, path) == before
+    os.utime(file, (1, 5))
+    os.utime(path, ns=folder)
+    changed = file_state(spark, path)
+    assert changed != before
+    file.write_bytes(file.read_bytes() + b" ")
+    os.utime(file, (1, 5))
+    os.utime(path, ns=folder)
+    assert file_state(spark, path) not in (before, changed)
+
+
+def test_places_follow_the_order_of_a_report(spark):
+    from subtide.operators.core import with_place
+
+    rows = [("b", 2), ("a", 2), (None, 9), ("c", None)]
+    df = spark.createDataFrame(rows, "k string, n long")
+    up = {r.k: r.place for r in with_place(df, "k").collect()}
+    down = {r.k: r.place for r in with_place(df, "-n", "k").collect()}
+    assert up == {"a": 1, "b": 2, "c": 3, None: 4} and down == {"c": 1, None: 2, "a": 3, "b": 4}
