@@ -11,6 +11,7 @@ from subtide.sources import written
 
 # Bytes of input for each range; a range is one task's sort and cannot be split later.
 RANGE_BYTES = 256 << 20
+MOST_RANGES = 1_000_000
 
 # monotonically_increasing_id keeps the task number above bit 33 and the row number below it.
 _TASK_BITS = 33
@@ -52,7 +53,7 @@ def dense_number(
     group = list(partition_by)
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     keys = [*[F.col(c) for c in group], *order, *([] if no_ties else _content_hash(df))]
-    ranged = df.repartitionByRange(ranges or _ranges(df), *keys).sortWithinPartitions(*keys)
+    ranged = df.repartitionByRange(min(ranges or _ranges(df), MOST_RANGES), *keys).sortWithinPartitions(*keys)
     kept = [c for c in df.columns if c not in drop]
     table = written(ranged.select(*kept, F.monotonically_increasing_id().alias("_pos")))
     table = table.withColumn("_task", F.shiftright("_pos", _TASK_BITS))
@@ -70,10 +71,10 @@ def dense_number(
             "_shift"
         ),
     )
-    # One row per task and group, a few bytes each: measured, then sent to all tasks, so that the
-    # numbered table is not shuffled again. Only with very many groups the offsets stay a normal
-    # join side; a hot group is then still cut by task.
-    offsets = sized_broadcast(offsets)
+    # Sent to all tasks, so that the numbered table is not shuffled again. Without groups there is one row
+    # per range, at most ``MOST_RANGES`` of 16 bytes. With groups the offsets are measured first, and with
+    # very many groups they stay a normal join side; a hot group is then still cut by task.
+    offsets = sized_broadcast(offsets) if group else F.broadcast(offsets)
     same_slice = F.col("t._task") == F.col("o._task")
     for g in group:
         same_slice &= F.col(f"t.{g}").eqNullSafe(F.col(f"o.{g}"))
@@ -90,7 +91,7 @@ def dense_number(
 def _ranges(df: DataFrame) -> int:
     estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(max(least, int(str(estimate)) // RANGE_BYTES), 1_000_000)
+    return min(max(least, int(str(estimate)) // RANGE_BYTES), MOST_RANGES)
 
 
 def _content_hash(df: DataFrame) -> list[Column]:
