@@ -13,8 +13,9 @@ not found in "party". In scripts written without spaces (Chinese, Japanese, Thai
 may begin and end at any character.
 
 Scale: documents are scanned where they lie, without a shuffle. Items go out in blocks of about
-``BLOCK_CHARS`` characters, dealt by hash; the documents are read once per block, and neither driver
-nor task ever holds more than one block.
+``BLOCK_CHARS`` characters, dealt by hash. ``matches`` reads the documents once per block, a task each with
+one block's automaton. ``clean`` passes them through all blocks in one task, which then holds all automata,
+and the driver holds the items of all blocks while the plan is built: the benchmark has to fit there.
 
 Defined cases: NULL and empty texts hold nothing. For each row of documents and each item_id there is
 one result, the smallest distance and then the first place. Repeated documents give repeated results.

@@ -8,7 +8,9 @@ shards (path, first and last key, sizes) says which files count.
 ``judge`` probes every URL. A rule fits its host and all subdomains, on paths that start with its
 path, so the candidates are (suffix of the host) x (prefix of the path). Only prefix lengths that
 occur among the rules are tried. A task memory-maps a shard, finds the keys of a whole batch by
-vectorised binary search, and compares the stored string, so a collision of keys never decides.
+vectorised binary search, and compares the stored string, so a collision of keys never decides. Each task
+opens every shard; off a local file system it copies the shard to an unlinked temporary file first, so the
+rules have to fit an executor's disk.
 
 The longest ``host + path`` wins, then the longer host. Without a rule the verdict is ``default``.
 
