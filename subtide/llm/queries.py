@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-import corpus_pipeline
 from subtide.llm import (
     chat,
     decontaminate,
@@ -380,7 +379,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_spelling_variants": op11_spelling_variants,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_license_scan": op13_license_scan,
-    "pipeline": corpus_pipeline.run,
 }
 
 LLM_ORACLES: dict[str, str] = {

@@ -8,12 +8,12 @@ import zlib
 import duckdb
 import pytest
 from comparing import differences, duck
-from llm_plain import components, normal_words, shingles
+from llm_plain import WORD, components, edit_distance_within, normal_words, shingles
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from subtide.llm import packing
+from subtide.llm import decontaminate, mixing, packing
 from subtide.llm.queries import LLM_ORACLES, LLM_QUERIES
 from subtide.sources import written
 
@@ -29,7 +29,7 @@ def test_registered():
     assert LLM_QUERIES.keys() <= entry.queries().keys()
     numbers = {name.split("_")[0] for name in LLM_QUERIES if name.startswith("op")}
     assert numbers == {f"op{n}" for n in range(1, 14)}
-    assert "pipeline" in LLM_QUERIES
+    assert entry.queries()["pipeline"] is corpus_pipeline.run
 
 
 def documents():
@@ -78,6 +78,18 @@ def test_decontamination_query_finds_every_whole_item(spark):
                 assert found[(key, item_id)].distance == 0
 
 
+def test_decontamination_query_finds_nothing_else(spark):
+    """Every row found is an occurrence within the budget, at its place, with its distance."""
+    items = dict(duckdb.sql(f"SELECT item_id, text FROM '{FOLDER}/benchmark.parquet'").fetchall())
+    texts = {key: decontaminate.normal(text or "") for key, (text, _) in documents().items()}
+    found = LLM_QUERIES["op10_decontaminate"](spark, FOLDER).collect()
+    assert found and len(found) == len({(r.doc_id, r.item_id) for r in found})
+    for r in found:
+        item = decontaminate.normal(items[r.item_id])
+        assert r.distance <= int(decontaminate.RATE * len(item))
+        assert edit_distance_within(item, texts[r.doc_id][r.start : r.end]) == r.distance
+
+
 def test_packing_query_gives_every_text_back(spark):
     rows = LLM_QUERIES["op9_pack_tokens"](spark, FOLDER).collect()
     texts = unpacked(rows)
@@ -105,8 +117,8 @@ def unpacked(rows) -> dict:
 
 
 def test_pipeline_stages(spark):
-    """Each stage against a plain version on its own input."""
-    from subtide.llm import decontaminate
+    """Each stage against a plain version, or what it has to keep, on its own input."""
+    from test_llm_edges import plain_targets
 
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     columns = docs.columns
@@ -136,6 +148,14 @@ def test_pipeline_stages(spark):
     before, after = kept["mix_sources"]
     counts = {r["doc_id"]: r["count"] for r in after.groupBy("doc_id").count().collect()}
     assert max(counts.values()) <= 3 and set(counts) <= set(texts(before))
+    rows = {r.doc_id: (r.source, len(WORD.findall(r.text))) for r in before.select("doc_id", "source", "text").collect()}
+    sizes, taken, most = {}, {}, {}
+    for key, (source, size) in rows.items():
+        sizes[source] = sizes.get(source, 0) + size
+        taken[source] = taken.get(source, 0) + size * counts.get(key, 0)
+        most[source] = max(most.get(source, 0), size)
+    for source, target in plain_targets(sizes, mixing.WEIGHTS, 3).items():
+        assert abs(taken[source] - target) <= most[source]
     mixed, packed = kept["pack_tokens"]
     segments = packed.select(F.explode(F.arrays_zip("doc_ids", "doc_offsets")).alias("s"))
     starts = segments.filter("s.doc_offsets = 0").groupBy("s.doc_ids").count()
