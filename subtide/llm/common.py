@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import shutil
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 from pathlib import Path
 
 import pyarrow as pa
@@ -51,6 +55,25 @@ def lower_ascii(text: str | Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def trimming(batches: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """A function of batches that gives its worker's free memory back at the end of a task.
+
+    Workers live on from stage to stage, and what one stage has freed would count for the next.
+    """
+
+    @wraps(batches)
+    def run(*args, **options):
+        try:
+            yield from batches(*args, **options)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # glibc only
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
 def opened(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system of a folder or file and the path in it; a bare path is local."""
     return fs.FileSystem.from_uri(uri if ":/" in uri else f"file://{uri}")

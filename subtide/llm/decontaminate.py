@@ -34,7 +34,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from subtide.llm.common import record_batches
+from subtide.llm.common import record_batches, trimming
 from subtide.sources import written
 
 RATE = 0.05
@@ -188,6 +188,7 @@ def item_blocks(
         yield [(key, text) for key, text in read if text and (short or len(text) >= min_chars)]
 
 
+@trimming
 def _matches(batches: Iterator[pa.RecordBatch], items: list, rate: float, min_chars: int) -> Iterator[pa.RecordBatch]:
     known = Items(items, rate, min_chars)
 
@@ -217,6 +218,7 @@ def matches(
     return reduce(DataFrame.unionAll, found)
 
 
+@trimming
 def _clean(batches: Iterator[pa.RecordBatch], items: list, rate: float, min_chars: int) -> Iterator[pa.RecordBatch]:
     known = Items(items, rate, min_chars)
     for batch in batches:

@@ -53,6 +53,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from subtide.llm.components import components
+from subtide.llm.common import trimming
 from subtide.sources import written
 
 SIZE = 4
@@ -109,6 +110,7 @@ def set_key(shingles: np.ndarray) -> int:
     return int.from_bytes(digest, "little", signed=True)
 
 
+@trimming
 def _profile(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = shingle_sets(batch.column("text"), size)
@@ -180,6 +182,7 @@ def _chunk_rows(name: str, sets: dict[int, np.ndarray], full: list[int], slices:
     yield {"slice": xxhash.xxh32_intdigest(name) % slices, "chunk": name, "keys": keys, "sizes": sizes}
 
 
+@trimming
 def _post(batches: Iterator[pa.RecordBatch], size: int, slices: int) -> Iterator[pa.RecordBatch]:
     """The part of the shingle space looked at, in packed chunks cut into slices."""
     task, number = TaskContext.get().partitionId(), 0
@@ -259,6 +262,7 @@ COUNTED = pa.schema(
 ANSWER = pa.schema([("chunk", pa.string()), ("slice", pa.int32()), ("counts", pa.binary())])
 
 
+@trimming
 def _bundle(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """Sets as rows of bounded bundles."""
     task, number, held = TaskContext.get().partitionId(), 0, 0
@@ -285,6 +289,7 @@ def _bundle(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
         yield row()
 
 
+@trimming
 def _count_bundle(batches: Iterator[pa.RecordBatch], slices: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for chunk, data in zip(batch.column("chunk").to_pylist(), batch.column("hashes").to_pylist()):
@@ -341,6 +346,7 @@ SETS = "key long, n long, shingles binary"
 LINKS = "a long, b long"
 
 
+@trimming
 def _unbundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for b in batch.to_pylist():
@@ -511,6 +517,7 @@ def _set(row: dict) -> np.ndarray:
     return np.frombuffer(row["shingles"], dtype=np.uint64)
 
 
+@trimming
 def _join_blocks(batches: Iterator[pa.RecordBatch], similar: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     found: list[tuple[int, int]] = []
     for _, rows in _runs(batches, ["cell", "block"]):
@@ -524,6 +531,7 @@ def _join_blocks(batches: Iterator[pa.RecordBatch], similar: tuple[int, int]) ->
     yield _as_links(found)
 
 
+@trimming
 def _meet_blocks(batches: Iterator[pa.RecordBatch], similar: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     """Each of a block's outsiders against each member of another block of the cell."""
     for _, rows in _runs(batches, ["cell", "outside", "block"]):

@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from subtide.llm.common import trimming
 from subtide.sources import written
 
 DOCS = 400
@@ -58,6 +59,7 @@ def codes(data: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+@trimming
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per language of one task: the byte strings of one to four bytes and their counts."""
     held: dict[str, list[np.ndarray]] = {}
@@ -257,6 +259,7 @@ def train(
     return Model(counted)
 
 
+@trimming
 def _predict(batches: Iterator[pa.RecordBatch], model, letter: str, add) -> Iterator[pa.RecordBatch]:
     known: Model = model.value
     for batch in batches:
