@@ -353,6 +353,42 @@ def test_url_collisions_do_not_decide(spark, monkeypatch, tmp_path):
     assert found == [(0, ["a", "/", "block"]), (0, ["b", "/", "block"])]
 
 
+def plain_rule(host, path, rules):
+    """The rule and verdict of a URL, by trying every rule."""
+    fits = [
+        (len(h) + len(p), len(h), h + p, verdict)
+        for h, p, verdict in rules
+        if (host == h or host.endswith("." + h)) and path.startswith(p)
+    ]
+    return max(fits)[2:] if host and fits else (None, "allow")
+
+
+def test_url_rules_of_many_shards(spark):
+    """Pages, some stored twice, against every rule in turn: one shard and many give the same."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "url")
+    pages = pages.unionByName(pages.filter("page_id % 3 = 0"))
+    hot = spark.range(300).selectExpr("CAST(NULL AS LONG) page_id", "concat('h://a.b.com/x/', id % 7) url")
+    pages = pages.unionByName(hot)
+    parsed = urls.judge(pages, urls.build(spark.createDataFrame([], "host string, path string, verdict string")))
+    parsed = [(r.page_id, r.host, r.path) for r in parsed.collect()]
+    rules = {("com", "/", "allow"), ("b.com", "/x/", "block"), ("b.com", "/x/3", "allow"), ("zz", "", "block")}
+    for i, (_, host, path) in enumerate(parsed):
+        if host:
+            rules.add((host, path[: i % 5], "block" if i % 2 else "allow"))
+            rules.add((host.partition(".")[2] or host, path[: 2 + i % 3], "block"))
+    blocked = {(h, p) for h, p, verdict in rules if verdict == "block"}
+    rules = sorted(r for r in rules if r[2] == "block" or r[:2] not in blocked)
+    expected = sorted(((k, h, p, *plain_rule(h, p, rules)) for k, h, p in parsed), key=repr)
+    assert len({r[3] for r in expected}) > 5
+    stored = [(h, p, None if (verdict == "block" and len(p) % 2) else verdict) for h, p, verdict in rules]
+    stored = spark.createDataFrame(stored, "host string, path string, verdict string")
+    for shard_rules, most in ((5, len(rules)), (10_000, 1)):
+        shards = urls.build(stored, shard_rules)
+        assert shards.count() <= most and (most == 1 or shards.count() > 3)
+        assert sum(s.rules for s in shards.collect()) == len(rules)
+        assert sorted(map(tuple, urls.judge(pages, shards).collect()), key=repr) == expected
+
+
 # --- chat -----------------------------------------------------------------------------------------
 
 
