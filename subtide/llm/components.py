@@ -14,7 +14,7 @@ def _state(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node gets linked to the smallest of the node's neighbourhood."""
     both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    least = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
     linked = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return linked.filter("a <> b").distinct()
 
@@ -22,7 +22,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours get linked to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = written(down.groupBy("a").agg(F.min("b").alias("m")))
     linked = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     own = least.select("a", F.col("m").alias("b"))
     return linked.unionAll(own).filter("a <> b").distinct()
@@ -31,8 +31,8 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """Rows of (node, root) for links (a, b): the root is the smallest node of the component.
 
-    Each round is two aggregations and joins over written tables; the number of rounds grows with
-    the logarithm of the largest distance. Nodes without links are not listed.
+    Each round is two aggregations and joins over written tables, so Spark can split a hot node; the number
+    of rounds grows with the logarithm of the largest distance. Nodes without links are not listed.
     """
     edges = written(links.select("a", "b").filter("a <> b").distinct())
     state = _state(edges)

@@ -22,9 +22,14 @@ every document would then be a boundary document of every region. So regions are
    (see ``Parts``), so only documents with an equal part are looked at. Templated texts share many
    shingles and end in one cell, but seldom a whole part.
 
-Cells beyond ``BLOCK`` shingles are cut into blocks by hash. Each block is joined by itself; then the
-documents outside of their cell's largest component meet all blocks. Pairs inside that component need
-no look, all others have one side in a block of the former, so this is exact too.
+Cells beyond ``BLOCK`` shingles are cut into blocks by hash, and each block is joined by itself. What is
+left are links between components. Equal parts say where they can be: one pair of each component, with the
+component that shares most parts with it, is compared first, which joins the pieces of a family cut by the
+blocks. Then only parts held by sets of several components matter. Where the sets that hold one have fewer
+shingles in all, these parts are the next regions and are joined like cells; texts of a template have
+hardly any. Elsewhere the documents outside of their cell's largest component meet all blocks: pairs inside
+that component need no look, all others have one side in a block of the former. Both ways are exact, and
+the cheaper one is taken cell by cell.
 
 Scale: equal sets are one class, found by a digest. A first pass counts, in packed hashes of a third of
 the shingle space, the shingles no other set holds: more than 0.15 n of them prove that a document
@@ -398,40 +403,48 @@ def linked(common: np.ndarray, union: np.ndarray, similar: tuple[int, int]) -> n
     return similar[1] * common >= similar[0] * union
 
 
+def part_names(sets: list[np.ndarray], similar: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The names of the parts of each set, and which set each belongs to.
+
+    Linked sets x and y differ in at most D = (of - share) / share * min(|x|, |y|) shingles. Cut the space of
+    hashes into D + 1 parts: in one part at least both hold the same shingles, or none. Sets of similar sizes
+    use the same cut: a size class ends where linked sets cannot reach beyond the next class, so a set has
+    parts for its own class and for the one below. Linked sets have a name in common.
+    """
+    share, of = similar
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    # ends[c]: the first size beyond class c.
+    ends = [2]
+    while ends[-1] <= sizes.max(initial=1):
+        ends.append(max(ends[-1] + 1, ends[-1] * of // share + 1))
+    kind = np.searchsorted(np.array(ends), sizes, side="right")
+    names, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for level in np.unique(np.concatenate([kind, kind - 1])):
+        if level < 0:
+            continue
+        some = np.flatnonzero((kind == level) | (kind == level + 1))
+        count = (of - share) * (ends[level] - 1) // share + 1
+        flat = _mixed(np.concatenate([sets[i] for i in some]))
+        slot = np.repeat(np.arange(len(some)) * count, sizes[some])
+        slot += (_mixed(flat + STEP) % np.uint64(count)).astype(np.int64)
+        sums = np.zeros(len(some) * count, dtype=np.uint64)
+        np.add.at(sums, slot, flat)
+        part = np.tile(np.arange(count, dtype=np.uint64), len(some))
+        names.append(_mixed(sums + part * MIX + np.uint64(int(level) * int(STEP) % 2**64)))
+        owners.append(np.repeat(some, count))
+    return np.concatenate(names), np.concatenate(owners)
+
+
 class Parts:
     """Which sets may link at all: those with an equal part.
 
-    Linked sets x and y differ in at most D = (of - share) / share * min(|x|, |y|) shingles. Cut the space of
-    hashes into D + 1 parts: in one part at least both hold the same shingles. Sets of similar sizes use the
-    same cut: a size class ends where linked sets cannot reach beyond the next class, so a set has parts
-    for its own class and for the one below. Sets with an equal part form a group; a set's partners are the members
-    of its groups. Without a common part there is no link, so nothing is lost.
+    Sets with an equal part form a group; a set's partners are the members of its groups. Without a common
+    part there is no link, so nothing is lost.
     """
 
     def __init__(self, sets: list[np.ndarray], similar: tuple[int, int]):
-        share, of = similar
-        sizes = np.array([len(s) for s in sets], dtype=np.int64)
-        # ends[c]: the first size beyond class c.
-        ends = [2]
-        while ends[-1] <= sizes.max(initial=1):
-            ends.append(max(ends[-1] + 1, ends[-1] * of // share + 1))
-        kind = np.searchsorted(np.array(ends), sizes, side="right")
-        names, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for level in np.unique(np.concatenate([kind, kind - 1])):
-            if level < 0:
-                continue
-            some = np.flatnonzero((kind == level) | (kind == level + 1))
-            count = (of - share) * (ends[level] - 1) // share + 1
-            flat = _mixed(np.concatenate([sets[i] for i in some]))
-            slot = np.repeat(np.arange(len(some)) * count, sizes[some])
-            slot += (_mixed(flat + STEP) % np.uint64(count)).astype(np.int64)
-            sums = np.zeros(len(some) * count, dtype=np.uint64)
-            np.add.at(sums, slot, flat)
-            part = np.tile(np.arange(count, dtype=np.uint64), len(some))
-            names.append(_mixed(sums + part * MIX + np.uint64(int(level) * int(STEP) % 2**64)))
-            owners.append(np.repeat(some, count))
-        _, group, held = np.unique(np.concatenate(names), return_inverse=True, return_counts=True)
-        owner = np.concatenate(owners)
+        names, owner = part_names(sets, similar)
+        _, group, held = np.unique(names, return_inverse=True, return_counts=True)
         kept = held[group] > 1
         group, owner = group[kept], owner[kept]
         by_group, by_owner = np.argsort(group, kind="stable"), np.argsort(owner, kind="stable")
@@ -560,8 +573,69 @@ def _tasks(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _join_cells(sets: DataFrame, cells: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """Links (a, b) that join all linked sets of each cell."""
+NAMED = pa.schema([("cell", pa.int64()), ("name", pa.int64()), ("key", pa.int64()), ("n", pa.int64())])
+
+
+@trimming
+def _name_parts(batches: Iterator[pa.RecordBatch], similar: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """The names of each set's parts in its cell."""
+    for batch in batches:
+        if batch.num_rows:
+            sets = [np.frombuffer(b, dtype=np.uint64) for b in batch.column("shingles").to_pylist()]
+            names, owner = part_names(sets, similar)
+            cell, key, n = (batch.column(c).to_numpy()[owner] for c in ("cell", "key", "n"))
+            names = _mixed(names + _mixed(cell.view(np.uint64)))
+            arrays = [pa.array(x) for x in (cell, names.view(np.int64), key, n)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=NAMED)
+
+
+@trimming
+def _check_pairs(batches: Iterator[pa.RecordBatch], similar: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """The pairs of sets that link."""
+    for batch in batches:
+        found = []
+        for r in batch.to_pylist():
+            x, y = (np.frombuffer(r[c], dtype=np.uint64) for c in ("one", "other"))
+            common = len(np.intersect1d(x, y, assume_unique=True))
+            if linked(common, len(x) + len(y) - common, similar):
+                found.append((r["a"], r["b"]))
+        yield _as_links(found)
+
+
+def _rooted_by(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows of sets with the smallest key of the component that the links give."""
+    roots = components(links).withColumnRenamed("node", "key")
+    return rows.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+
+
+def _divided(named: DataFrame) -> DataFrame:
+    """The parts that sets of several components hold, with the smallest root of each."""
+    several = named.groupBy("name").agg(F.min("root").alias("least"), F.max("root").alias("_most"))
+    several = written(several.filter("least <> _most").select("name", "least"))
+    return named.join(several, "name")
+
+
+def _likely_links(sets: DataFrame, divided: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """Links among one pair of each component: with the component it shares most parts with.
+
+    Of a part's components the one with the smallest root is the centre, and the others pair with it.
+    """
+    each = divided.groupBy("name", "least", "root").agg(F.min("key").alias("b"))
+    centre = each.filter("root = least").select("name", F.col("b").alias("a"))
+    met = each.filter("root <> least").join(centre, "name")
+    pairs = met.groupBy("least", "root").agg(F.count("*").alias("parts"), F.min(F.struct("a", "b")).alias("pair"))
+    best = pairs.groupBy("root").agg(F.max_by("pair", F.struct("parts", "pair")).alias("pair"))
+    best = written(best.select("pair.a", "pair.b"))
+    one = sets.select(F.col("key").alias("a"), F.col("shingles").alias("one"))
+    other = sets.select(F.col("key").alias("b"), F.col("shingles").alias("other"))
+    both = best.join(one, "a").join(other, "b")
+    return both.mapInArrow(partial(_check_pairs, similar=similar), LINKS)
+
+
+def _join_cells(
+    sets: DataFrame, cells: DataFrame, similar: tuple[int, int], by_parts: bool = True
+) -> DataFrame:
+    """Links (a, b) that join all linked sets of each cell. A set may be in several cells."""
     placed = sets.join(cells.withColumnsRenamed({"node": "key", "root": "cell"}), "key")
     placed = written(placed)
     weights = placed.groupBy("cell").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"))
@@ -574,13 +648,41 @@ def _join_cells(sets: DataFrame, cells: DataFrame, similar: tuple[int, int]) ->
     links = written(dealt.mapInArrow(partial(_join_blocks, similar=similar), LINKS))
     if large.isEmpty():
         return links
-    # Large cells: what lies outside of the largest component meets every block.
-    roots = components(links).withColumnRenamed("node", "key")
-    known = blocked.filter("blocks is not null").join(roots, "key", "left")
-    known = written(known.withColumn("root", F.coalesce("root", "key")))
+    known = blocked.filter("blocks is not null")
+    if not by_parts:
+        return links.unionAll(_join_across_blocks(written(_rooted_by(known, links)), similar))
+    named = known.select("cell", "key", "n", "shingles").mapInArrow(
+        partial(_name_parts, similar=similar), "cell long, name long, key long, n long"
+    )
+    named = written(named)
+    likely = _likely_links(known, _divided(written(_rooted_by(named, links))), similar)
+    links = written(links.unionAll(likely))
+    known = written(_rooted_by(known, links))
+    regions = written(_divided(known.select("cell", "key", "root").join(named, ["cell", "key"])))
+    # The shingles that either way compares: per cell, all sets of its regions, or outsiders and blocks.
+    fine = regions.groupBy("cell").agg(F.sum("n").alias("by_parts"))
+    coarse = _outsiders(known).groupBy("cell").agg(F.sum("n").alias("asking"))
+    total = known.groupBy("cell", "blocks").agg(F.sum("n").alias("total"))
+    costs = total.join(coarse, "cell").join(fine, "cell")
+    by_blocks = F.ceil(F.col("asking") / BLOCK) * F.col("total") + F.col("blocks") * F.col("asking")
+    costs = written(costs.select("cell", (F.col("by_parts") <= by_blocks).alias("fine")))
+    regions = regions.join(costs.filter("fine"), "cell")
+    regions = written(regions.select(F.col("key").alias("node"), F.col("name").alias("root")).distinct())
+    found = _join_cells(known.select("key", "n", "shingles"), regions, similar, by_parts=False)
+    whole = known.join(costs.filter("not fine").select("cell"), "cell", "left_semi")
+    return links.unionAll(found).unionAll(_join_across_blocks(whole, similar))
+
+
+def _outsiders(known: DataFrame) -> DataFrame:
+    """The sets outside of their cell's largest component."""
     count = known.groupBy("cell", "root").count()
     largest = count.groupBy("cell").agg(F.max(F.struct("count", "root"))["root"].alias("main"))
-    asking = known.join(written(largest), "cell").filter("root <> main").drop("main")
+    return known.join(written(largest), "cell").filter("root <> main").drop("main")
+
+
+def _join_across_blocks(known: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """Links of what lies outside of the largest component of a cell: it meets every block."""
+    asking = _outsiders(known)
     weights = asking.groupBy("cell").agg(F.ceil(F.sum("n") / BLOCK).alias("outsides"))
     weights = written(weights)
     everywhere = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -590,8 +692,8 @@ def _join_cells(sets: DataFrame, cells: DataFrame, similar: tuple[int, int]) ->
     columns = ["cell", "outside", "block", "asks", "key", "root", "shingles"]
     met = asking.select(columns).unionByName(asked.withColumn("asks", F.lit(False)).select(columns))
     group = ["cell", "outside", "block"]
-    dealt = met.repartition(_tasks(sets), *group).sortWithinPartitions(*group)
-    return links.unionAll(dealt.mapInArrow(partial(_meet_blocks, similar=similar), LINKS))
+    dealt = met.repartition(_tasks(known), *group).sortWithinPartitions(*group)
+    return dealt.mapInArrow(partial(_meet_blocks, similar=similar), LINKS)
 
 
 def set_links(docs: DataFrame, profile: DataFrame, size: int, similar: tuple[int, int]) -> DataFrame:

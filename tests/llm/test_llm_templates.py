@@ -87,3 +87,40 @@ def test_templated_documents(spark):
     found = {r.doc_id: r.component_id for r in jaccard.jaccard_components(df).collect()}
     assert found == components({key: shingles(text, 4) for key, text in rows}, 85, 100)
     assert found[1000] == 0 and found[1] == 1
+
+
+@pytest.mark.parametrize("families", [0, 3])
+def test_large_cells_of_templated_documents(spark, monkeypatch, families):
+    """Cut into blocks, a cell's sets meet in parts that several components hold, not block by block."""
+    monkeypatch.setattr(jaccard, "BLOCK", 3_000)
+    met = []
+    across, cells = jaccard._join_across_blocks, jaccard._join_cells
+
+    def counting(known, similar):
+        met.append(known.count())
+        return across(known, similar)
+
+    def regions(sets, placed, similar, by_parts=True):
+        if not by_parts:
+            met.append(placed.count())
+        return cells(sets, placed, similar, by_parts)
+
+    monkeypatch.setattr(jaccard, "_join_across_blocks", counting)
+    monkeypatch.setattr(jaccard, "_join_cells", regions)
+    dice = random.Random(4)
+    rows = []
+    for i in range(200):
+        fields = [f"field{f} has the value {dice.randrange(VALUES)}" for f in range(FIELDS)]
+        rows.append((i, " ".join(fields)))
+        for copy in range(40 if i < families else i % 20 == 0):
+            near = list(fields)
+            for _ in range(1 + copy % 3):
+                near[dice.randrange(FIELDS)] = f"field7 says {dice.randrange(10**6)} something else"
+            rows.append((1000 * (copy + 1) + i, " ".join(near)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r.component_id for r in jaccard.jaccard_components(df).collect()}
+    sets = {key: shingles(text, 4) for key, text in rows}
+    assert found == components(sets, 85, 100)
+    blocks = sum(map(len, sets.values())) / 3_000
+    by_blocks = 2 * len(rows) * blocks  # every set meets every block, and every block of others all sets
+    assert met and sum(met) < (by_blocks if families else by_blocks / 3)
