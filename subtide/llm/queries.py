@@ -69,6 +69,34 @@ def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_components(docs, size=4, similar=(85, 100))
 
 
+OP2_SQL = """
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) < 4 THEN list_filter([array_to_string(w, ' ')], lambda x: x <> '')
+    ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 2),
+           lambda i: array_to_string(w[i:i + 3], ' ')))) END AS s
+  FROM split),
+named AS (SELECT doc_id, len(s) AS n, CASE WHEN len(s) > 0 THEN md5(array_to_string(s, chr(10))) END AS k, s FROM sets),
+classes AS MATERIALIZED (
+  SELECT k, ANY_VALUE(n) AS n, ANY_VALUE(s) AS s, MIN(doc_id) AS least FROM named WHERE k IS NOT NULL GROUP BY k),
+held AS MATERIALIZED (SELECT k, n, UNNEST(s) AS shingle FROM classes),
+links AS MATERIALIZED (
+  SELECT a.k AS a, b.k AS b FROM held a JOIN held b ON a.shingle = b.shingle AND a.k <> b.k
+  GROUP BY a.k, b.k, a.n, b.n HAVING 100 * COUNT(*) >= 85 * (a.n + b.n - COUNT(*))),
+reached AS (
+  SELECT k AS a, k AS b FROM classes
+  UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+roots AS (SELECT r.a AS k, MIN(c.least) AS root FROM reached r JOIN classes c ON r.b = c.k GROUP BY r.a)
+SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(n AS BIGINT) AS n_shingles,
+       CAST(COALESCE(root, doc_id) AS BIGINT) AS component_id
+FROM named LEFT JOIN roots USING (k)
+"""
+
+
 def op3_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(ready(spark), folder, "embeddings")
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256)
@@ -383,6 +411,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 LLM_ORACLES: dict[str, str] = {
     "op1_mix_sources": OP1_SQL,
+    "op2_jaccard_join": OP2_SQL,
     "op3_exact_top_k": OP3_SQL,
     "op5_warc": OP5_SQL,
     "op6_url_filter": OP6_SQL,
