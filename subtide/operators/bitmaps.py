@@ -20,6 +20,10 @@ from subtide.operators.core import BROADCAST_BYTES
 BITMAP_BYTES = 4096
 VALUE_BYTES = 8
 
+# Neighbouring values that are counted in one row.
+SLOT_BITS = 3
+SLOTS = 1 << SLOT_BITS
+
 
 def is_integer(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, (ByteType, ShortType, IntegerType, LongType))
@@ -97,7 +101,7 @@ def missing(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
     """Rows of (missing_key, row_count) for the child's values that the parent has not; NULL is none.
 
     A bucket holds one if the bitmap of both sides together has more bits than the parent's. Only
-    values of such buckets are shuffled.
+    values of such buckets are shuffled, several to a row.
     """
     both = bitmaps(child, child_key).select("bucket", "bitmap", F.lit(False).alias("known"))
     both = both.unionAll(bitmaps(parent, parent_key).select("bucket", "bitmap", F.lit(True).alias("known")))
@@ -106,10 +110,25 @@ def missing(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
         F.max(F.when(F.col("known"), F.bitmap_count("bitmap"))).alias("known_bits"),
     )
     gaps = merged.filter("all_bits > coalesce(known_bits, 0)").select("bucket")
-    used = child.select(F.col(child_key).cast("long").alias("missing_key")).filter("missing_key IS NOT NULL")
-    known = parent.select(F.col(parent_key).cast("long").alias("missing_key")).filter("missing_key IS NOT NULL")
-    used = _in_buckets(used, "missing_key", gaps, pairs)
-    used = used.groupBy("missing_key").agg(F.count(F.lit(1)).alias("row_count"))
-    known = _in_buckets(known, "missing_key", gaps, pairs).distinct()
-    return used.join(known, "missing_key", "left_anti")
+    used, known = (
+        _in_buckets(df.select(F.col(key).cast("long").alias("value")).filter("value IS NOT NULL"), "value", gaps, pairs)
+        for df, key in ((child, child_key), (parent, parent_key))
+    )
+    return _unmatched(used, known)
+
 
+def _unmatched(used: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of (missing_key, row_count) for the values of ``used`` that ``known`` has not; both hold no NULL.
+
+    ``SLOTS`` neighbouring values share one row: a count for each and a bit for each known one. Where values lie close
+    together, that is a small part of what a row per value takes, and one aggregate holds both sides.
+    """
+    slot = (F.col("value").bitwiseAND(F.lit(SLOTS - 1))).cast("int")
+    rows = used.withColumn("used", F.lit(True)).unionAll(known.withColumn("used", F.lit(False)))
+    placed = rows.select(F.shiftright("value", SLOT_BITS).alias("word"), slot.alias("slot"), "used")
+    bit = F.call_function("shiftleft", F.lit(1), F.col("slot"))
+    counts = [F.count_if(F.col("used") & (F.col("slot") == i)).alias(f"n{i}") for i in range(SLOTS)]
+    words = placed.groupBy("word").agg(*counts, F.bit_or(F.when(F.col("used"), 0).otherwise(bit)).alias("known"))
+    each = words.select("word", "known", F.posexplode(F.array(*[f"n{i}" for i in range(SLOTS)])).alias("slot", "row_count"))
+    unmatched = each.filter((F.col("row_count") > 0) & (F.getbit("known", "slot") == 0))
+    return unmatched.select((F.col("word") * SLOTS + F.col("slot")).alias("missing_key"), "row_count")

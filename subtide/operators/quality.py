@@ -106,16 +106,18 @@ def uniqueness(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFra
 def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child key values without a parent and how many rows carry each; a NULL key is no orphan.
 
-    Both sides are reduced to one row per key value before the anti join, so a key that is popular
-    on either side costs nothing.
+    Both sides are reduced to one row per key value by one aggregate, so a key that is popular on
+    either side costs nothing and no side is sorted.
     """
-    used = (
-        child.filter(F.col(child_key).isNotNull())
-        .groupBy(F.col(child_key).cast("long").alias("missing_key"))
-        .agg(F.count(F.lit(1)).alias("row_count"))
+    used = child.select(F.col(child_key).cast("long").alias("missing_key"), F.lit(1).alias("used"))
+    known = parent.select(F.col(parent_key).cast("long").alias("missing_key"), F.lit(0).alias("used"))
+    counted = (
+        used.unionAll(known)
+        .filter(F.col("missing_key").isNotNull())
+        .groupBy("missing_key")
+        .agg(F.sum("used").alias("row_count"), F.min("used").alias("used"))
     )
-    known = parent.select(F.col(parent_key).cast("long").alias("missing_key")).distinct()
-    return used.join(known, "missing_key", "left_anti")
+    return counted.filter("used = 1").drop("used")
 
 
 def referential_integrity(

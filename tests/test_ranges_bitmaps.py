@@ -181,3 +181,16 @@ def test_clean_keys_and_relations_shuffle_no_key(spark):
     assert [tuple(r) for r in rows] == [(40000, 1)]
     # Both sides' values of one bucket.
     assert sum(n for _, n in shuffled) < 2 * 32768 + 200
+
+
+def test_missing_keys_shuffle_a_row_for_several_values_and_sort_nothing(spark):
+    ids = written(spark.range(0, 100_000, 1, 8))
+    child = written(spark.range(0, 100_000, 1, 8).select((F.col("id") * 3 % 100_000).alias("id")))
+    frame = bitmaps.missing(child, "id", ids.filter("id <> 40000"), "id", 64)
+    rows, shuffled = run(frame)
+    assert [tuple(r) for r in rows] == [(40000, 1)]
+    assert sum(n for _, n in shuffled) < 32768
+    scattered = quality.orphans(child, "id", ids.filter("id % 7 <> 3"), "id")
+    plan = scattered._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Sort" not in plan
+    assert {tuple(r) for r in scattered.collect()} == {(i, 1) for i in range(100_000) if i % 7 == 3}
