@@ -9,10 +9,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from subtide.operators.core import sized_broadcast
 from subtide.sources import written
 
-# Bytes of input for each range; a range is one task's sort and cannot be split later.
-RANGE_BYTES = 256 << 20
+# Bytes of input for each range; a range is one task's sort and cannot be split later. Stored rows grow about
+# eightfold in memory, and a sort that does not fit is spilled whole.
+RANGE_BYTES = 16 << 20
 MOST_RANGES = 1_000_000
 
+# Up to 200 ranges map tasks write without sorting (spark.shuffle.sort.bypassMergeThreshold), so ranges of
+# larger tables grow to this size first.
+FEW_RANGES = 200
+LARGE_RANGE_BYTES = 64 << 20
+
 # monotonically_increasing_id keeps the task number above bit 33 and the row number below it.
 _TASK_BITS = 33
 
@@ -45,7 +51,9 @@ def dense_number(
     order can be named in ``drop``: they take part in the shuffle but are not written.
 
     ``ranges`` is the number of range partitions. Without it the input's estimated size decides,
-    ``RANGE_BYTES`` each, but at least the session's shuffle partitions.
+    ``RANGE_BYTES`` each, but at least the session's shuffle partitions. Beyond ``FEW_RANGES`` a range has
+    ``LARGE_RANGE_BYTES``. The result reads the sorted table and the offsets, both written, so using it again
+    counts and sorts nothing.
     """
     if spread_copies:
         df = written(df).withColumn("_place", F.monotonically_increasing_id())
@@ -71,10 +79,10 @@ def dense_number(
             "_shift"
         ),
     )
-    # Sent to all tasks, so that the numbered table is not shuffled again. Without groups there is one row
-    # per range, at most ``MOST_RANGES`` of 16 bytes. With groups the offsets are measured first, and with
+    # Sent to all tasks, so that the numbered table is not shuffled again. They are written, so whoever uses the
+    # result again does not count again, and measured: without groups there is one row per range, with
     # very many groups they stay a normal join side; a hot group is then still cut by task.
-    offsets = sized_broadcast(offsets) if group else F.broadcast(offsets)
+    offsets = sized_broadcast(offsets)
     same_slice = F.col("t._task") == F.col("o._task")
     for g in group:
         same_slice &= F.col(f"t.{g}").eqNullSafe(F.col(f"o.{g}"))
@@ -90,8 +98,10 @@ def dense_number(
 
 def _ranges(df: DataFrame) -> int:
     estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    size = int(str(estimate))
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(max(least, int(str(estimate)) // RANGE_BYTES), MOST_RANGES)
+    few = min(max(least, size // RANGE_BYTES), FEW_RANGES)
+    return min(max(few, size // LARGE_RANGE_BYTES), MOST_RANGES)
 
 
 def _content_hash(df: DataFrame) -> list[Column]:

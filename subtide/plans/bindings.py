@@ -15,7 +15,7 @@ from subtide.functions import days, first_match, hours, money
 from subtide.operators.numbering import dense_number
 from subtide.plans.lifecycle import Lifecycle
 from subtide.schemas import EVENT_REASON
-from subtide.sources import read_table, written_once
+from subtide.sources import kept_once, read_table, written_once
 
 CUTOFF = "2001-09-01 23:59:59"
 
@@ -289,7 +289,8 @@ def lifecycle(spark: SparkSession, folder: str, ids: bool = False) -> Lifecycle:
     def lines() -> DataFrame:
         if not ids:
             return table("lineitem").withColumn("line_no", F.lit(None).cast("long"))
-        return stored("numbered lines", ["lineitem"], lambda: numbered_lines(spark, folder))
+        # Numbering writes the lines, sorted; writing them with their numbers would store them twice.
+        return kept_once(spark, "numbered lines", [source["lineitem"]], lambda: numbered_lines(spark, folder))
 
     @cache
     def spans() -> DataFrame:

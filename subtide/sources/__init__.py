@@ -1,4 +1,4 @@
-from subtide.sources.scratch import drop_written, scratch_root, written, written_once  # noqa: F401
+from subtide.sources.scratch import drop_written, kept_once, scratch_root, written, written_once  # noqa: F401
 from subtide.sources.stored import (  # noqa: F401
     open_bucketed,
     open_for_figures,

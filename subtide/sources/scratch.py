@@ -48,9 +48,16 @@ def written_once(
     Later uses in the application read it again, unless a file of a source was added, removed or replaced in
     between (by path, size or time) or the scratch tables were dropped.
     """
+    return kept_once(spark, name, sources, lambda: written(build()))
+
+
+def kept_once(
+    spark: SparkSession, name: str, sources: list[str], build: Callable[[], DataFrame]
+) -> DataFrame:
+    """Like ``written_once`` for a ``build`` that has written its rows itself: they are not written again."""
     key = (spark.sparkContext.applicationId, name, *[(s, file_state(spark, s)) for s in sources])
     if key not in _kept:
-        _kept[key] = written(build())
+        _kept[key] = build()
     return _kept[key]
 
 

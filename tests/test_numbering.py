@@ -159,3 +159,18 @@ def test_any_table(spark, data):
     df = spark.createDataFrame(rows, "g STRING, v INT, id INT")
     got = {r.id: r.row_no for r in dense_number(df, ["v", "id"], ["g"]).collect()}
     assert got == expected(df.collect(), True)
+
+
+def test_ranges_fit_a_sort_and_map_tasks_need_none(spark, monkeypatch):
+    """Sixteen times the old range is cut; many shuffle partitions do not make map tasks sort a table of 8 GB."""
+    df = spark.range((256 << 20) // 8)
+    assert numbering._ranges(df) == 16
+    conf = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "500")
+    try:
+        assert numbering._ranges(df) == 200
+        assert numbering._ranges(spark.range((8 << 30) // 8)) == 200
+        assert numbering._ranges(spark.range((32 << 30) // 8)) == 512
+    finally:
+        spark.conf.set(conf, before)
