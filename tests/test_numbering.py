@@ -174,3 +174,23 @@ def test_ranges_fit_a_sort_and_map_tasks_need_none(spark, monkeypatch):
         assert numbering._ranges(spark.range((32 << 30) // 8)) == 512
     finally:
         spark.conf.set(conf, before)
+
+
+def test_numbered_lines_are_written_once(spark, monkeypatch, tmp_path):
+    from subtide.plans import bindings
+    from subtide.sources import scratch
+
+    day = "TIMESTAMP_NTZ '1998-03-01 00:00:00'"
+    line = f"id, 2L, 3L, 1, 4D, 10.5D, 0.1D, 0.05D, 'R', 'F', {day}"
+    names = [part.split()[0] for part in bindings.TABLES["lineitem"].split(",")]
+    lines = spark.range(50).selectExpr(f"inline(array(struct({line})))").toDF(*names)
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    stored = []
+    for module in (numbering, scratch):
+        plain = module.written
+        monkeypatch.setattr(module, "written", lambda df, plain=plain: stored.append(df.columns) or plain(df))
+    lc = bindings.lifecycle(spark, str(tmp_path), ids=True)
+    assert sorted(r.payment_id for r in lc.payments.collect()) == list(range(1, 51))
+    again = bindings.lifecycle(spark, str(tmp_path), ids=True)
+    assert {(r.payment_id, r.subscription_id) for r in again.payments.collect()} == {(i + 1, i) for i in range(50)}
+    assert sum("l_extendedprice" in columns for columns in stored) == 1
