@@ -104,6 +104,18 @@ def _ranges(df: DataFrame) -> int:
     return min(max(few, size // LARGE_RANGE_BYTES), MOST_RANGES)
 
 
+def dealt_by(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by a key, ahead of an aggregate by a key that hardly repeats.
+
+    Such an aggregate reduces nothing before the shuffle, but holds nearly all rows of a map task in its hash
+    table and spills them. Dealt first, rows are only aggregated where they arrive, in partitions sized like the
+    ranges of ``dense_number``: map tasks need no memory up to ``FEW_RANGES`` of them. A key that repeats very
+    often passes through one task, as one group. Rows of unknown size go to the session's shuffle partitions.
+    """
+    parts = _ranges(df)
+    return df.repartition(parts, *keys) if parts < MOST_RANGES else df.repartition(*keys)
+
+
 def _content_hash(df: DataFrame) -> list[Column]:
     hashable = [
         f.name

@@ -12,7 +12,7 @@ from functools import cache, partial
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from subtide.functions import days, first_match, hours, money
-from subtide.operators.numbering import dense_number
+from subtide.operators.numbering import dealt_by, dense_number
 from subtide.plans.lifecycle import Lifecycle
 from subtide.schemas import EVENT_REASON
 from subtide.sources import kept_once, read_table, written_once
@@ -166,7 +166,9 @@ def intakes(spans: DataFrame) -> DataFrame:
 
 
 def appointments(lineitem: DataFrame) -> DataFrame:
-    per_line = lineitem.groupBy(
+    keys = ["l_orderkey", "l_linenumber"]
+    dealt = dealt_by(lineitem.select(*keys, "l_shipdate", "l_quantity"), *keys)
+    per_line = dealt.groupBy(
         F.col("l_orderkey").alias("subscription_id"), F.col("l_linenumber").alias("line")
     ).agg(
         F.min("l_shipdate").alias("scheduled_at"),

@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from subtide.plans import bindings
 from subtide.plans.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -76,3 +78,24 @@ def test_facts_are_aggregated_before_their_join(spark):
     steps = operators(plan(spark, "conditional_sums"))
     join = next(i for i, s in enumerate(steps) if "Join" in s and "subscription_id" in s)
     assert any("partial_sum" in s for s in steps[join:])
+
+
+def test_appointments_hold_no_lines_before_the_shuffle(spark):
+    """Hardly any line repeats: summing up in the map tasks would hold nearly all of them there, and spill."""
+    day = "TIMESTAMP_NTZ '1998-03-01 00:00:00'"
+    rows = [(1, 1, 0, 8.0), (1, 1, 2, 9.0), (1, 2, 1, 3.0), (None, 1, 3, 4.0), (None, 1, 1, None), (2, None, 0, 5.0)]
+    lines = spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, d int, l_quantity double")
+    lines = lines.withColumn("l_shipdate", F.expr(f"{day} + make_dt_interval(d)")).drop("d")
+    found = bindings.appointments(lines)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    above, below = plan.split("Exchange hashpartitioning")
+    assert above.count("HashAggregate") == 2 and "HashAggregate" not in below
+    got = found.select("subscription_id", "appointment_id", F.dayofmonth("scheduled_at").alias("day"), "appointment_status")
+    assert {tuple(r) for r in got.collect()} == {
+        (1, 11, 1, "completed"),
+        (1, 12, 2, "rescheduled"),
+        (None, None, 2, "completed"),
+        (2, None, 1, "completed"),
+    }
+    assert found.count() == 4
