@@ -5,13 +5,18 @@ the distance of query and candidate from below, |q - x| >= | |q - p| - |x - p| |
 
     <q, x> = (|q|^2 + |x|^2 - |q - x|^2) / 2
 
-turns the largest lower bound over all pivots into an upper bound on the score. Each query evaluates
-a block's candidates in the order of their bounds, in growing steps, until the next bound lies below
-its k-th best score; a bound equal to it goes on, because ties go to the smaller id. The best scores
-against the pivots, which are candidates themselves, give the first k-th best.
-
-Spark cuts candidates and queries into blocks of packed vectors with their rows of the pivot table;
-every query block meets every candidate block, and only k rows per query and block leave a task. A
+turns the largest lower bound over all pivots into an upper bound on the score. The vectors of a block are
+sorted by their nearest pivot and the distance to it and cut into chunks; a chunk has one bound for a query, from
+the least and largest distance of its vectors to each pivot. Each query evaluates the chunks of a block in the order of
+their bounds, until the next bound lies below its k-th best score; a bound equal to it goes on, because ties
+go to the smaller id. All queries that are at the same chunk are scored by one matrix product. The best scores against
+the pivots, which are candidates themselves, give the first k-th best.
+
+Spark cuts candidates and queries into blocks of packed vectors with their rows of the pivot table, the
+narrowest integers that hold a block. Candidates are dealt to a fixed number of groups, queries to parts of a few
+blocks, and a task has one group and one part: the pairs are made in the task, so no copy of the query set is
+shuffled or goes through the driver. A task keeps the k best of its queries over all blocks of its group, and only
+these leave it, so what is shuffled grows with the queries and not with the pairs. A
 window keeps the k best per query; Spark applies its row limit before the shuffle too. The pivots are
 a fixed number of vectors.
 
@@ -25,6 +30,7 @@ doubles cannot hold exactly are computed with Python's integers.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import partial
 
@@ -36,7 +42,13 @@ from subtide.sources import written
 
 PIVOTS = 16
 BLOCK_ROWS = 4096
-QUERY_ROWS = 512
+# Vectors of a block that share one bound.
+CHUNK_ROWS = 256
+# Groups of candidates, at most, and blocks of queries in a part.
+GROUPS = 32
+PART_BLOCKS = 4
+# Behind every id.
+NO_ID = np.iinfo(np.int64).max
 
 BLOCK = "dim int, block string, ids binary, vectors binary, table binary"
 BLOCK_SCHEMA = pa.schema(
@@ -69,32 +81,52 @@ def distances(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squared, 0))
 
 
+def narrowest(vectors: np.ndarray) -> np.ndarray:
+    """The same integers in the narrowest type that holds them."""
+    low, high = (int(vectors.min()), int(vectors.max())) if vectors.size else (0, 0)
+    types = (np.int8, np.int16, np.int32, np.int64)
+    return vectors.astype(next(t for t in types if np.iinfo(t).min <= low and high <= np.iinfo(t).max))
+
+
+def _by_length(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and vectors of a batch, for each length of its vectors."""
+    ids = batch.column(0).to_numpy(zero_copy_only=False)
+    lengths = batch.column(1).value_lengths().to_numpy(zero_copy_only=False)
+    flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+    starts = np.cumsum(lengths, dtype=np.int64) - lengths
+    for dim in np.unique(lengths):
+        rows = np.flatnonzero(lengths == dim)
+        yield ids[rows], flat[starts[rows][:, None] + np.arange(dim)]
+
+
 def _pack(
     batches: Iterator[pa.RecordBatch], pivots: dict[int, np.ndarray], rows: int
 ) -> Iterator[pa.RecordBatch]:
     """Blocks of up to ``rows`` vectors of one length, with their rows of the pivot table."""
     held: dict[int, list] = {}
-    task = 0
-
-    def block(dim: int) -> pa.RecordBatch:
-        nonlocal task
-        ids, flat = zip(*held.pop(dim))
-        vectors = np.array(flat, dtype=np.int64).reshape(len(ids), dim)
-        keys = np.array(ids, dtype=np.int64)
-        known = distances(vectors, pivots[dim])
-        task += 1
-        name = f"{keys[0]}-{len(keys)}-{task}"
-        values = [dim, name, keys.tobytes(), vectors.tobytes(), known.tobytes()]
-        return pa.RecordBatch.from_pylist([dict(zip(BLOCK_SCHEMA.names, values))], BLOCK_SCHEMA)
+
+    def blocks(dim: int, least: int) -> Iterator[pa.RecordBatch]:
+        """Takes blocks off what is held, as long as that is ``least`` rows or more."""
+        keys, vectors = (np.concatenate(x) for x in zip(*held.pop(dim)))
+        while len(keys) >= least:
+            known = distances(vectors[:rows], pivots[dim])
+            order = np.lexsort((known.min(1), known.argmin(1)))
+            own = narrowest(vectors[:rows][order])
+            columns = [keys[:rows][order].tobytes(), own.tobytes(), known[order].tobytes()]
+            values = [dim, uuid.uuid4().hex, *columns]
+            yield pa.RecordBatch.from_pylist([dict(zip(BLOCK_SCHEMA.names, values))], BLOCK_SCHEMA)
+            keys, vectors = keys[rows:], vectors[rows:]
+        if len(keys):
+            held[dim] = [(keys.copy(), vectors.copy())]
 
     for batch in batches:
-        for key, vector in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            own = held.setdefault(len(vector), [])
-            own.append((key, vector))
-            if len(own) >= rows:
-                yield block(len(vector))
+        for keys, vectors in _by_length(batch):
+            own = held.setdefault(dim := vectors.shape[1], [])
+            own.append((keys, vectors))
+            if sum(len(k) for k, _ in own) >= rows:
+                yield from blocks(dim, rows)
     for dim in list(held):
-        yield block(dim)
+        yield from blocks(dim, 1)
 
 
 class Vectors:
@@ -102,70 +134,148 @@ class Vectors:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
-        self.doubles = vectors.astype(np.float64)
-        self.norms = (self.doubles**2).sum(1)
-        self.largest = float(np.abs(self.doubles).max()) if vectors.size else 0.0
+        doubles = vectors.astype(np.float64)
+        self.norms = (doubles**2).sum(1)
+        self.longest = float(np.sqrt(self.norms.max(initial=0.0)))
+        self._typed: dict[type, np.ndarray] = {}
+
+    def typed(self, kind: type) -> np.ndarray:
+        if kind not in self._typed:
+            self._typed[kind] = self.vectors.astype(kind)
+        return self._typed[kind]
 
 
 class Block(Vectors):
+    """A packed block, and for each of its chunks the range of the distances to each pivot."""
+
     def __init__(self, dim: int, ids: bytes, vectors: bytes, table: bytes):
-        keys = np.frombuffer(ids, dtype=np.int64)
-        super().__init__(keys, np.frombuffer(vectors, dtype=np.int64).reshape(len(keys), dim))
-        self.table = np.frombuffer(table).reshape(len(keys), -1)
-
-
-def products(queries: Vectors, row: int, block: Vectors, some: np.ndarray) -> np.ndarray:
-    """Exact inner products of one query with some vectors: in doubles where these are exact."""
-    if queries.largest * block.largest * block.vectors.shape[1] < 2.0**53:
-        return (block.doubles[some] @ queries.doubles[row]).astype(np.int64)
-    own = queries.vectors[row].tolist()
-    found = [sum(a * b for a, b in zip(own, v)) for v in block.vectors[some].tolist()]
-    return np.array(found, dtype=object)
-
-
-def search(queries: Block, block: Block, k: int, floors: np.ndarray) -> Iterator[tuple[int, list]]:
-    """Each query's k best of the block, at least ``floors``, as (row, [(score, vec_id)])."""
-    for row, own in enumerate(queries.ids):
-        gap = np.abs(block.table - queries.table[row]).max(1) if block.table.shape[1] else 0.0
-        # A little above the bound: the distances are rounded.
-        bounds = (queries.norms[row] + block.norms - gap * gap) / 2
-        bounds += 1e-6 * (queries.norms[row] + block.norms) + 0.5
-        kth, best, done, step = floors[row], [], 0, 64
-        order = np.flatnonzero((bounds >= kth) & (block.ids != own))
-        if len(order) > step:
-            order = order[np.argsort(-bounds[order], kind="stable")]
-        while done < len(order) and (done == 0 or bounds[order[done]] >= kth):
-            some = order[done : done + step]
-            some = some[bounds[some] >= kth]
-            scores = products(queries, row, block, some)
-            if len(scores) > k and scores.dtype != object:
-                kth = max(kth, np.partition(scores, -k)[-k])
-            high = scores >= kth
-            best += zip((-scores[high]).tolist(), block.ids[some[high]].tolist())
-            best = sorted(best)[:k]
-            if len(best) == k:
-                kth = max(kth, -best[-1][0])
-            done, step = done + step, step * 4
-        yield row, [(-s, v) for s, v in best if -s >= floors[row]]
+        keys = np.frombuffer(ids, dtype=np.int64).copy()
+        width = len(vectors) // (len(keys) * dim) if dim else 8
+        whole = np.frombuffer(vectors, dtype=f"i{width}").reshape(len(keys), dim)
+        super().__init__(keys, whole.copy())
+        self.table = np.frombuffer(table).reshape(len(keys), -1).copy()
+        self.starts = np.arange(0, len(keys), CHUNK_ROWS)
+        self.low = np.minimum.reduceat(self.table, self.starts)
+        self.high = np.maximum.reduceat(self.table, self.starts)
+        self.most = np.maximum.reduceat(self.norms, self.starts)
+
+
+def products(queries: Vectors, rows: int | np.ndarray, block: Vectors, some: slice | np.ndarray) -> np.ndarray:
+    """Exact inner products of one query or several with some vectors.
+
+    Sums on the way to a product are integers up to the product of both lengths, so floating point is exact where that
+    is small enough; otherwise Python's integers are used.
+    """
+    most = queries.longest * block.longest * (1 + 1e-9)
+    kind = np.float32 if most < 2.0**24 else np.float64 if most < 2.0**53 else object
+    return queries.typed(kind)[rows] @ block.typed(kind)[some].T
+
+
+def below(scores: np.ndarray) -> np.ndarray:
+    """Doubles that are not above the scores."""
+    if scores.dtype != object:
+        return scores.astype(np.float64)
+    return np.nextafter(scores.astype(np.float64), -np.inf)
+
+
+class Asked(Block):
+    """A block of queries, and the k best that were found for each."""
+
+    def __init__(self, dim: int, ids: bytes, vectors: bytes, table: bytes, k: int, pivots: Vectors):
+        super().__init__(dim, ids, vectors, table)
+        self.scores = np.full((len(self.ids), k), -np.inf)
+        self.found = np.full((len(self.ids), k), NO_ID)
+        # Of each query, a score that its k-th best reaches.
+        self.floors = np.full(len(self.ids), -np.inf)
+        known = below(products(self, np.arange(len(self.ids)), pivots, slice(None)))
+        known[self.ids[:, None] == pivots.ids] = -np.inf
+        if known.shape[1] >= k:
+            self.floors = np.sort(known, axis=1)[:, -k]
+
+    def keep(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Takes in scored candidates, as one row number of this block, score and id each."""
+        if object in (scores.dtype, self.scores.dtype):
+            scores, self.scores = scores.astype(object), self.scores.astype(object)
+        k = self.scores.shape[1]
+        own, place = np.unique(rows, return_inverse=True)
+        places = np.concatenate([np.repeat(np.arange(len(own)), k), place])
+        scores = np.concatenate([self.scores[own].ravel(), scores])
+        ids = np.concatenate([self.found[own].ravel(), ids])
+        if scores.dtype == object:
+            order = np.array(sorted(range(len(ids)), key=lambda i: (places[i], -scores[i], ids[i])), dtype=np.int64)
+        else:
+            order = np.lexsort((ids, -scores, places))
+        first = order[np.searchsorted(places[order], np.arange(len(own)))[:, None] + np.arange(k)]
+        self.scores[own], self.found[own] = scores[first], ids[first]
+        self.floors[own] = np.maximum(self.floors[own], below(self.scores[own, -1]))
+
+    def hits(self) -> pa.RecordBatch:
+        rows, places = np.nonzero(self.scores > -np.inf)
+        columns = [self.ids[rows], self.found[rows, places], [int(s) for s in self.scores[rows, places]]]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=HITS)
+
+
+def upper_bounds(queries: Block, block: Block) -> np.ndarray:
+    """Scores that no vector of a chunk exceeds: one row per query, one column per chunk."""
+    gaps = np.zeros((len(queries.ids), len(block.starts)))
+    for known, low, high in zip(queries.table.T[:, :, None], block.low.T, block.high.T):
+        # The distances are rounded.
+        gap = np.maximum(low - known, known - high) - 1e-13 * (known + high)
+        np.maximum(gaps, gap, out=gaps)
+    norms = queries.norms[:, None] + block.most
+    # A little above the bound, for the same reason.
+    return (norms - gaps * gaps) / 2 + 1e-6 * norms + 0.5
+
+
+def scored(queries: Asked, rows: np.ndarray, block: Block, chunk: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The vectors of a chunk that are among the k best so far, as (row, score, id), for some queries."""
+    some = slice(block.starts[chunk], block.starts[chunk] + CHUNK_ROWS)
+    scores, ids, k = products(queries, rows, block, some), block.ids[some], queries.scores.shape[1]
+    floors = queries.floors[rows].astype(scores.dtype)
+    at = np.flatnonzero(scores >= floors[:, None])
+    if len(at) > 4 * k * len(rows) and len(ids) > k and scores.dtype != object:
+        others = np.where(ids == queries.ids[rows][:, None], -np.inf, scores)
+        floors = np.maximum(floors, np.partition(others, -k, axis=1)[:, -k])
+        at = np.flatnonzero(scores >= floors[:, None])
+    place, column = np.divmod(at, len(ids))
+    rows, scores, ids = rows[place], scores[place, column], ids[column]
+    last, last_id = queries.scores[rows, -1], queries.found[rows, -1]
+    better = (ids != queries.ids[rows]) & ((scores > last) | ((scores == last) & (ids < last_id))).astype(bool)
+    return rows[better], scores[better].astype(object if scores.dtype == object else np.float64), ids[better]
+
+
+def search(queries: Asked, block: Block) -> None:
+    """Takes the best of the block into the queries' k best."""
+    bounds = upper_bounds(queries, block)
+    order = np.argsort(-bounds, axis=1, kind="stable")
+    for chunks, bound in zip(order.T, np.take_along_axis(bounds, order, axis=1).T):
+        active = np.flatnonzero(bound >= queries.floors)
+        if not len(active):
+            break
+        at = chunks[active]
+        found = [scored(queries, active[at == chunk], block, chunk) for chunk in np.unique(at)]
+        rows, scores, ids = (np.concatenate(x) for x in zip(*found))
+        if len(rows):
+            queries.keep(rows, scores, ids)
 
 
 def _search(batches: Iterator[pa.RecordBatch], k: int, pivots: dict) -> Iterator[pa.RecordBatch]:
+    asked: dict[str, Asked] = {}
+    name, block = None, None
     for batch in batches:
-        for r in batch.to_pylist():
-            queries = Block(r["dim"], r["q_ids"], r["q_vectors"], r["q_table"])
-            block = Block(r["dim"], r["ids"], r["vectors"], r["table"])
-            known = pivots[r["dim"]]
-            floors = np.full(len(queries.ids), -np.inf)
-            for row, own in enumerate(queries.ids):
-                scores = products(queries, row, known, known.ids != own).astype(float)
-                if len(scores) >= k:
-                    floors[row] = np.sort(scores)[-k]
-            hits: tuple[list, list, list] = ([], [], [])
-            for row, best in search(queries, block, k, floors):
-                for score, vec_id in best:
-                    for column, value in zip(hits, (int(queries.ids[row]), vec_id, score)):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in hits], schema=HITS)
+        for i in range(batch.num_rows):
+
+            def parts(prefix: str = "") -> list:
+                return [batch.column(f"{prefix}{c}")[i].as_buffer() for c in ("ids", "vectors", "table")]
+
+            dim, own, other = (batch.column(c)[i].as_py() for c in ("dim", "block", "q_block"))
+            if own != name:
+                name, block = own, Block(dim, *parts())
+            if other not in asked:
+                asked[other] = Asked(dim, *parts("q_"), k, pivots[dim])
+            search(asked[other], block)
+    for queries in asked.values():
+        yield queries.hits()
 
 
 def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256) -> DataFrame:
@@ -187,16 +297,15 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256) -> DataFra
     }
     tables = {dim: known.vectors for dim, known in pivots.items()}
     packed = written(whole.mapInArrow(partial(_pack, pivots=tables, rows=BLOCK_ROWS), BLOCK))
-    queries = whole.filter(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    tasks = max(1, -(-queries.count() // QUERY_ROWS))
-    dealt = queries.repartition(tasks, "vec_id")
-    asked = written(dealt.mapInArrow(partial(_pack, pivots=tables, rows=QUERY_ROWS), BLOCK))
-    # The query set meets every block: it is copied to as many groups as there are blocks.
-    groups = max(1, packed.count())
-    packed = packed.withColumn("_group", F.pmod(F.xxhash64("block"), F.lit(groups)))
-    asked = asked.select("dim", *[F.col(c).alias(f"q_{c}") for c in ("ids", "vectors", "table")])
-    asked = asked.withColumn("_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<long>")))
-    met = asked.join(packed, ["dim", "_group"])
+    queries = written(whole.filter(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector")))
+    tasks = max(1, -(-queries.count() // BLOCK_ROWS))
+    dealt = queries.repartition(tasks)
+    asked = written(dealt.mapInArrow(partial(_pack, pivots=tables, rows=BLOCK_ROWS), BLOCK))
+    # The query set meets every block: each task reads one group of blocks and one part of the queries.
+    packed = packed.repartition(max(1, min(GROUPS, packed.count())))
+    asked = asked.select(*[F.col(c).alias(f"q_{c}") for c in BLOCK_SCHEMA.names])
+    asked = asked.repartition(-(-tasks // PART_BLOCKS)).hint("shuffle_replicate_nl")
+    met = packed.join(asked, F.col("dim") == F.col("q_dim"))
     found = partial(_search, k=k, pivots=pivots)
     hits = met.mapInArrow(found, "query_id long, vec_id long, score long")
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
